@@ -6,8 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-# The characters a whitespace split of unicode text cuts at.
-BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# Fixed value: what a whitespace split of unicode text cuts at, the white space property and the four
+# separator control characters. One property test is several times faster than a list of characters.
+BLANKS = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 
 
 def tokens(text: Column) -> Column:

@@ -7,6 +7,8 @@ of one profile's values and d = sqrt(n*q - s*s), the correlation of u and v is
     sum over shared keys of z_u * z_v  -  a_u * a_v,   z = value * sqrt(n) / d,   a = s / d
 
 so only shared keys need to meet, and pairs without one still get their exact value.
+
+Both forms read the profiles several times: pass a table that is written, not a long lineage.
 """
 
 from __future__ import annotations

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.operators.correlation import correlation_matrix, correlation_with
 from rivulet.operators.relational import count_per_key, error_metrics, first_per_key, groups_above
 from rivulet.plans.text import words
+from rivulet.session import materialize
 
 # Fixed value: what an unrated business counts as in a user's profile.
 UNRATED = 0.1
@@ -36,14 +37,39 @@ def one_rating_each(reviews: DataFrame, order: Sequence[str]) -> DataFrame:
     return reviews.groupBy("user_id", "business_id").agg(first.alias("stars"))
 
 
+def _star_stats(reviews: DataFrame, key: str) -> DataFrame:
+    return reviews.groupBy(key).agg(
+        F.avg("stars").alias("mean"), F.stddev_pop("stars").alias("std"), F.count(F.lit(1)).alias("reviews")
+    )
+
+
 def user_stats(reviews: DataFrame) -> DataFrame:
-    """Mean and population deviation of each user's stars."""
-    return reviews.groupBy("user_id").agg(F.avg("stars").alias("mean"), F.stddev_pop("stars").alias("std"))
+    """Mean and population deviation of each user's stars, and their number."""
+    return _star_stats(reviews, "user_id")
 
 
 def business_stats(reviews: DataFrame) -> DataFrame:
-    """Mean and population deviation of each business's stars."""
-    return reviews.groupBy("business_id").agg(F.avg("stars").alias("mean"), F.stddev_pop("stars").alias("std"))
+    """Mean and population deviation of each business's stars, and their number."""
+    return _star_stats(reviews, "business_id")
+
+
+def prepare(reviews: DataFrame, min_reviews: int, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(stats, ratings): star statistics of all users, and the ratings of those with more than
+    ``min_reviews`` reviews.
+
+    Everything downstream reads these two tables several times, so both are written to the shared
+    folder once (this runs jobs), and the reviews are not scanned again.
+    """
+    stats = materialize(user_stats(reviews))
+    active = stats.where(F.col("reviews") > min_reviews).select("user_id")
+    ratings = materialize(one_rating_each(reviews.join(active, "user_id", "left_semi"), order))
+    return stats, ratings
+
+
+def most_active(stats: DataFrame, n: int):
+    """Id of the user in place ``n`` (from 1) by number of reviews, equal numbers ordered by id."""
+    found = stats.orderBy(F.desc("reviews"), F.asc("user_id")).offset(n - 1).limit(1).first()
+    return found["user_id"]
 
 
 def _profiles(ratings: DataFrame, fill: float) -> DataFrame:
@@ -86,8 +112,6 @@ def nearest_neighbors(sim: DataFrame, user=None, k: int = 30) -> DataFrame:
 def _best_per_user(others: DataFrame, k: int, parts: int = 64) -> DataFrame:
     """The k best per user in two rounds, the first over parts of a user's candidates, so that
     no task sorts all candidates of one user."""
-    from pyspark.sql import Window
-
     order = [F.desc("corr"), F.asc("neighbor_id")]
     salted = others.withColumn("part_", F.pmod(F.xxhash64("neighbor_id"), F.lit(parts)))
     local = salted.withColumn("at_", F.row_number().over(Window.partitionBy("user_id", "part_").orderBy(*order)))
@@ -148,7 +172,7 @@ def predict_rating(requests: DataFrame, neighbors: DataFrame, ratings: DataFrame
         .groupBy("user_id", "business_id")
         .agg(F.sum("delta").alias("delta"), F.sum("weight").alias("weight"))
     )
-    known = requests.join(stats, "user_id").join(sums, ["user_id", "business_id"], "left")
+    known = requests.join(stats.select("user_id", "mean", "std"), "user_id").join(sums, ["user_id", "business_id"], "left")
     return known.withColumn("predicted", _prediction(F.col("delta"), F.col("weight"))).drop(
         "mean", "std", "delta", "weight"
     )
@@ -207,9 +231,10 @@ def ranked_predictions(predictions: DataFrame, k: int | None = None) -> DataFram
 
 
 def _word_profiles(texts: DataFrame) -> DataFrame:
+    """Word counts per user, written once because a correlation reads its profiles several times."""
     counted = count_per_key(words(texts, "text", ["user_id"]), "user_id", "word")
-    return counted.select(
-        F.col("user_id").alias("id"), F.col("word").alias("key"), F.col("n").cast("double").alias("value")
+    return materialize(
+        counted.select(F.col("user_id").alias("id"), F.col("word").alias("key"), F.col("n").cast("double").alias("value"))
     )
 
 

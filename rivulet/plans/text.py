@@ -6,13 +6,14 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
-from rivulet.functions.text import sign_label, stop_test, tokens
+from rivulet.functions.text import BLANKS, sign_label, stop_test
 from rivulet.operators.relational import count_per_key, label_words, polarity_counts
 
 
 def words(docs: DataFrame, text: str = "text", keep: Iterable[str] = ()) -> DataFrame:
     """One row per token of ``text``, with the columns of ``keep``."""
-    return docs.select(*keep, F.explode(tokens(F.col(text))).alias("word"))
+    cut = docs.select(*keep, F.explode(F.split(text, BLANKS)).alias("word"))
+    return cut.where(F.col("word") != "")
 
 
 def word_frequency(docs: DataFrame, text: str = "text", stopwords: Iterable[str] = (), k: int = 30) -> DataFrame:

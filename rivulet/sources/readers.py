@@ -7,6 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with at least one partition per core.
+
+    For work that is heavy per row on a source with few splits; a source that already
+    has enough is left alone and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One JSON object per line."""
     return spark.read.schema(schema).json(path)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet.plans.movement import flatten_movement, players_with_ball
+from rivulet.operators.relational import collect_lists
 from rivulet.plans.recommend import one_rating_each, reviews_of_active
+from rivulet.sources.readers import spread
 
 # One list each, shared by the Spark queries and their SQL.
 STOPWORDS = ["and", "by", "de", "des", "el", "for", "in", "is", "la", "le", "of", "that", "the", "to", "un", "with"]
@@ -77,19 +79,16 @@ def business(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def target_user(spark: SparkSession, sf: str) -> int:
-    """The 7th most active user."""
-    from rivulet.operators.relational import nth_by_count
-
-    return nth_by_count(reviews(spark, sf), "user_id", 7).first()["user_id"]
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"))
 
 
 def review_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select((F.col("doc_id") % 50).alias("user_id"), "text")
+    return documents(spark, sf).select((F.col("doc_id") % 50).alias("user_id"), "text")
 
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,8 +110,6 @@ def retweets(spark: SparkSession, sf: str) -> DataFrame:
 
 def entity_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as posts, their line items as entities."""
-    from rivulet.operators.relational import collect_lists
-
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         F.col("l_suppkey").cast("string").alias("screen_name"),
@@ -218,7 +215,7 @@ def time_strings(spark: SparkSession, sf: str) -> DataFrame:
 
 def batch_size(spark: SparkSession, sf: str) -> int:
     """A size with which all posts fit the 40 slots."""
-    return max(1, posts(spark, sf).count() // 40)
+    return max(1, table(spark, sf, "documents").count() // 40)
 
 
 def hourly_series(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import text as ft
 from rivulet.operators import relational as rel
+from rivulet.operators.correlation import correlation_matrix
 from rivulet.plans import recommend as rec
+from rivulet.session import materialize
 from workload import adapters as a
 from workload.courts import rounded
 from workload.registry import query
@@ -15,11 +17,16 @@ KS = list(range(5, 50, 5))
 ONE = "(SELECT user_id FROM target)"
 
 
+def prepared(spark, sf):
+    """The 7th most active user, star statistics and ratings of the active users."""
+    stats, ratings = rec.prepare(a.reviews(spark, sf), a.SIMILAR_MIN, a.REVIEW_ORDER)
+    return rec.most_active(stats, 7), stats, ratings
+
+
 def similar(spark, sf):
-    """The target user, ratings and the target's similarities."""
-    user = a.target_user(spark, sf)
-    ratings = a.ratings(spark, sf)
-    return user, ratings, rec.similarity_to_user(ratings, user)
+    """``prepared`` and the user's similarities."""
+    user, stats, ratings = prepared(spark, sf)
+    return user, stats, ratings, rec.similarity_to_user(ratings, user)
 
 
 @query(
@@ -95,7 +102,7 @@ def agg_std_population(spark, sf):
 )
 def join_entity_stats(spark, sf):
     reviews = a.reviews(spark, sf)
-    joined = reviews.join(rec.user_stats(reviews), "user_id")
+    joined = reviews.join(rec.user_stats(reviews).drop("reviews"), "user_id")
     return rounded(joined, "mean", "std").select("user_id", "business_id", "stars", "l_orderkey", "mean", "std")
 
 
@@ -118,9 +125,9 @@ def nth_by_count(spark, sf):
     SELECT s_suppkey AS business_id, coalesce(stars, 0) AS stars FROM supplier LEFT JOIN own ON business_id = s_suppkey""",
 )
 def point_lookup_default(spark, sf):
-    user = a.target_user(spark, sf)
+    user, _, ratings = prepared(spark, sf)
     asked = a.business(spark, sf).select("business_id", F.lit(user).alias("user_id"))
-    own = a.ratings(spark, sf).where(F.col("user_id") == user)
+    own = ratings.where(F.col("user_id") == user)
     return rel.lookup_or_default(asked, own, ["user_id", "business_id"], "stars", 0.0).select("business_id", "stars")
 
 
@@ -131,7 +138,8 @@ def point_lookup_default(spark, sf):
     WHERE s_suppkey IN (SELECT business_id FROM ratings WHERE user_id = {ONE})""",
 )
 def record_lookup(spark, sf):
-    own = a.ratings(spark, sf).where(F.col("user_id") == a.target_user(spark, sf))
+    user, _, ratings = prepared(spark, sf)
+    own = ratings.where(F.col("user_id") == user)
     return rel.semi_by_key(a.business(spark, sf), own, "business_id")
 
 
@@ -214,7 +222,8 @@ PAIR_SIM = "SELECT user_id, neighbor_id, round(corr, 9) + 0 AS corr FROM sim"
 
 @query("user_similarity", f"WITH {a.RATINGS}, {a.PROFILES}, {a.corr_sql('profiles')} {PAIR_SIM}")
 def user_similarity(spark, sf):
-    return rounded(rec.user_similarity(a.ratings(spark, sf)), "corr", digits=9)
+    _, _, ratings = prepared(spark, sf)
+    return rounded(rec.user_similarity(ratings), "corr", digits=9)
 
 
 @query(
@@ -225,20 +234,18 @@ def user_similarity(spark, sf):
 )
 def agg_corr_matrix(spark, sf):
     """Correlation of order priorities over how often each supplier serves them."""
-    from rivulet.operators.correlation import correlation_matrix
-
     orders = a.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     lines = a.table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
     counts = rel.count_per_key(lines.join(orders, lines.l_orderkey == orders.o_orderkey), "o_orderpriority", "l_suppkey")
     profiles = counts.select(
         F.col("o_orderpriority").alias("id"), F.col("l_suppkey").alias("key"), F.col("n").cast("double").alias("value")
     )
-    return rounded(correlation_matrix(profiles).withColumnRenamed("id", "user_id"), "corr", digits=9)
+    return rounded(correlation_matrix(materialize(profiles)).withColumnRenamed("id", "user_id"), "corr", digits=9)
 
 
 @query("user_similarity_one", f"WITH {a.SIM_ONE} {PAIR_SIM}")
 def user_similarity_one(spark, sf):
-    _, _, sim = similar(spark, sf)
+    *_, sim = similar(spark, sf)
     return rounded(sim, "corr", digits=9)
 
 
@@ -247,7 +254,7 @@ NEAREST = "SELECT user_id, neighbor_id, round(corr, 9) AS corr, rank FROM neares
 
 @query("nearest_neighbors", f"WITH {a.SIM_ONE}, {a.nearest_sql(30)} {NEAREST}")
 def nearest_neighbors(spark, sf):
-    user, _, sim = similar(spark, sf)
+    user, _, _, sim = similar(spark, sf)
     return rounded(rec.nearest_neighbors(sim, user, 30), "corr", digits=9)
 
 
@@ -257,7 +264,8 @@ def nearest_neighbors(spark, sf):
 )
 def nearest_neighbors_all(spark, sf):
     """Five best of every user; ids are left out because equal correlations may round apart."""
-    sim = rec.user_similarity(a.ratings(spark, sf))
+    _, _, ratings = prepared(spark, sf)
+    sim = rec.user_similarity(ratings)
     return rounded(rec.nearest_neighbors(sim, None, 5), "corr", digits=9).drop("neighbor_id")
 
 
@@ -266,7 +274,7 @@ def nearest_neighbors_all(spark, sf):
     f"WITH {a.SIM_ONE}, {a.nearest_sql(10)} SELECT neighbor_id, rank FROM nearest",
 )
 def topk_neighbors_skip_self(spark, sf):
-    user, _, sim = similar(spark, sf)
+    user, _, _, sim = similar(spark, sf)
     return rec.nearest_neighbors(sim, user, 10).select("neighbor_id", "rank")
 
 
@@ -275,7 +283,7 @@ def topk_neighbors_skip_self(spark, sf):
     f"WITH {a.SIM_ONE} SELECT user_id, neighbor_id, round(corr, 9) AS corr FROM sim WHERE neighbor_id <> user_id AND corr > 0.05",
 )
 def threshold_neighbors(spark, sf):
-    user, _, sim = similar(spark, sf)
+    user, _, _, sim = similar(spark, sf)
     return rounded(rec.threshold_neighbors(sim, user, 0.05), "corr", digits=9)
 
 
@@ -296,8 +304,7 @@ def predicted_sql(k: int) -> str:
     f"""WITH {JOINED} SELECT neighbor_id, rank, business_id, round(delta, 7) + 0 AS delta, round(weight, 7) AS weight FROM nr""",
 )
 def join_neighbor_ratings(spark, sf):
-    user, ratings, sim = similar(spark, sf)
-    stats = rec.user_stats(a.reviews(spark, sf))
+    user, stats, ratings, sim = similar(spark, sf)
     joined = rec.neighbor_ratings(rec.nearest_neighbors(sim, user, 45), ratings, stats)
     return rounded(joined, "delta", "weight", digits=7).drop("user_id")
 
@@ -308,9 +315,8 @@ def join_neighbor_ratings(spark, sf):
     LEFT JOIN sums USING (business_id)""",
 )
 def predict_rating(spark, sf):
-    user, ratings, sim = similar(spark, sf)
+    user, stats, ratings, sim = similar(spark, sf)
     own = ratings.where(F.col("user_id") == user)
-    stats = rec.user_stats(a.reviews(spark, sf))
     done = rec.predict_rating(own, rec.nearest_neighbors(sim, user, 30), ratings, stats)
     return rounded(done, "predicted").select("business_id", "stars", "predicted")
 
@@ -329,15 +335,13 @@ def sweep_sql(joined: str = JOINED) -> str:
 
 @query("evaluate_k_sweep", f"WITH {sweep_sql()} SELECT * FROM sweep")
 def evaluate_k_sweep(spark, sf):
-    user, ratings, sim = similar(spark, sf)
-    stats = rec.user_stats(a.reviews(spark, sf))
+    user, stats, ratings, sim = similar(spark, sf)
     return rounded(rec.evaluate_k_sweep(ratings, stats, sim, user, KS), "rmse", "accuracy", "mae")
 
 
 @query("k_sweep_predictions", f"WITH {sweep_sql()} SELECT CAST(k AS INTEGER) AS k, business_id, stars, round(predicted, 6) AS predicted FROM pred")
 def k_sweep_predictions(spark, sf):
-    user, ratings, sim = similar(spark, sf)
-    stats = rec.user_stats(a.reviews(spark, sf))
+    user, stats, ratings, sim = similar(spark, sf)
     return rounded(rec.sweep_predictions(ratings, stats, sim, user, KS), "predicted")
 
 
@@ -360,8 +364,7 @@ RECOMMENDED = f"""{predicted_sql(45)}, done AS (SELECT s_suppkey AS business_id,
 
 @query("recommend_businesses", f"WITH {RECOMMENDED} SELECT * FROM done")
 def recommend_businesses(spark, sf):
-    user, ratings, sim = similar(spark, sf)
-    stats = rec.user_stats(a.reviews(spark, sf))
+    user, stats, ratings, sim = similar(spark, sf)
     done = rec.recommend_businesses(ratings, stats, sim, a.business(spark, sf), user, 45)
     return rounded(done, "predicted").select("business_id", "name", "state", "city", "predicted")
 
@@ -407,8 +410,8 @@ BY_WORDS = sweep_sql(f"{WRITERS}, {writer_joined('tp', TEXT_PROFILES)}")
 def compare_recommenders(spark, sf):
     texts, reviews = a.review_texts(spark, sf), a.reviews(spark, sf)
     writers = texts.select("user_id").distinct()
-    ratings = rec.one_rating_each(rel.semi_by_key(reviews, writers, "user_id"), a.REVIEW_ORDER)
-    stats = rec.user_stats(reviews)
+    ratings = materialize(rec.one_rating_each(rel.semi_by_key(reviews, writers, "user_id"), a.REVIEW_ORDER))
+    stats = materialize(rec.user_stats(reviews))
     sims = {
         "ratings": rec.similarity_to_user(ratings, WRITER),
         "words": rec.lexical_similarity_to_user(texts, WRITER),

@@ -45,7 +45,7 @@ def lexical_diversity(spark, sf):
     SELECT source, round(count(DISTINCT word) / count(*), 9) AS diversity FROM d GROUP BY source""",
 )
 def agg_lexical_diversity(spark, sf):
-    docs = a.table(spark, sf, "documents")
+    docs = a.documents(spark, sf)
     # Counted per word first: a source's distinct words are then plain rows of an even shuffle.
     counts = rel.count_per_key(text.words(docs, keep=["source"]), "source", "word")
     return counts.groupBy("source").agg(F.round(F.count(F.lit(1)) / F.sum("n"), 9).alias("diversity"))
