@@ -19,25 +19,28 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def profile_stats(profiles: DataFrame, size: Column, id_col: str = "id") -> DataFrame:
-    """(id, scale, offset, cells) per profile: z = value * scale and a = offset in the formula above.
+def _constant(sums: Column, size: Column) -> Column:
+    """Whether a profile is the same everywhere: all cells 0, or every key present with one value."""
+    return (sums["q"] == 0) | ((sums["cells"] == size) & (sums["low"] == sums["high"]))
 
-    Both are null for a constant profile: all cells 0, or every key present with one value.
-    """
+
+def profile_stats(profiles: DataFrame, size: Column, id_col: str = "id") -> DataFrame:
+    """(id, scale, offset) per profile: z = value * scale and a = offset in the formula above, both
+    null for a constant profile."""
     sums = profiles.groupBy(id_col).agg(
-        F.sum("value").alias("s"),
-        F.sum(F.col("value") * F.col("value")).alias("q"),
-        F.count(F.lit(1)).alias("cells"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
+        F.struct(
+            F.sum("value").alias("s"),
+            F.sum(F.col("value") * F.col("value")).alias("q"),
+            F.count(F.lit(1)).alias("cells"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        ).alias("sums")
     )
-    constant = (F.col("q") == 0) | ((F.col("cells") == size) & (F.col("low") == F.col("high")))
-    d = F.when(~constant, F.sqrt(size * F.col("q") - F.col("s") * F.col("s")))
-    return sums.select(
-        id_col,
-        (F.sqrt(size.cast("double")) / d).alias("scale"),
-        (F.col("s") / d).alias("offset"),
-        "cells",
+    sized = sums.select(id_col, "sums", size.alias("size"))
+    n, s, q = F.col("size"), F.col("sums.s"), F.col("sums.q")
+    spreads = sized.withColumn("d", F.when(~_constant(F.col("sums"), n), F.sqrt(n * q - s * s)))
+    return spreads.select(
+        id_col, (F.sqrt("size") / F.col("d")).alias("scale"), (s / F.col("d")).alias("offset")
     )
 
 
@@ -49,33 +52,25 @@ def correlation_with(profiles: DataFrame, target) -> DataFrame:
     """
     size = profiles.agg(F.countDistinct("key").cast("double")).scalar()
     own = profiles.where(F.col("id") == F.lit(target))
-    meeting = profiles.join(own.select("key", F.col("value").alias("own_value")), "key", "left")
-    sums = meeting.groupBy("id").agg(
+    facts = [
         F.sum("value").alias("s"),
         F.sum(F.col("value") * F.col("value")).alias("q"),
-        F.sum(F.coalesce(F.col("value") * F.col("own_value"), F.lit(0.0))).alias("p"),
         F.count(F.lit(1)).alias("cells"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-    )
-    mine = own.agg(
-        F.struct(
-            F.sum("value").alias("s"),
-            F.sum(F.col("value") * F.col("value")).alias("q"),
-            F.count(F.lit(1)).alias("cells"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        )
-    ).scalar()
+    ]
+    shared = F.sum(F.coalesce(F.col("value") * F.col("own_value"), F.lit(0.0))).alias("p")
+    meeting = profiles.join(own.select("key", F.col("value").alias("own_value")), "key", "left")
+    sums = meeting.groupBy("id").agg(F.struct(*facts).alias("their"), shared)
+    mine = own.agg(F.struct(*facts)).scalar()
+    both = sums.select("id", "their", "p", mine.alias("mine"), size.alias("size"))
 
-    def spread(s, q, cells, low, high) -> Column:
-        constant = (q == 0) | ((cells == size) & (low == high))
-        return F.when(~constant, F.sqrt(size * q - s * s))
+    def spread(of: str) -> Column:
+        n, s, q = F.col("size"), F.col(f"{of}.s"), F.col(f"{of}.q")
+        return F.when(~_constant(F.col(of), n), F.sqrt(n * q - s * s))
 
-    other = spread(F.col("s"), F.col("q"), F.col("cells"), F.col("low"), F.col("high"))
-    self_ = spread(mine["s"], mine["q"], mine["cells"], mine["low"], mine["high"])
-    corr = (size * F.col("p") - F.col("s") * mine["s"]) / (other * self_)
-    return sums.select(F.lit(target).alias("id"), F.col("id").alias("neighbor_id"), corr.alias("corr"))
+    corr = (F.col("size") * F.col("p") - F.col("their.s") * F.col("mine.s")) / (spread("their") * spread("mine"))
+    return both.select(F.lit(target).alias("id"), F.col("id").alias("neighbor_id"), corr.alias("corr"))
 
 
 def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

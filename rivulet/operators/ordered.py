@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rivulet.functions.numbers import scaled
 from rivulet.functions.times import slot_index
 from rivulet.operators.relational import last_per_key
 from rivulet.session import materialize
@@ -113,14 +114,13 @@ def slot_last_quote(quotes: DataFrame, ts: str, values: Sequence[str], by: Seque
 
 def min_max_scaled(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Columns mapped to 0..1 between their minimum and maximum, per group of ``by``."""
-    ends = [F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(f"{c}_ends_") for c in columns]
+    ends = F.struct(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns])
+    if by:
+        spans = df.join(df.groupBy(*by).agg(ends.alias("span_")), list(by))
+    else:
+        spans = df.withColumn("span_", df.agg(ends).scalar())
 
-    def scale(c: str, low: Column, high: Column) -> Column:
-        return F.try_divide(F.col(c) - low, high - low)
+    def scaled_column(c: str) -> Column:
+        return scaled(F.col(c), F.col(f"span_.{c}.low"), F.col(f"span_.{c}.high"))
 
-    if by:
-        joined = df.join(df.groupBy(*by).agg(*ends), list(by))
-        scaled = {c: scale(c, F.col(f"{c}_ends_.low"), F.col(f"{c}_ends_.high")) for c in columns}
-        return joined.withColumns(scaled).select(*df.columns)
-    span = df.agg(F.struct(*ends)).scalar()
-    return df.withColumns({c: scale(c, span[f"{c}_ends_"]["low"], span[f"{c}_ends_"]["high"]) for c in columns})
+    return spans.select(*[scaled_column(c).alias(c) if c in columns else c for c in df.columns])

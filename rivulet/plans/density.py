@@ -73,11 +73,12 @@ def density_kde(pts: DataFrame, nx: int = 50, ny: int = 50, x: str = "x", y: str
     ).scalar()
 
     # Everything in units of the bandwidth, counted from the lower corner of the grid.
-    scaled = known.select(
-        F.try_divide(F.col("x") - facts["x0"], facts["hx"]).alias("u"),
-        F.try_divide(F.col("y") - facts["y0"], facts["hy"]).alias("v"),
-        F.try_divide(facts["x1"] - facts["x0"], facts["hx"]).alias("u_span"),
-        F.try_divide(facts["y1"] - facts["y0"], facts["hy"]).alias("v_span"),
+    f = {name: F.col(f"facts.{name}") for name in ("n", "x0", "x1", "y0", "y1", "hx", "hy")}
+    scaled = known.withColumn("facts", facts).select(
+        F.try_divide(F.col("x") - f["x0"], f["hx"]).alias("u"),
+        F.try_divide(F.col("y") - f["y0"], f["hy"]).alias("v"),
+        F.try_divide(f["x1"] - f["x0"], f["hx"]).alias("u_span"),
+        F.try_divide(f["y1"] - f["y0"], f["hy"]).alias("v_span"),
     ).where(F.col("u").isNotNull() & F.col("v").isNotNull())
 
     def kernel(steps: int, span: float, at: np.ndarray) -> np.ndarray:
@@ -100,12 +101,12 @@ def density_kde(pts: DataFrame, nx: int = 50, ny: int = 50, x: str = "x", y: str
 
     cells = scaled.mapInArrow(partial, "gx long, gy long, part double")
     sums = cells.groupBy("gx", "gy").agg(F.sum("part").alias("total"))
-    return sums.select(
+    return sums.withColumn("facts", facts).select(
         "gx",
         "gy",
-        (facts["x0"] + F.col("gx") * (facts["x1"] - facts["x0"]) / F.lit(max(nx - 1, 1))).alias("x"),
-        (facts["y0"] + F.col("gy") * (facts["y1"] - facts["y0"]) / F.lit(max(ny - 1, 1))).alias("y"),
-        (F.col("total") / (facts["n"] * F.lit(2 * math.pi) * facts["hx"] * facts["hy"])).alias("density"),
+        (f["x0"] + F.col("gx") * (f["x1"] - f["x0"]) / F.lit(max(nx - 1, 1))).alias("x"),
+        (f["y0"] + F.col("gy") * (f["y1"] - f["y0"]) / F.lit(max(ny - 1, 1))).alias("y"),
+        (F.col("total") / (f["n"] * F.lit(2 * math.pi) * f["hx"] * f["hy"])).alias("density"),
     )
 
 

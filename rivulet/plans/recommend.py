@@ -202,8 +202,8 @@ def sweep_predictions(
     )
     by_k = evidence.groupBy("business_id").agg(F.first("stars").alias("stars"), F.array(*sums).alias("sums"))
     mine = stats.where(F.col("user_id") == F.lit(user)).select(F.struct("mean", "std")).scalar()
-    flat = by_k.select("business_id", "stars", F.explode("sums").alias("s")).select(
-        "s.k", "business_id", "stars", "s.delta", "s.weight", mine["mean"].alias("mean"), mine["std"].alias("std")
+    flat = by_k.select("business_id", "stars", F.explode("sums").alias("s"), mine.alias("mine")).select(
+        "s.k", "business_id", "stars", "s.delta", "s.weight", "mine.mean", "mine.std"
     )
     return flat.select("k", "business_id", "stars", _prediction(F.col("delta"), F.col("weight")).alias("predicted"))
 
@@ -219,8 +219,16 @@ def recommend_businesses(
     ratings: DataFrame, stats: DataFrame, sim: DataFrame, business: DataFrame, user, k: int = 45
 ) -> DataFrame:
     """Predicted stars of one user for every business, with its attributes."""
-    requests = business.withColumn("user_id", F.lit(user))
-    return predict_rating(requests, nearest_neighbors(sim, user, k), ratings, stats)
+    sums = (
+        neighbor_ratings(nearest_neighbors(sim, user, k), ratings, stats)
+        .groupBy("business_id")
+        .agg(F.sum("delta").alias("delta"), F.sum("weight").alias("weight"))
+    )
+    mine = stats.where(F.col("user_id") == F.lit(user)).select(F.struct("mean", "std")).scalar()
+    known = business.join(sums, "business_id", "left").withColumn("mine", mine)
+    flat = known.select(F.lit(user).alias("user_id"), *business.columns, "delta", "weight", "mine.mean", "mine.std")
+    predicted = _prediction(F.col("delta"), F.col("weight")).alias("predicted")
+    return flat.select("user_id", *business.columns, predicted)
 
 
 def ranked_predictions(predictions: DataFrame, k: int | None = None) -> DataFrame:

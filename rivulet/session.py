@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "rivulet", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,7 +51,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df):
-    """Write ``df`` to the shared folder and return it with its lineage cut."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder (this runs a job) and read it back.
+
+    Lineage ends at the written files, which outlive lost executors, and later joins know
+    their true size.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

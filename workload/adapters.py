@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.plans.movement import flatten_movement, players_with_ball
+from rivulet.plans.movement import flatten_movement, moment_positions, players_with_ball
 from rivulet.operators.relational import collect_lists
 from rivulet.plans.recommend import one_rating_each, reviews_of_active
 from rivulet.sources.readers import spread
@@ -167,6 +167,11 @@ def players(spark: SparkSession, sf: str) -> DataFrame:
     return players_with_ball(named)
 
 
+def positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Tracked positions without names, which most questions do not need."""
+    return moment_positions(payload(spark, sf))
+
+
 def movement(spark: SparkSession, sf: str) -> DataFrame:
     return flatten_movement(payload(spark, sf), players(spark, sf))
 

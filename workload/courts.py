@@ -61,36 +61,36 @@ def join_dimension_map(spark, sf):
 
 @query("filter_equals", f"WITH {a.MOVES} SELECT moment, x_loc, y_loc FROM mv WHERE player_id = -1 AND team_id = 1")
 def filter_equals(spark, sf):
-    mv = a.movement(spark, sf)
+    mv = a.positions(spark, sf)
     return mv.where((F.col("player_id") == movement.BALL) & (F.col("team_id") == 1)).select("moment", "x_loc", "y_loc")
 
 
 @query("filter_not_equal", f"WITH {a.MOVES} SELECT player_id, moment, x_loc FROM mv WHERE player_id <> {a.FOCUS}")
 def filter_not_equal(spark, sf):
-    return a.movement(spark, sf).where(F.col("player_id") != a.FOCUS).select("player_id", "moment", "x_loc")
+    return a.positions(spark, sf).where(F.col("player_id") != a.FOCUS).select("player_id", "moment", "x_loc")
 
 
 @query("filter_range_mask", f"WITH {a.MOVES} SELECT player_id, moment, game_clock, shot_clock FROM mv WHERE {MASK}")
 def filter_range_mask(spark, sf):
-    return a.movement(spark, sf).where(movement.in_play(a.GAME_RANGE, a.SHOT_RANGE)).select(
+    return a.positions(spark, sf).where(movement.in_play(a.GAME_RANGE, a.SHOT_RANGE)).select(
         "player_id", "moment", "game_clock", "shot_clock"
     )
 
 
 @query("filter_in_set", f"WITH {a.MOVES} SELECT player_id, moment, x_loc FROM mv WHERE player_id IN (3, 5, 7, 9, -1)")
 def filter_in_set(spark, sf):
-    return a.movement(spark, sf).where(F.col("player_id").isin(3, 5, 7, 9, -1)).select("player_id", "moment", "x_loc")
+    return a.positions(spark, sf).where(F.col("player_id").isin(3, 5, 7, 9, -1)).select("player_id", "moment", "x_loc")
 
 
 @query("agg_min_max_range", f"WITH {a.MOVES} SELECT round(max(game_clock) - min(game_clock), 6) AS seconds FROM mv")
 def agg_min_max_range(spark, sf):
     span = F.max("game_clock") - F.min("game_clock")
-    return a.movement(spark, sf).agg(F.round(span, 6).alias("seconds"))
+    return a.positions(spark, sf).agg(F.round(span, 6).alias("seconds"))
 
 
 @query("agg_distinct", f"WITH {a.MOVES} SELECT DISTINCT shot_clock FROM mv")
 def agg_distinct(spark, sf):
-    return a.movement(spark, sf).select("shot_clock").distinct()
+    return a.positions(spark, sf).select("shot_clock").distinct()
 
 
 @query(
@@ -98,12 +98,12 @@ def agg_distinct(spark, sf):
     f"WITH {STEPS} SELECT player_id, moment, round(dx, 6) + 0 AS dx, round(dy, 6) + 0 AS dy FROM st",
 )
 def window_lag_diff(spark, sf):
-    return rounded(movement.steps(a.movement(spark, sf)), "dx", "dy").drop("step")
+    return rounded(movement.steps(a.positions(spark, sf)), "dx", "dy").drop("step")
 
 
 @query("travel_distance", f"WITH {TRAVEL} SELECT player_id, round(distance, 6) AS distance FROM tr")
 def travel_distance(spark, sf):
-    return rounded(movement.travel_distance(a.movement(spark, sf)), "distance")
+    return rounded(movement.travel_distance(a.positions(spark, sf)), "distance")
 
 
 SPEED = f"""WITH {TRAVEL}, s AS (SELECT max(game_clock) - min(game_clock) AS seconds FROM mv)
@@ -113,12 +113,12 @@ SPEED = f"""WITH {TRAVEL}, s AS (SELECT max(game_clock) - min(game_clock) AS sec
 
 @query("distance_and_speed", SPEED)
 def distance_and_speed(spark, sf):
-    return rounded(movement.distance_and_speed(a.movement(spark, sf)), "distance", "mph")
+    return rounded(movement.distance_and_speed(a.positions(spark, sf)), "distance", "mph")
 
 
 @query("average_speed", f"SELECT player_id, mph FROM ({SPEED})")
 def average_speed(spark, sf):
-    return rounded(movement.distance_and_speed(a.movement(spark, sf)), "mph").drop("distance")
+    return rounded(movement.distance_and_speed(a.positions(spark, sf)), "mph").drop("distance")
 
 
 @query(
@@ -126,19 +126,19 @@ def average_speed(spark, sf):
     f"WITH {STEPS} SELECT player_id, moment, round(sqrt(dx * dx + dy * dy) * CAST(0.681818 AS DOUBLE), 6) AS mph FROM st",
 )
 def fn_unit_convert(spark, sf):
-    steps = movement.steps(a.movement(spark, sf))
+    steps = movement.steps(a.positions(spark, sf))
     return steps.select("player_id", "moment", F.round(fn.to_mph(F.col("step")), 6).alias("mph"))
 
 
 @query("fn_euclidean", f"WITH {a.MOVES} SELECT player_id, moment, round(sqrt(x_loc * x_loc + y_loc * y_loc), 6) AS r FROM mv")
 def fn_euclidean(spark, sf):
     r = fn.distance(F.col("x_loc"), F.col("y_loc"), F.lit(0.0), F.lit(0.0))
-    return a.movement(spark, sf).select("player_id", "moment", F.round(r, 6).alias("r"))
+    return a.positions(spark, sf).select("player_id", "moment", F.round(r, 6).alias("r"))
 
 
 @query("join_self_positional", f"WITH {FOCUS} SELECT player_id, moment, shot_clock, round(dist, 6) AS dist FROM fd")
 def join_self_positional(spark, sf):
-    return rounded(movement.focus_distances(a.movement(spark, sf), a.FOCUS), "dist")
+    return rounded(movement.focus_distances(a.positions(spark, sf), a.FOCUS), "dist")
 
 
 @query(
@@ -146,12 +146,12 @@ def join_self_positional(spark, sf):
     f"WITH {FOCUS} SELECT player_id, count(*) AS moments, round(avg(dist), 6) AS avg_dist FROM fd GROUP BY player_id",
 )
 def distance_to_focus(spark, sf):
-    return rounded(movement.distance_to_focus(a.movement(spark, sf), a.FOCUS), "avg_dist")
+    return rounded(movement.distance_to_focus(a.positions(spark, sf), a.FOCUS), "avg_dist")
 
 
 @query("distance_in_play", f"WITH {PLAY} SELECT pair, moment, shot_clock, round(dist, 6) AS dist FROM play")
 def distance_in_play(spark, sf):
-    play = movement.distance_in_play(a.movement(spark, sf), a.PAIRS, a.GAME_RANGE, a.SHOT_RANGE)
+    play = movement.distance_in_play(a.positions(spark, sf), a.PAIRS, a.GAME_RANGE, a.SHOT_RANGE)
     return rounded(play, "dist")
 
 
@@ -160,7 +160,7 @@ def distance_in_play(spark, sf):
     f"WITH {PLAY} SELECT pair, max(moment) AS moment, round(arg_max(dist, moment), 6) AS dist FROM play GROUP BY pair",
 )
 def series_last_value(spark, sf):
-    play = movement.distance_in_play(a.movement(spark, sf), a.PAIRS, a.GAME_RANGE, a.SHOT_RANGE)
+    play = movement.distance_in_play(a.positions(spark, sf), a.PAIRS, a.GAME_RANGE, a.SHOT_RANGE)
     return rounded(movement.last_distances(play), "dist")
 
 
@@ -172,7 +172,7 @@ def udf_group_scalar(spark, sf):
     def length(step: pd.Series) -> float:
         return float(step.sum())
 
-    steps = movement.steps(a.movement(spark, sf)).withColumn("chunk", F.floor(F.col("moment") / 10_000))
+    steps = movement.steps(a.positions(spark, sf)).withColumn("chunk", F.floor(F.col("moment") / 10_000))
     parts = steps.groupBy("player_id", "chunk").agg(length("step").alias("part"))
     return parts.groupBy("player_id").agg(F.round(F.sum("part"), 6).alias("distance"))
 
@@ -183,7 +183,7 @@ def udf_group_scalar(spark, sf):
     ORDER BY moment) AS moments, round(sum(dist), 6) AS total FROM fd GROUP BY 1, 2""",
 )
 def udf_group_list(spark, sf):
-    lists = movement.distance_lists(a.movement(spark, sf), a.FOCUS)
+    lists = movement.distance_lists(a.positions(spark, sf), a.FOCUS)
     total = F.aggregate("series", F.lit(0.0), lambda acc, s: acc + s["dist"])
     names = F.concat_ws(",", F.transform("series", lambda s: s["moment"].cast("string")))
     return lists.select(
