@@ -130,8 +130,22 @@ def _multiply(left, right, shape, chunk: int = 2_000_000) -> np.ndarray:
     return out
 
 
-def _block_products(table: pa.Table) -> pa.Table:
-    """Partial correlations of the profiles on the two sides of one block pair and key slice."""
+def _within_best(product: np.ndarray, same: np.ndarray, best: int) -> np.ndarray:
+    """Cells that may be among the ``best`` of their row or of their column, ties included."""
+    ranked = np.where(same | np.isnan(product), -np.inf, product)
+    keep = np.zeros(product.shape, bool)
+    for view, out in ((ranked, keep), (ranked.T, keep.T)):
+        k = min(best, view.shape[1])
+        least = -np.partition(-view, k - 1, axis=1)[:, k - 1 : k]
+        out |= (view >= least) & (view > -np.inf)
+    return keep
+
+
+def _block_products(table: pa.Table, best: int | None = None) -> pa.Table:
+    """Partial correlations of the profiles on the two sides of one block pair and key slice.
+
+    With ``best``, the slice being the only one, only pairs that can be among the best of either.
+    """
     side = table["side"].to_numpy()
     ids = table["id"].combine_chunks().dictionary_encode()
     keys = table["key"].combine_chunks().dictionary_encode()
@@ -162,6 +176,9 @@ def _block_products(table: pa.Table) -> pa.Table:
         keep &= rank[lid][:, None] <= rank[rid][None, :]
     if first:
         product = product - np.outer(loff, roff)
+    if best is not None:
+        # Rows and columns are cut to their best before the mirrored half of an own block goes.
+        keep &= _within_best(product, lid[:, None] == rid[None, :], best)
     i, j = np.nonzero(keep)
     part = product[i, j]
     return pa.table(
@@ -173,9 +190,14 @@ def _block_products(table: pa.Table) -> pa.Table:
     )
 
 
-def correlation_matrix(profiles: DataFrame, block: int = 1024, slice_cells: int = 500_000) -> DataFrame:
+def correlation_matrix(
+    profiles: DataFrame, block: int = 1024, slice_cells: int = 500_000, best: int | None = None
+) -> DataFrame:
     """Correlation of every profile with every profile, itself included: (id, neighbor_id, corr).
 
+    With ``best`` the result may leave out pairs that are not among the ``best`` highest of either profile, which
+    saves most of the rows where only nearest neighbours are wanted.
+
     Profiles are cut into blocks of about ``block`` ids. A task holds two blocks and one slice of
     the keys and returns summed products, never the pairs that meet under a key, so a key shared
     by everybody costs a matrix product rather than a flood of rows. Slices bound what a task
@@ -214,8 +236,13 @@ def correlation_matrix(profiles: DataFrame, block: int = 1024, slice_cells: int
         "z",
     )
     kind = profiles.schema["id"].dataType.simpleString()
+    known = best if slices == 1 else None  # partial sums of several slices cannot be ranked yet
+
+    def multiply(table: pa.Table) -> pa.Table:
+        return _block_products(table, known)
+
     parts = paired.groupBy("low", "high", "slice").applyInArrow(
-        _block_products, f"id {kind}, neighbor_id {kind}, part double"
+        multiply, f"id {kind}, neighbor_id {kind}, part double"
     )
     if slices > 1:
         parts = parts.groupBy("id", "neighbor_id").agg(F.sum("part").alias("part"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rivulet.functions.numbers import scaled
 from rivulet.functions.times import slot_index
@@ -49,6 +49,17 @@ def with_lags(
     return joined.withColumn(name, lags).drop("inside_", "before_", "chunk_")
 
 
+def default_chunk(df: DataFrame, order: str) -> Column:
+    """A chunk for ``with_lags``: 65536 steps of a whole number, a week of a time; of anything else
+    the sequence is one chunk."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.floor(F.col(order) / 65_536)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.date_trunc("week", F.col(order).cast("timestamp"))
+    return F.lit(0)
+
+
 def lag_columns(df: DataFrame, values: Sequence[str], depth: int, lags: str = "lags") -> DataFrame:
     """One column ``<value>_lag<i>`` per value and distance, null before the sequence starts."""
     picked = [

@@ -109,6 +109,12 @@ def nearest_neighbors(sim: DataFrame, user=None, k: int = 30) -> DataFrame:
     return _unpack(_best_per_user(others, k))
 
 
+def neighbors_of_all(ratings: DataFrame, k: int = 30, fill: float = UNRATED) -> DataFrame:
+    """``nearest_neighbors`` of every user, without the whole similarity matrix ever being shuffled."""
+    sim = correlation_matrix(_profiles(ratings, fill), best=k).withColumnRenamed("id", "user_id")
+    return nearest_neighbors(sim, None, k)
+
+
 def _best_per_user(others: DataFrame, k: int, parts: int = 64) -> DataFrame:
     """The k best per user in two rounds, the first over parts of a user's candidates, so that
     no task sorts all candidates of one user."""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.functions.tails import chi2_tail, f_tail
 from rivulet.functions.times import GRID_SLOTS
-from rivulet.operators.ordered import batch_by_count, with_lags
+from rivulet.operators.ordered import batch_by_count, default_chunk, with_lags
 from rivulet.operators.relational import count_per_key
 from rivulet.plans.text import clean_words
 
@@ -139,14 +139,15 @@ def granger_causality(
     ``series`` has (*by, order, value, index). Four tests per lag: SSR F, SSR chi-square, likelihood
     ratio and parameter F (equal to the first), with p-values and degrees of freedom; null where
     the rows do not determine them. ``direction`` may be turned to ``value->index``.
-    ``chunk`` is a non-decreasing function of the order that cuts long series for the lags; by
-    default a series is one chunk. ``runs`` are further columns that lags do not cross.
+    ``chunk`` is a non-decreasing function of the order that cuts long series for the lags (see
+    ``default_chunk``). ``runs`` are further columns that lags do not cross.
 
     All product sums are formed in one aggregation, and only the sums of a series reach a task.
     """
     effect, cause = ("value", "index") if direction == "index->value" else ("index", "value")
+    chunk = default_chunk(series, order) if chunk is None else chunk
     known = series.where(F.col("value").isNotNull() & F.col("index").isNotNull()).select(
-        *by, *runs, order, F.col(effect).cast("double").alias("y"), F.col(cause).cast("double").alias("x")
+        *by, *runs, order, chunk.alias("chunk"), F.col(effect).cast("double").alias("y"), F.col(cause).cast("double").alias("x")
     )
     if not by:
         known = known.withColumn("series_", F.lit(0))
@@ -155,7 +156,7 @@ def granger_causality(
     means = known.groupBy(*group).agg(F.avg("y").alias("my"), F.avg("x").alias("mx"))
     centred = known.join(means, group).withColumns({"y": F.col("y") - F.col("my"), "x": F.col("x") - F.col("mx")})
     lagged = with_lags(
-        centred.drop("my", "mx"), [*group, *runs], order, ["y", "x"], maxlag, F.lit(0) if chunk is None else chunk
+        centred.drop("my", "mx"), [*group, *runs], order, ["y", "x"], maxlag, F.col("chunk")
     )
 
     def past(i: int, c: str) -> Column:
@@ -194,6 +195,7 @@ def granger_pooled(
     for at, part in enumerate(parts):
         numbered = part.withColumn("day_", F.lit(at))
         pooled = numbered if pooled is None else pooled.unionByName(numbered)
+    chunk = F.struct("day_", default_chunk(pooled, order))
     pooled = pooled.withColumn("order_", F.struct("day_", order))
     runs = ["day_"] if partition_by_day else []
-    return granger_causality(pooled, maxlag, by, "order_", runs=runs, **options)
+    return granger_causality(pooled, maxlag, by, "order_", chunk, runs=runs, **options)

@@ -85,6 +85,19 @@ def test_neighbours_break_ties_by_id_and_skip_self(spark):
     assert as_set(rec.threshold_neighbors(sim, 1, 0.4), "neighbor_id") == {(2,), (3,), (5,)}
 
 
+@pytest.mark.parametrize("block, cells", [(1024, 500_000), (6, 500_000), (6, 40)])
+def test_best_of_all_equal_the_best_of_the_matrix(spark, block, cells):
+    rows = random_ratings(seed=6)
+    rows += [(u + 100, b, s) for u, b, s in rows if u in (2, 9)]  # twins, so that correlations tie
+    profiles = spark.createDataFrame(rows, RATING).selectExpr("user_id id", "business_id key", "stars - 0.1D value")
+    kept = correlation_matrix(profiles, block, cells, best=4).withColumnRenamed("id", "user_id")
+    whole = correlation_matrix(profiles, block, cells).withColumnRenamed("id", "user_id")
+    columns = ("user_id", "neighbor_id", "rank")
+    assert as_set(rec.nearest_neighbors(kept, None, 4), *columns) == as_set(rec.nearest_neighbors(whole, None, 4), *columns)
+    assert (kept.count() < whole.count()) == (cells > 40)
+    assert rec.neighbors_of_all(spark.createDataFrame(rows, RATING), 3).count() == 3 * 25
+
+
 def brute_force(rows, user, business, near, mean, std):
     by = {(u, b): s for u, b, s in rows}
     delta = weight = 0.0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.operators.relational import collect_lists, count_per_key
+from rivulet.operators.relational import collect_lists
 from rivulet.session import fresh_path
 from rivulet.sources import readers, sinks
 from workload import adapters as a
@@ -26,14 +26,8 @@ def scan_json_records(spark, sf):
 
 @query("scan_json_document", EVENT_SQL)
 def scan_json_document(spark, sf):
-    """One file per document, each document an array of at most 5000 events."""
-    rows = event_columns(spark, sf).withColumn("document", F.floor(F.col("event_id") / 5000))
-    bodies = rows.groupBy("document").agg(
-        F.to_json(F.collect_list(F.struct("event_id", "user_id", "event_type", "value"))).alias("body")
-    )
-    path = fresh_path(spark, "documents")
-    bodies.write.partitionBy("document").text(path)
-    return readers.json_document(spark, path, EVENT).drop("document")
+    path = sinks.write_json_document(event_columns(spark, sf), fresh_path(spark, "documents"))
+    return readers.json_document(spark, path, EVENT)
 
 
 @query(

@@ -265,8 +265,7 @@ def nearest_neighbors(spark, sf):
 def nearest_neighbors_all(spark, sf):
     """Five best of every user; ids are left out because equal correlations may round apart."""
     _, _, ratings = prepared(spark, sf)
-    sim = rec.user_similarity(ratings)
-    return rounded(rec.nearest_neighbors(sim, None, 5), "corr", digits=9).drop("neighbor_id")
+    return rounded(rec.neighbors_of_all(ratings, 5), "corr", digits=9).drop("neighbor_id")
 
 
 @query(

@@ -241,9 +241,7 @@ SHOWN = ["event_type", "lag", "observations", "f_stat", "f_df1", "f_df2", "chi2_
 
 
 def hourly_granger(spark, sf):
-    return ts.granger_causality(
-        a.hourly_series(spark, sf), MAXLAG, ["event_type"], "time", F.date_trunc("month", "time")
-    )
+    return ts.granger_causality(a.hourly_series(spark, sf), MAXLAG, ["event_type"], "time")
 
 
 @query("granger_causality", granger_sql(f"{a.HOURLY}, se AS (SELECT * FROM hourly)", "event_type", "time"))
