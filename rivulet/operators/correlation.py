@@ -191,7 +191,7 @@ def _block_products(table: pa.Table, best: int | None = None) -> pa.Table:
 
 
 def correlation_matrix(
-    profiles: DataFrame, block: int = 1024, slice_cells: int = 500_000, best: int | None = None
+    profiles: DataFrame, block: int = 1024, slice_cells: int = 4_000_000, best: int | None = None
 ) -> DataFrame:
     """Correlation of every profile with every profile, itself included: (id, neighbor_id, corr).
 
@@ -213,6 +213,9 @@ def correlation_matrix(
     blocks = max(1, -(-found["ids"] // block))
     heaviest = -(-2 * (found["cells"] or 0) // blocks) + 2 * (found["most"] or 0)
     slices = max(1, -(-heaviest // slice_cells))
+    if heaviest > 100_000:  # a few large blocks still keep all cores busy
+        cores = profiles.sparkSession.sparkContext.defaultParallelism
+        slices = max(slices, -(-2 * cores // (blocks * (blocks + 1))))
 
     scaled = profiles.join(stats.select("id", "scale"), "id").select(
         "id", "key", (F.col("value") * F.col("scale")).alias("z")

@@ -113,8 +113,17 @@ def batch_by_count(posts: DataFrame, order: Sequence[str], size: int, slots: int
     bounds = starts.agg(F.sort_array(F.collect_list(here))).scalar()
     end = keys.where(F.col("position_") == usable).select(here).scalar()
     kept = posts.where(F.coalesce(here < end, F.lit(usable > 0))).withColumn("starts_", bounds)
-    place = F.size(F.filter("starts_", lambda start: start <= here)) - 1
-    return kept.withColumn(name, place.cast("int")).drop("starts_")
+
+    def place(low: int, high: int) -> Column:
+        """The last slot in low..high whose start is not after this post, by halving. A slot without
+        a start compares as unknown, which leads to the lower half."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        reached = here >= F.get("starts_", F.lit(middle))
+        return F.when(reached, place(middle, high)).otherwise(place(low, middle - 1))
+
+    return kept.withColumn(name, place(0, slots - 1)).drop("starts_")
 
 
 def slot_last_quote(quotes: DataFrame, ts: str, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
