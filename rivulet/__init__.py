@@ -1,5 +1,12 @@
 """Analytic jobs on Spark DataFrames: text, social, movement, recommendation and time series.
 
-Every public function takes and returns DataFrames (or Columns) and stays lazy unless its
-docstring says otherwise.
+Functions take and return DataFrames (or Columns) and stay lazy unless their docstring says that
+they run a job.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their helpers, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

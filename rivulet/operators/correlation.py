@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rivulet.session import materialize
+
 
 def _constant(sums: Column, size: Column) -> Column:
     """Whether a profile is the same everywhere: all cells 0, or every key present with one value."""
@@ -25,8 +27,8 @@ def _constant(sums: Column, size: Column) -> Column:
 
 
 def profile_stats(profiles: DataFrame, size: Column, id_col: str = "id") -> DataFrame:
-    """(id, scale, offset) per profile: z = value * scale and a = offset in the formula above, both
-    null for a constant profile."""
+    """(id, cells, scale, offset) per profile: z = value * scale and a = offset in the formula above,
+    both null for a constant profile."""
     sums = profiles.groupBy(id_col).agg(
         F.struct(
             F.sum("value").alias("s"),
@@ -40,7 +42,7 @@ def profile_stats(profiles: DataFrame, size: Column, id_col: str = "id") -> Data
     n, s, q = F.col("size"), F.col("sums.s"), F.col("sums.q")
     spreads = sized.withColumn("d", F.when(~_constant(F.col("sums"), n), F.sqrt(n * q - s * s)))
     return spreads.select(
-        id_col, (F.sqrt("size") / F.col("d")).alias("scale"), (s / F.col("d")).alias("offset")
+        id_col, "sums.cells", (F.sqrt("size") / F.col("d")).alias("scale"), (s / F.col("d")).alias("offset")
     )
 
 
@@ -202,16 +204,15 @@ def correlation_matrix(
     the keys and returns summed products, never the pairs that meet under a key, so a key shared
     by everybody costs a matrix product rather than a flood of rows. Slices bound what a task
     reads when a profile or a block is large; they are added up at the end, and a single slice
-    needs no addition. Block and slice numbers follow from sizes measured up front, which
-    runs a job that returns one row.
+    needs no addition. Block and slice numbers follow from the sizes of the profiles, whose statistics
+    are written first (this runs jobs).
     """
     size = profiles.agg(F.countDistinct("key").cast("double")).scalar()
-    stats = profile_stats(profiles, size)
-    found = profiles.groupBy("id").agg(F.count(F.lit(1)).alias("cells")).agg(
-        F.count(F.lit(1)).alias("ids"), F.sum("cells").alias("cells"), F.max("cells").alias("most")
-    ).first()
-    blocks = max(1, -(-found["ids"] // block))
-    heaviest = -(-2 * (found["cells"] or 0) // blocks) + 2 * (found["most"] or 0)
+    stats = materialize(profile_stats(profiles, size), "profile-stats")
+    blocks = max(1, -(-stats.count() // block))
+    home = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    largest = stats.groupBy(home.alias("block")).agg(F.sum("cells").alias("cells")).agg(F.max("cells")).first()[0]
+    heaviest = 2 * (largest or 0)
     slices = max(1, -(-heaviest // slice_cells))
     if heaviest > 100_000:  # a few large blocks still keep all cores busy
         cores = profiles.sparkSession.sparkContext.defaultParallelism
@@ -226,7 +227,7 @@ def correlation_matrix(
         "id",
         "key",
         "z",
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("mine"),
+        home.alias("mine"),
         F.when(F.col("key").isNull(), 0).otherwise(F.pmod(F.xxhash64("key"), F.lit(slices))).cast("int").alias("slice"),
     )
     paired = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
