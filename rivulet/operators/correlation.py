@@ -209,12 +209,13 @@ def correlation_matrix(
     """
     size = profiles.agg(F.countDistinct("key").cast("double")).scalar()
     stats = materialize(profile_stats(profiles, size), "profile-stats")
-    blocks = max(1, -(-stats.count() // block))
+    ids = stats.count()
+    blocks = max(1, -(-ids // block))
     home = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     largest = stats.groupBy(home.alias("block")).agg(F.sum("cells").alias("cells")).agg(F.max("cells")).first()[0]
     heaviest = 2 * (largest or 0)
     slices = max(1, -(-heaviest // slice_cells))
-    if heaviest > 100_000:  # a few large blocks still keep all cores busy
+    if heaviest > max(100_000, (ids / blocks) ** 2):  # few profiles with many cells still keep all cores busy
         cores = profiles.sparkSession.sparkContext.defaultParallelism
         slices = max(slices, -(-2 * cores // (blocks * (blocks + 1))))
 

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.operators.correlation import correlation_matrix, correlation_with
-from rivulet.operators.relational import count_per_key, error_metrics, first_per_key, groups_above
+from rivulet.operators.relational import count_per_key, error_metrics, groups_above
 from rivulet.plans.text import words
 from rivulet.session import materialize
 

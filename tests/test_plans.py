@@ -1,9 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import pytest
-from pyspark.sql import functions as F
 
-from rivulet.functions.text import BLANKS
 from tests.test_oracle import SF
 
 QUIET = """word_frequency lexical_diversity sentiment_verdict popular_posts popular_entities mutual_connections flatten_movement
