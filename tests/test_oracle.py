@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from check import compare, duck
+from workload.registry import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 UNCHECKED = {"granger_p_values"}  # tested against another implementation in test_timeseries
@@ -17,13 +18,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == UNCHECKED
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == UNCHECKED
+    assert set(ORACLES) <= set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    verdict = compare(spark, con, SF, queries()[name], oracle_sql().get(name))
+    verdict = compare(spark, con, SF, QUERIES[name], ORACLES.get(name))
     assert verdict.startswith(("ok", "rows")), verdict
 
 
