@@ -1,4 +1,4 @@
 """All queries of the training-data operators."""
 
-from rivulet.llm import mixing, sharding  # noqa: F401
+from rivulet.llm import mixing, sharding, simhash  # noqa: F401
 from rivulet.llm.registry import ORACLES, QUERIES  # noqa: F401
