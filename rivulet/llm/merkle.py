@@ -1,6 +1,6 @@
 """Document fingerprints: a Merkle tree over pieces, paragraphs and sections.
 
-Leaves are pieces of a sentence of at most ``PIECE`` characters, a paragraph is a line with its line break,
+Leaves are pieces of a sentence of at most ``PIECE`` characters (shorter ones where a paragraph begins), a paragraph is a line with its line break,
 and a section ends before a heading (``#``), after an empty line, or after a paragraph whose hash says so,
 so that an edit moves no distant border. A node's digest is the BLAKE2b of its children's digests. The
 fingerprint is ``root:tree``: the root in hex, then every leaf as 8 hex digits of its digest and 2 digits of
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from rivulet.llm.registry import query, table
 
 PIECE = 48
+#: A paragraph begins with pieces of this size, for the first PIECE characters, so that short texts have several leaves.
+FIRST_PIECE = 12
 #: One paragraph in so many ends a section by its hash.
 SECTION = 8
 #: Rows of a range of ids, and ranges at most: a list of so many ids is what the driver sees.
@@ -49,9 +51,13 @@ def _digest(data: bytes) -> bytes:
 
 def _paragraph_leaves(paragraph: str) -> tuple[list[str], bytes]:
     names, digests = [], []
+    before = 0
     for sentence in _SENTENCE.findall(paragraph):
-        for at in range(0, len(sentence), PIECE):
-            piece = sentence[at : at + PIECE]
+        at = 0
+        while at < len(sentence):
+            piece = sentence[at : at + (FIRST_PIECE if before < PIECE else PIECE)]
+            at += len(piece)
+            before += len(piece)
             digest = _digest(piece.encode("utf-8", "surrogatepass"))
             digests.append(digest)
             names.append(f"{digest[:4].hex()}{len(piece):02d}")
