@@ -1,4 +1,4 @@
 """All queries of the training-data operators."""
 
-from rivulet.llm import decontaminate, langid, merkle, mixing, pii, quality, sharding, simhash, tokenids  # noqa: F401
+from rivulet.llm import decontaminate, langid, merkle, mixing, pages, pii, quality, sharding, simhash, tokenids  # noqa: F401
 from rivulet.llm.registry import ORACLES, QUERIES  # noqa: F401
