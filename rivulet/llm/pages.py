@@ -35,6 +35,8 @@ SAMPLE_PAGES = 1200
 MOST_DEEP = 200
 #: Cost, in log chance, of opening an element.
 OPENING = 0.5
+#: Highest chance of an element that says it is something else.
+AGAINST = 0.05
 
 # Fixed word lists of HTML and of common attribute names.
 BLOCKS = set(
@@ -238,8 +240,8 @@ def features(page: Page) -> np.ndarray:
     return np.array(rows, float)
 
 
-def weak_labels(page: Page) -> np.ndarray:
-    """1 for nodes that say they are the article or stand in one, 0 for the opposite, -1 unknown or both inside.
+def weak_labels(page: Page, mixed: bool = False) -> np.ndarray:
+    """1 for nodes that say they are the article or stand in one, 0 for the opposite, -1 unknown; without ``mixed`` also -1 if both are inside.
 
     The nearest element that says something decides; a header inside an article does not speak.
     """
@@ -252,6 +254,8 @@ def weak_labels(page: Page) -> np.ndarray:
             said[k] = 1
         else:
             said[k] = above
+    if mixed:
+        return said
     out, text = said.copy(), [bool(n.blocks) for n in page.nodes]
     for k in range(len(page.nodes) - 1, 0, -1):
         up = page.nodes[k].parent
@@ -327,7 +331,9 @@ def main_texts(model: BoostedTrees | None, sources: list[str | None]) -> list[st
         return [""] * len(pages)
     described = [features(p) for p in full]
     chances = np.split(model.probability(np.concatenate(described)), np.cumsum([len(d) for d in described])[:-1])
-    texts = iter(["\n".join(p.blocks[b] for b in decode(p, c)) for p, c in zip(full, chances)])
+    # an element that says it is no part of the article is taken at its word
+    told = [np.where(weak_labels(p, mixed=True) == 0, np.minimum(c, AGAINST), c) for p, c in zip(full, chances)]
+    texts = iter(["\n".join(p.blocks[b] for b in decode(p, c)) for p, c in zip(full, told)])
     return [next(texts) if p and p.blocks else "" for p in pages]
 
 
