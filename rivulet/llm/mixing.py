@@ -125,8 +125,8 @@ def place_documents(sized: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def sized_documents(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), _order_key(F.col("doc_id")).alias("key"))
+def sized_documents(docs: DataFrame, *carried: Column) -> DataFrame:
+    return docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), _order_key(F.col("doc_id")).alias("key"), *carried)
 
 
 def mix(sized: DataFrame) -> DataFrame:
@@ -163,38 +163,25 @@ def mix(sized: DataFrame) -> DataFrame:
     )
 
 
-def taken_words(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, source, key, size, source_size, target, taken."""
-    sized = materialize(sized_documents(docs), "sized")
-    rows = mix(sized).groupBy("sid", "cell", "nth", "doc_id", "source", "key", "size", "source_size", "target")
-    return rows.agg(F.sum("words").alias("taken")).drop("sid", "cell", "nth")
+def taken_words(docs: DataFrame, *carried: Column) -> DataFrame:
+    """One row per document: doc_id, source, key, size, ``carried``, source_size, target, taken."""
+    sized = materialize(sized_documents(docs, *carried), "sized")
+    return mix(sized).groupBy("sid", "cell", "nth", *sized.columns, "source_size", "target").agg(F.sum("words").alias("taken")).drop("sid", "cell", "nth")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents as the mix takes them: each as many times as its words are taken, to the nearest whole number.
 
-    Only a source's last document of a pass is cut by the end of the schedule, so only that one is rounded.
-    Rows that share an id are numbered by source and text before their counts are joined back.
+    Only a source's last document is cut by the end of the schedule, so only that one is rounded; documents without a word
+    are not taken. Rows that agree in id, source and text come out together, as often as all of them are taken. Texts move once.
     """
-    number = Window.partitionBy("__id").orderBy("source", "__size", "__text")
-    keys = {
-        "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-        "__size": words_in(F.col("text")),
-        "__text": F.xxhash64("text"),
-    }
-    counts = taken_words(docs).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__id"),
-        "source",
-        F.col("size").alias("__size"),
-        F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int").alias("__copies"),
-    )
-    counts = counts.withColumn("__nth", F.row_number().over(Window.partitionBy("__id").orderBy("source", "__size"))).drop("source", "__size")
-    numbered = docs.withColumns(keys).withColumn("__nth", F.row_number().over(number))
-    return (
-        numbered.join(counts.filter("__copies > 0"), ["__id", "__nth"])
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
-        .select(*[numbered[c] for c in docs.columns])
-    )
+    same = F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), F.xxhash64("text")
+    ).alias("__same")
+    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)
+    counts = taken_words(docs, same).groupBy("__same").agg(F.sum(copies).cast("int").alias("__copies")).filter("__copies > 0")
+    numbered = docs.withColumn("__same", same).withColumn("__nth", F.row_number().over(Window.partitionBy("__same").orderBy("lang"))).filter("__nth = 1")
+    return numbered.join(counts, "__same").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
 
 
 #: The same mix in SQL.

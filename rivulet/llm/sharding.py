@@ -89,7 +89,7 @@ def shard_of(text: Column, cuts: list[int], bits: int = BIN_BITS) -> Column:
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BIN_BITS, salts: int = SALTS) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot`` (numbered without gaps from 0 in each shard)."""
+    """``docs`` with ``shard`` and ``slot`` (numbered without gaps from 0 in each shard); columns of these names are replaced."""
     cuts = minimax_cuts(docs, shards, bits)
     placed = docs.withColumns(
         {

@@ -122,13 +122,15 @@ def without_near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int =
     """``docs`` with one row of each group left: that of its smallest id.
 
     Of rows that share that id one stays, the first by source, language and text hash. A group whose ids
-    are all null keeps one row.
+    are all null keeps one row. Texts move once: the join and the choice among equal ids share a partitioning.
     """
-    ids = near_duplicate_groups(docs, radius, width)
-    kept = ids.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    first = Window.partitionBy("doc_id").orderBy("source", "lang", F.xxhash64("text"))
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    groups = near_duplicate_groups(docs, radius, width)
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key("doc_id").alias("__kept")).distinct()
+    first = Window.partitionBy("__id").orderBy("source", "lang", F.xxhash64("text"))
+    keyed = docs.withColumn("__id", key("doc_id"))
     return (
-        docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")))
+        keyed.join(kept, F.col("__id") == F.col("__kept"))
         .withColumn("__nth", F.row_number().over(first))
         .filter("__nth = 1")
         .select(*docs.columns)
