@@ -115,35 +115,43 @@ def edited_stretches(a: str, b: str) -> list[tuple[int, int]]:
     """Stretches of the first text, as (start, end) in characters, under branches the second does not have.
 
     Roots first; then sections and paragraphs are looked up among the other's by their leaves, and only
-    those it lacks are opened.
+    those that one side alone has are opened.
     """
     if a.partition(":")[0] == b.partition(":")[0]:
         return []
-    theirs = parsed(b)
-    sections = Counter("/".join("".join(p) for p in s) for s in theirs)
-    paragraphs = Counter("".join(p) for s in theirs for p in s)
-    leaves = _leaves(theirs)
+    ours, theirs = parsed(a), parsed(b)
+    whole = lambda section: "/".join("".join(p) for p in section)
+    sections = Counter(map(whole, theirs))
+    opened = []  # ours: (known, section)
+    for section in ours:
+        sections[whole(section)] -= 1
+        opened.append((sections[whole(section)] >= 0, section))
+    known = Counter(whole(s) for k, s in opened if k)
+    paragraphs = Counter("".join(p) for s in theirs if not _take(known, whole(s)) for p in s)
+    looked_up = [(k or _take(paragraphs, "".join(p)), p) for k, s in opened for p in s]
+    # what is left of their paragraphs has the leaves that ours may share
+    leaves = Counter(name[i : i + 10] for name in paragraphs.elements() for i in range(0, len(name), 10))
     at, found = 0, []
-
-    def take(have: Counter, name: str) -> bool:
-        have[name] -= 1
-        return have[name] >= 0
-
-    for section in parsed(a):
-        known = take(sections, "/".join("".join(p) for p in section))
-        for paragraph in section:
-            same = known or take(paragraphs, "".join(paragraph))
-            for name in paragraph:
-                end = at + int(name[8:])
-                if not same and not take(leaves, name):
-                    if found and found[-1][1] == at:
-                        found[-1] = (found[-1][0], end)
-                    else:
-                        found.append((at, end))
-                at = end
+    for same, paragraph in looked_up:
+        for name in paragraph:
+            end = at + int(name[8:])
+            if not same and not _take(leaves, name):
+                if found and found[-1][1] == at:
+                    found[-1] = (found[-1][0], end)
+                else:
+                    found.append((at, end))
+            at = end
     return found
 
 
+def _take(have: Counter, name: str) -> bool:
+    """Use up one ``name`` if there is one."""
+    if have[name] <= 0:
+        return False
+    have[name] -= 1
+    return True
+
+
 # ---- the jobs
 
 
