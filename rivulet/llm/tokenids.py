@@ -10,25 +10,26 @@ in ascending doc_id order; ``row`` grows through all files, its upper bits are t
 Parquet holds the bytes, so any store that Spark writes to will do and a lost task is just run again.
 
 The tokenizer sees each different word of a task once: the library drops white space and never
-joins pieces across it, so a text's ids are those of its words. Words of letters only are encoded many
-at a time and cut after each end-of-word token. The few texts with a separator that Python alone takes
-for white space go to the library whole.
+joins pieces across it, so a text's ids are those of its words. ASCII letters are lower-cased before, as the
+library does, and full stops and commas at the end of a word are words of their own. Words of letters only are
+encoded many at a time and cut after each end-of-word token. Texts for which this might not hold go to the library whole.
 
 Null texts count as empty: they have the end id only. Null ids come first. Repeated rows keep a place
-each. Texts of any length are cut at white space into pieces of bounded size before they are split into
-words. An empty table gives empty files and no rows.
+each. Long texts are cut at white space into pieces of bounded size before they are split into words. An empty table gives empty files and no rows.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,12 +38,15 @@ from rivulet.session import fresh_path, materialize
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-#: Characters that are split into words at a time, and words that a task remembers.
-PIECE_CHARS = 1 << 20
-REMEMBERED = 400_000
+#: Bytes of text that are split into words at a time, and words that a task remembers.
+SLICE_BYTES = 1 << 23
+REMEMBERED = 800_000
 LETTER_WORDS = 256
 
-_PYTHON_ONLY_SPACE = re.compile("[\x1c-\x1f]")
+#: Separators that only some libraries take for white space, combining marks, and the start of a special token:
+#: texts with one of these go to the tokenizer whole.
+_AS_A_WHOLE = r"[\x1c-\x1f\x{300}-\x{36f}]|<\|"
+_TAIL = r"([a-z])([.,]+)(\s|$)"
 
 
 class WordCodes:
@@ -53,82 +57,84 @@ class WordCodes:
 
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.flat = array("I")
-        self.starts, self.lengths = array("q"), array("i")
-
-    def _add(self, word: str, ids) -> None:
-        self.number[word] = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn_letters(self, words: list[str]) -> None:
-        groups = [words[i : i + LETTER_WORDS] for i in range(0, len(words), LETTER_WORDS)]
-        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
-            cuts = (np.nonzero(self.ends[np.array(ids, np.int64)])[0] + 1).tolist()
-            if len(cuts) == len(group) and cuts[-1] == len(ids):
-                for word, a, b in zip(group, [0, *cuts], cuts):
-                    self._add(word, ids[a:b])
-            else:
-                for word, own in zip(group, self._encode(group)):
-                    self._add(word, own)
-
-    def learn(self, words: set[str]) -> None:
+        self.flat = np.empty(0, self.kind)
+        self.ends_at = np.zeros(1, np.int32)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(itertools.chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.ends_at = np.concatenate((self.ends_at, (self.ends_at[-1] + np.cumsum(lengths)).astype(np.int32)))
+        self.flat = np.concatenate((self.flat, ids))
+
+    def codes(self, words: list[str]) -> np.ndarray:
+        """The numbers of these different words."""
         new = [w for w in words if w not in self.number]
         if len(self.number) + len(new) > REMEMBERED:
             self.forget()
-            new = list(words)
-        plain, built, odd = set(), [], []
+            new = words
+        letters, others = [], []
         for word in new:
-            stem = word.rstrip(".,")
-            if not stem.isalpha():
-                odd.append(word)
-                continue
-            key = stem.lower() if stem.isascii() else stem
-            if key not in self.number:
-                plain.add(key)
-            if key != word:
-                built.append((word, key, word[len(stem) :]))
-        tails = {t for _, _, t in built if t and t not in self.number} - set(odd)
-        self._learn_letters(sorted(plain))
-        for word, own in zip((both := odd + sorted(tails)), self._encode(both)):
-            self._add(word, own)
-        for word, key, tail in built:
-            ids = self._own(key) + (self._own(tail) if tail else array("I"))
-            self._add(word, ids)
-
-    def _own(self, word: str) -> array:
-        k = self.number[word]
-        return self.flat[self.starts[k] : self.starts[k] + self.lengths[k]]
-
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and how many each word has."""
-        self.learn(set(words))
-        k = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        lengths = np.frombuffer(self.lengths, np.int32)[k]
-        first = np.frombuffer(self.starts, np.int64)[k]
-        ends = np.cumsum(lengths, dtype=np.int64)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(first - ends + lengths, lengths)
-        return np.frombuffer(self.flat, np.uint32)[at] if total else np.empty(0, np.uint32), lengths
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of one text, whatever its length."""
-        if _PYTHON_ONLY_SPACE.search(text):
-            return np.array(self._encode([text])[0], np.uint32)
-        parts = [self.ids(words)[0] for piece in pieces(text) if (words := piece.split())]
-        return np.concatenate(parts) if parts else np.empty(0, np.uint32)
-
-
-def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
+            (letters if word.isalpha() else others).append(word)
+        groups = [letters[i : i + LETTER_WORDS] for i in range(0, len(letters), LETTER_WORDS)]
+        ids, lengths = self._encode([" ".join(g) for g in groups])
+        word_ends = np.flatnonzero(self.ends[ids]) + 1
+        found = np.diff(np.searchsorted(word_ends, np.concatenate(([0], np.cumsum(lengths))), side="right"))
+        if len(word_ends) == len(letters) and (found == [len(g) for g in groups]).all():
+            self._remember(letters, ids, np.diff(np.concatenate(([0], word_ends))))
+        else:
+            self._remember(letters, *self._encode(letters))
+        self._remember(others, *self._encode(others))
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has; null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, _AS_A_WHOLE).to_numpy(zero_copy_only=False)
+        if whole.any():
+            own = [self._encode([t])[0] if w else self.encode(pa.array([t], texts.type))[0] for t, w in zip(texts.to_pylist(), whole)]
+            return np.concatenate(own), np.array([len(i) for i in own], np.int64)
+        split = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts), _TAIL, r"\1 \2\3"))
+        words = split.flatten().dictionary_encode()
+        code = self.codes(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        first = self.ends_at[code]
+        lengths = self.ends_at[code + 1] - first
+        # a slice has far fewer ids than 2^31
+        upto = np.concatenate((np.zeros(1, np.int32), np.cumsum(lengths, dtype=np.int32)))
+        at = np.repeat(first - upto[:-1], lengths)
+        at += np.arange(len(at), dtype=np.int32)
+        per_text = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))
+        return self.flat[at], np.diff(upto[per_text])
+
+
+def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[pa.Array, int]]:
+    """Runs of texts of about ``size`` bytes; a longer text alone, in pieces cut at white space. How many texts end with each."""
+    at, held = 0, 0
+    for k, n in enumerate(pc.binary_length(pc.fill_null(texts, "")).to_pylist()):
+        if k > at and held + n > size:
+            yield texts[at:k], k - at
+            at, held = k, 0
+        held += n
+        if n > size:
+            parts = list(pieces(texts[k].as_py(), size))
+            for part in parts[:-1]:
+                yield pa.array([part], texts.type), 0
+            yield pa.array(parts[-1:], texts.type), 1
+            at, held = k + 1, 0
+    if at < len(texts):
+        yield texts[at:], len(texts) - at
+
+
+def pieces(text: str, size: int) -> Iterator[str]:
     """``text`` cut at white space into pieces of about ``size`` characters; a longer word stays whole."""
     at, space = 0, re.compile(r"\s")
     while at < len(text):
@@ -188,15 +194,29 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 def token_ids(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
     """doc_id and ``ids`` (little-endian, two bytes each where the largest fits, else four) per row."""
 
-    @F.pandas_udf("n_tokens long, ids binary")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n_tokens long, ids binary")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codes = word_codes(tokenizer_path(tokenizer))
-        for batch in texts:
-            rows = []
-            for text in batch:
-                ids = np.append(codes.encode(text) if isinstance(text, str) else np.empty(0, np.uint32), np.uint32(end_id))
-                rows.append((len(ids), (ids.astype("<u2") if int(ids.max()) < 1 << 16 else ids.astype("<u4")).tobytes()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids"])
+        for texts in batches:
+            flat, counts, carried = [], [], 0
+            for part, done in slices(texts.cast(pa.string())):
+                ids, lengths = codes.encode(part)
+                if not done:
+                    flat.append(ids)
+                    carried += len(ids)
+                    continue
+                lengths[0] += carried
+                carried = 0
+                flat.append(ids)
+                counts.append(lengths)
+            lengths = np.concatenate(counts) if counts else np.empty(0, np.int64)
+            ids = np.concatenate(flat) if flat else np.empty(0, codes.kind)
+            # the end id goes behind each text's ids
+            ids = np.insert(ids, np.cumsum(lengths), end_id).astype(codes.kind)
+            borders = np.concatenate(([0], np.cumsum(lengths + 1)))
+            offsets = pa.py_buffer((borders * codes.kind.itemsize).astype(np.int32).tobytes())
+            packed = pa.Array.from_buffers(pa.binary(), len(lengths), [None, offsets, pa.py_buffer(ids.tobytes())])
+            yield pa.StructArray.from_arrays([pa.array(lengths + 1), packed], ["n_tokens", "ids"])
 
     return docs.select("doc_id", encode("text").alias("encoded")).select("doc_id", "encoded.*")
 
@@ -238,10 +258,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
             yield pd.DataFrame([pack(rank_of[_numbers(n, i)]) for n, i in zip(sizes, ids)], columns=["control", "data"])
 
     (
-        encoded.select("doc_id", "n_tokens", to_bytes("n_tokens", "ids").alias("packed"))
+        encoded.repartitionByRange("doc_id", F.xxhash64("ids"))
+        .sortWithinPartitions("doc_id", F.xxhash64("ids"))
+        .select("doc_id", "n_tokens", to_bytes("n_tokens", "ids").alias("packed"))
         .select("doc_id", "n_tokens", "packed.*")
-        .repartitionByRange("doc_id", F.xxhash64("control", "data"))
-        .sortWithinPartitions("doc_id", F.xxhash64("control", "data"))
         .select(F.monotonically_increasing_id().alias("row"), "*")
         .write.option("compression", "zstd")
         .parquet(f"{path}/documents")
