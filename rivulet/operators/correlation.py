@@ -26,6 +26,18 @@ def _constant(sums: Column, size: Column) -> Column:
     return (sums["q"] == 0) | ((sums["cells"] == size) & (sums["low"] == sums["high"]))
 
 
+#: Below this share of n*q, n*q - s*s is rounding error: the profile counts as constant.
+ROUNDING = 1e-12
+
+
+def _spread(sums: Column, size: Column) -> Column:
+    """d in the formula above; null for a constant profile, one that is nearly so, and one with NaN."""
+    n, s, q = size, sums["s"], sums["q"]
+    square = n * q - s * s
+    known = ~_constant(sums, n) & ~F.isnan(square) & (square > n * q * ROUNDING)
+    return F.when(known, F.sqrt(square))
+
+
 def profile_stats(profiles: DataFrame, size: Column, id_col: str = "id") -> DataFrame:
     """(id, cells, scale, offset) per profile: z = value * scale and a = offset in the formula above,
     both null for a constant profile."""
@@ -39,11 +51,9 @@ def profile_stats(profiles: DataFrame, size: Column, id_col: str = "id") -> Data
         ).alias("sums")
     )
     sized = sums.select(id_col, "sums", size.alias("size"))
-    n, s, q = F.col("size"), F.col("sums.s"), F.col("sums.q")
-    spreads = sized.withColumn("d", F.when(~_constant(F.col("sums"), n), F.sqrt(n * q - s * s)))
-    return spreads.select(
-        id_col, "sums.cells", (F.sqrt("size") / F.col("d")).alias("scale"), (s / F.col("d")).alias("offset")
-    )
+    spreads = sized.withColumn("d", _spread(F.col("sums"), F.col("size")))
+    scale, offset = F.try_divide(F.sqrt("size"), F.col("d")), F.try_divide(F.col("sums.s"), F.col("d"))
+    return spreads.select(id_col, "sums.cells", scale.alias("scale"), offset.alias("offset"))
 
 
 def correlation_with(profiles: DataFrame, target) -> DataFrame:
@@ -67,11 +77,9 @@ def correlation_with(profiles: DataFrame, target) -> DataFrame:
     mine = own.agg(F.struct(*facts)).scalar()
     both = sums.select("id", "their", "p", mine.alias("mine"), size.alias("size"))
 
-    def spread(of: str) -> Column:
-        n, s, q = F.col("size"), F.col(f"{of}.s"), F.col(f"{of}.q")
-        return F.when(~_constant(F.col(of), n), F.sqrt(n * q - s * s))
-
-    corr = (F.col("size") * F.col("p") - F.col("their.s") * F.col("mine.s")) / (spread("their") * spread("mine"))
+    above = F.col("size") * F.col("p") - F.col("their.s") * F.col("mine.s")
+    below = _spread(F.col("their"), F.col("size")) * _spread(F.col("mine"), F.col("size"))
+    corr = F.try_divide(above, below)
     return both.select(F.lit(target).alias("id"), F.col("id").alias("neighbor_id"), corr.alias("corr"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rivulet.functions.numbers import scaled
 from rivulet.functions.times import slot_index
-from rivulet.operators.relational import last_per_key
+from rivulet.operators.relational import join_on_same, last_per_key
 from rivulet.session import materialize
 
 
@@ -18,7 +18,7 @@ def with_lags(
     """Add ``name``: an array of the last ``depth`` rows before this one in its sequence, nearest
     first, each a struct of ``values``; fewer near the start.
 
-    A sequence is one value of ``by`` in the order of ``order`` (no ties). ``chunk`` must never
+    A sequence is one value of ``by``, null included, in the order of ``order`` (no ties; nulls first). ``chunk`` must never
     decrease along it. Windows run inside one chunk of one sequence; what reaches back over a chunk's
     start comes from the last ``depth`` rows of the chunks before, a table that is smaller by
     the chunk length. One very long sequence is thereby spread over many tasks.
@@ -44,20 +44,30 @@ def with_lags(
         .groupBy(*by, "chunk_")
         .agg(F.min_by("before_", order).alias("before_"))
     )
-    joined = inside.join(before, [*by, "chunk_"])
+    joined = join_on_same(inside, before, [*by, "chunk_"])
     lags = F.slice(F.concat("inside_", "before_"), 1, depth)
     return joined.withColumn(name, lags).drop("inside_", "before_", "chunk_")
 
 
-def default_chunk(df: DataFrame, order: str) -> Column:
-    """A chunk for ``with_lags``: 65536 steps of a whole number, a week of a time; of anything else
-    the sequence is one chunk."""
+def default_chunk(df: DataFrame, order: str, rows: int = 65_536, most: int = 256) -> Column:
+    """A chunk for ``with_lags``: ``rows`` steps of a whole number; for times and other numbers about ``rows``
+    rows, by borders that a job finds (at most ``most`` chunks, which then grow with the table).
+    Any other kind of order needs a chunk of the caller's."""
     kind = df.schema[order].dataType
     if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(order) / 65_536)
+        return F.floor(F.col(order) / rows)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_trunc("week", F.col(order).cast("timestamp"))
-    return F.lit(0)
+        at = F.unix_micros(F.col(order).cast("timestamp"))
+    elif isinstance(kind, (T.FractionalType, T.DecimalType)):
+        at = F.col(order).cast("double")
+    else:
+        raise ValueError(f"no default chunk for an order of type {kind.simpleString()}: pass chunk")
+    chunks = min(most, -(-df.count() // rows))
+    if chunks <= 1:
+        return F.lit(0)
+    shares = [i / chunks for i in range(1, chunks)]
+    borders = df.agg(F.percentile_approx(at, shares, 20 * chunks)).first()[0] or []
+    return F.size(F.filter(F.array(*map(F.lit, borders)), lambda border: border <= at))
 
 
 def lag_columns(df: DataFrame, values: Sequence[str], depth: int, lags: str = "lags") -> DataFrame:
@@ -75,9 +85,8 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
     partition's offset. The numbered rows are written to the shared folder first (this runs a
     job), because two evaluations might cut the ranges differently. Pass narrow rows.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = materialize(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("id_", F.monotonically_increasing_id())
     )
@@ -94,40 +103,52 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
     return placed.withColumn(name, F.col("offset_") + F.col("row_")).drop("id_", "part_", "row_", "offset_", "size_")
 
 
-def batch_by_count(posts: DataFrame, order: Sequence[str], size: int, slots: int = 40, name: str = "slot") -> DataFrame:
-    """Number posts in arrival order into batches of ``size``; batch i takes slot i.
+def batch_by_count(posts: DataFrame, order: Sequence[str], size: int, slots: int | None = None, name: str = "slot") -> DataFrame:
+    """Number posts in arrival order into batches of ``size``; batch i takes slot i. The last batch may be partial.
 
-    The last slot may be partial, any other partial batch is dropped, and so are posts after the
-    last slot. Only the order keys
-    are sorted and numbered; the first key of each batch, at most ``slots`` keys, forms one small
-    array and each post finds its batch by comparison with it, so the posts are never shuffled.
+    With ``slots`` more posts than that many batches hold are an error; without it slots go on. Only the order keys
+    (no ties) are sorted and numbered; the first key of each batch forms one array, in which each post finds its
+    batch by halving, so the posts are never shuffled. The array holds one key per batch.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
     here = F.struct(*order)
     keys = with_position(posts.select(*order), order, "position_")
-    total = keys.count()
-    whole = min(total // size, slots)
-    usable = min(total, slots * size) if whole >= slots - 1 else whole * size
-    starts = keys.where((F.col("position_") % size == 0) & (F.col("position_") < usable))
-    bounds = starts.agg(F.sort_array(F.collect_list(here))).scalar()
-    end = keys.where(F.col("position_") == usable).select(here).scalar()
-    kept = posts.where(F.coalesce(here < end, F.lit(usable > 0))).withColumn("starts_", bounds)
-
-    def place(low: int, high: int) -> Column:
-        """The last slot in low..high whose start is not after this post, by halving. A slot without
-        a start compares as unknown, which leads to the lower half."""
-        if low == high:
-            return F.lit(low)
-        middle = (low + high + 1) // 2
-        reached = here >= F.get("starts_", F.lit(middle))
-        return F.when(reached, place(middle, high)).otherwise(place(low, middle - 1))
-
-    return kept.withColumn(name, place(0, slots - 1)).drop("starts_")
+    batches = -(-keys.count() // size)
+    if slots is not None and batches > slots:
+        raise ValueError(f"{batches} batches of {size} do not fit {slots} slots")
+    starts = keys.where(F.col("position_") % size == 0).agg(F.sort_array(F.collect_list(here))).scalar()
+
+    def halve(span: Column, step: Column) -> Column:
+        """The last start that is not after this post lies in low..high."""
+        middle = F.floor((span["low"] + span["high"] + 1) / 2).cast("int")
+        reached = here >= F.get("starts_", middle)
+        return F.struct(
+            F.when(reached, middle).otherwise(span["low"]).alias("low"),
+            F.when(reached, span["high"]).otherwise(F.greatest(middle - 1, F.lit(0))).alias("high"),
+        )
+
+    whole = F.struct(F.lit(0).alias("low"), F.lit(max(0, batches - 1)).alias("high"))
+    found = F.aggregate(F.sequence(F.lit(0), F.lit(batches.bit_length())), whole, halve)
+    return posts.withColumn("starts_", starts).withColumn(name, found["low"]).drop("starts_")
+
+
+def collect_lists(df: DataFrame, key: str, items: Sequence[str], most: int = 1000) -> DataFrame:
+    """Items per key in order, as lists of ``most`` entries: (key, part, items), parts numbered from 0.
+
+    List number ``part`` holds the places ``part * most`` and following of the key's sorted items; the last may
+    be shorter. Places come from one global numbering (this runs a job), so a hot key, even one of equal
+    items, is never in one task or one list.
+    """
+    placed = with_position(df.select(key, *items), [key, *items], "at_")
+    first = placed.groupBy(key).agg(F.min("at_").alias("first_"))
+    parts = join_on_same(placed, first, [key]).withColumn("part", F.floor((F.col("at_") - F.col("first_")) / most).cast("int"))
+    return parts.groupBy(key, "part").agg(F.sort_array(F.collect_list(F.struct(*items))).alias("items"))
 
 
 def slot_last_quote(quotes: DataFrame, ts: str, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """The last quote in each right-closed ten-minute slot; empty slots are absent."""
+    """The last quote in each right-closed ten-minute slot; empty slots are absent, and so are quotes after
+    the grid's end, which have no slot (see ``slot_index``)."""
     slotted = quotes.withColumn("slot", slot_index(F.col(ts))).where(F.col("slot").isNotNull())
     return last_per_key(slotted, [*by, "slot"], ts, values)
 
@@ -136,7 +157,7 @@ def min_max_scaled(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
     """Columns mapped to 0..1 between their minimum and maximum, per group of ``by``."""
     ends = F.struct(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns])
     if by:
-        spans = df.join(df.groupBy(*by).agg(ends.alias("span_")), list(by))
+        spans = join_on_same(df, df.groupBy(*by).agg(ends.alias("span_")), by)
     else:
         spans = df.withColumn("span_", df.agg(ends).scalar())
 

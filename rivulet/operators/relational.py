@@ -9,6 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rivulet.functions.text import polarity_value, stop_test
 
 
+def join_on_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null equals null, keeping one set of key columns."""
+    named = right.withColumnsRenamed({k: f"{k}_right_" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_right_"))
+    return left.join(named, same, how).drop(*[f"{k}_right_" for k in keys])
+
+
 def count_per_key(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     """Rows per key; partial counts are formed before the shuffle, so a hot key moves little."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -41,9 +50,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
-    """Values of the row that is last under ``order`` within each key."""
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*values), order).alias("row"))
-    return picked.select(*keys, *[F.col(f"row.{v}").alias(v) for v in values])
+    """Values of the row that is last under ``order``, which must leave no ties, within each key.
+
+    One aggregate per column: values of fixed width then aggregate by hash, without sorting the input.
+    """
+    return df.groupBy(*keys).agg(*[F.max_by(v, order).alias(v) for v in values])
 
 
 def drop_stopwords(words: DataFrame, stopwords: Iterable[str] | DataFrame, word: str = "word") -> DataFrame:
@@ -115,18 +126,6 @@ def profile_lookup(
     return found.select("id", "screen_name") if items_only else found
 
 
-def collect_lists(df: DataFrame, key: str, items: Sequence[str], most: int = 1000) -> DataFrame:
-    """Items per key as sorted lists of about ``most`` entries: (key, part, items).
-
-    A key within the bound has the single part 0. A larger one is spread over several parts by a
-    hash of its items, so that no task ever holds a hot key's whole list.
-    """
-    sizes = count_per_key(df, key, name="size_").where(F.col("size_") > most)
-    parts = F.ceil(F.coalesce("size_", F.lit(1)) / most)
-    spread = df.join(sizes, key, "left").withColumn("part", F.pmod(F.xxhash64(*items), parts).cast("int"))
-    return spread.groupBy(key, "part").agg(F.sort_array(F.collect_list(F.struct(*items))).alias("items"))
-
-
 def error_metrics(df: DataFrame, by: Sequence[str], predicted: str = "predicted", truth: str = "stars") -> DataFrame:
     """RMSE, accuracy (1 minus the mean relative error) and MAE."""
     gap = F.col(predicted) - F.col(truth)
@@ -137,17 +136,25 @@ def error_metrics(df: DataFrame, by: Sequence[str], predicted: str = "predicted"
     )
 
 
+def _listed(df: DataFrame, column: str, listed: Sequence) -> DataFrame:
+    """``df`` with a check of ``column`` in every row, made where the column is read."""
+    unlisted = F.raise_error(F.concat(F.lit(f"{column} holds a value that is not listed: "), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+    kind = df.schema[column].dataType
+    return df.withColumn(column, F.when(F.col(column).isin(list(listed)), F.col(column)).otherwise(unlisted.cast(kind)))
+
+
 def rating_matrix(ratings: DataFrame, row: str, column: str, value: str, columns: Sequence, fill: float | None) -> DataFrame:
     """Ratings as a wide table with the given ``columns``; absent cells get ``fill``.
 
     For presentation with a known, short list of columns: the jobs themselves keep the long form.
+    A value of ``column`` that is not listed, or null, stops the job with an error.
     """
-    wide = ratings.groupBy(row).pivot(column, list(columns)).agg(F.first(value))
+    wide = _listed(ratings, column, columns).groupBy(row).pivot(column, list(columns)).agg(F.first(value))
     return wide if fill is None else wide.na.fill(fill, subset=[str(c) for c in columns])
 
 
 def transpose(wide: DataFrame, row: str, rows: Sequence, column: str = "column") -> DataFrame:
-    """Swap rows and columns of a wide table whose row keys are the short list ``rows``."""
+    """Swap rows and columns of a wide table whose row keys are the short list ``rows``; another key is an error."""
     cells = [c for c in wide.columns if c != row]
-    long = wide.unpivot([row], cells, column, "value")
+    long = _listed(wide, row, rows).unpivot([row], cells, column, "value")
     return long.groupBy(column).pivot(row, list(rows)).agg(F.first("value"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rivulet.functions.tails import chi2_tail, f_tail
 from rivulet.functions.times import GRID_SLOTS
 from rivulet.operators.ordered import batch_by_count, default_chunk, with_lags
-from rivulet.operators.relational import count_per_key
+from rivulet.operators.relational import count_per_key, join_on_same
 from rivulet.plans.text import clean_words
 
 
@@ -49,9 +49,10 @@ def batch_sentiment(
     size: int,
     stopwords: Iterable[str] = (),
     order: Sequence[str] = ("id",),
-    slots: int = GRID_SLOTS,
+    slots: int | None = GRID_SLOTS,
 ) -> DataFrame:
-    """Sentiment ratio and difference per slot, slots being filled with ``size`` posts each."""
+    """Sentiment ratio and difference per slot, slots being filled with ``size`` posts each; more posts
+    than ``slots`` such batches hold are an error."""
     batched = batch_by_count(posts, order, size, slots)
     words = clean_words(batched, stopwords, keep=["slot"])
     return ratio_and_diff(words, positives, negatives, ["slot"])
@@ -149,14 +150,16 @@ def granger_causality(
     known = series.where(F.col("value").isNotNull() & F.col("index").isNotNull()).select(
         *by, *runs, order, chunk.alias("chunk"), F.col(effect).cast("double").alias("y"), F.col(cause).cast("double").alias("x")
     )
-    if not by:
-        known = known.withColumn("series_", F.lit(0))
     group = list(by) or ["series_"]
     # Regression with a constant does not change when a column is shifted; centring keeps precision.
-    means = known.groupBy(*group).agg(F.avg("y").alias("my"), F.avg("x").alias("mx"))
-    centred = known.join(means, group).withColumns({"y": F.col("y") - F.col("my"), "x": F.col("x") - F.col("mx")})
+    averages = F.struct(F.avg("y").alias("y"), F.avg("x").alias("x"))
+    if by:
+        centred = join_on_same(known, known.groupBy(*by).agg(averages.alias("means")), by)
+    else:
+        centred = known.withColumn("means", known.agg(averages).scalar()).withColumn("series_", F.lit(0))
+    centred = centred.withColumns({"y": F.col("y") - F.col("means.y"), "x": F.col("x") - F.col("means.x")})
     lagged = with_lags(
-        centred.drop("my", "mx"), [*group, *runs], order, ["y", "x"], maxlag, F.col("chunk")
+        centred.drop("means"), [*group, *runs], order, ["y", "x"], maxlag, F.col("chunk")
     )
 
     def past(i: int, c: str) -> Column:

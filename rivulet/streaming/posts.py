@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rivulet.functions.times import slot_index
 from rivulet.functions.text import stop_test, tokens
+from rivulet.operators.relational import last_per_key
 from rivulet.session import fresh_path
 
 
@@ -19,21 +20,29 @@ def track_filter(posts: DataFrame, track: Iterable[str], text: str = "text") ->
     return posts.where(hit).select(text)
 
 
-def time_buckets(posts: DataFrame, ts: str, delay: str = "10 minutes", width: str = "10 minutes") -> DataFrame:
-    """Posts per event-time bucket: (bucket, n). A bucket comes out once ``delay`` has passed it."""
-    buckets = posts.withWatermark(ts, delay).groupBy(F.window(ts, width)).agg(F.count(F.lit(1)).alias("n"))
+def _timed(stream: DataFrame, ts: str, delay: str | None) -> DataFrame:
+    return stream if delay is None else stream.withWatermark(ts, delay)
+
+
+def time_buckets(posts: DataFrame, ts: str, delay: str | None = None, width: str = "10 minutes") -> DataFrame:
+    """Posts per event-time bucket: (bucket, n).
+
+    Here and below ``delay`` bounds the state of an endless stream: rows later than it are not counted any
+    more. Without it every row counts, however late, and the state has one entry per group.
+    """
+    buckets = _timed(posts, ts, delay).groupBy(F.window(ts, width)).agg(F.count(F.lit(1)).alias("n"))
     return buckets.select(F.col("window.start").alias("bucket"), "n")
 
 
-def last_quotes(quotes: DataFrame, ts: str, values: Sequence[str], delay: str = "10 minutes") -> DataFrame:
-    """Last quote per day and ten-minute slot: (day, slot, *values), emitted when the day is over."""
-    slotted = quotes.withWatermark(ts, delay).withColumn("slot", slot_index(F.col(ts)))
+def last_quotes(quotes: DataFrame, ts: str, values: Sequence[str], delay: str | None = None) -> DataFrame:
+    """Last quote per day and ten-minute slot: (day, slot, *values)."""
+    slotted = _timed(quotes, ts, delay).withColumn("slot", slot_index(F.col(ts)))
     picked = (
         slotted.where(F.col("slot").isNotNull())
         .groupBy(F.window(ts, "1 day"), "slot")
-        .agg(F.max_by(F.struct(*values), ts).alias("row"))
+        .agg(*[F.max_by(v, ts).alias(v) for v in values])
     )
-    return picked.select(F.to_date("window.start").alias("day"), "slot", *[F.col(f"row.{v}").alias(v) for v in values])
+    return picked.select(F.to_date("window.start").alias("day"), "slot", *values)
 
 
 def bucket_sentiment(
@@ -43,7 +52,7 @@ def bucket_sentiment(
     negatives: DataFrame,
     stopwords: Iterable[str] = (),
     text: str = "text",
-    delay: str = "10 minutes",
+    delay: str | None = None,
     width: str = "10 minutes",
 ) -> DataFrame:
     """Positive and negative sums, ratio and difference per event-time bucket.
@@ -57,7 +66,7 @@ def bucket_sentiment(
         .agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
     )
     words = (
-        posts.withWatermark(ts, delay)
+        _timed(posts, ts, delay)
         .select(ts, F.explode(tokens(F.col(text))).alias("word"))
         .where(~stop_test(F.col("word"), stopwords))
         .withColumn("word", F.lower("word"))
@@ -81,17 +90,29 @@ def bucket_sentiment(
     )
 
 
-def run_available(stream: DataFrame, label: str = "stream") -> DataFrame:
-    """Run a stream over all input that is there, into Parquet below the shared folder, and read
-    the result back. Groups still open at the end stay in the state, as in any append sink."""
+def run_available(
+    stream: DataFrame, label: str = "stream", keys: Sequence[str] | None = None, folder: str | None = None
+) -> DataFrame:
+    """Run a stream over all input that is there and read the result from Parquet.
+
+    Rows and progress stay in ``folder`` (a fresh one below the shared folder if absent): a later call with the same folder
+    goes on where this one ended. Without ``keys`` rows are appended as they come. With ``keys``, those of the groups,
+    each run writes the groups that changed, and the result holds the newest row of every group, those
+    that may still change included.
+    """
     spark: SparkSession = stream.sparkSession
-    out = fresh_path(spark, label)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", fresh_path(spark, f"{label}-progress"))
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    folder = folder or fresh_path(spark, label)
+    rows = f"{folder}/rows"
+    writer = stream.writeStream.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True)
+    if keys is None:
+        writer.format("parquet").outputMode("append").start(rows).awaitTermination()
+        return spark.read.schema(stream.schema).parquet(rows)
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{rows}/run={number}")
+
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{rows}/run=-1")
+    writer.outputMode("update").foreachBatch(store).start().awaitTermination()
+    versions = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("run", T.LongType())])).parquet(rows)
+    rest = [c for c in stream.columns if c not in keys]
+    return last_per_key(versions, keys, "run", rest).select(*stream.columns)

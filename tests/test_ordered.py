@@ -41,31 +41,47 @@ def test_positions_are_global_with_a_hot_first_key(spark):
     assert [got[i] for i in range(len(rows))] == sorted(rows)
 
 
-@pytest.mark.parametrize(
-    "posts, size, slots, sizes",
-    [
-        (12, 3, 4, [3, 3, 3, 3]),
-        (11, 3, 4, [3, 3, 3, 2]),  # the last slot may be partial
-        (8, 3, 4, [3, 3]),  # any other partial batch is dropped
-        (20, 3, 4, [3, 3, 3, 3]),  # posts after the last slot are dropped
-        (9, 3, 4, [3, 3, 3]),
-        (2, 3, 4, []),
-        (2, 3, 1, [2]),
-    ],
-)
-def test_batches(spark, posts, size, slots, sizes):
+@pytest.mark.parametrize("posts, size", [(12, 3), (11, 3), (2, 3), (79, 1), (119, 2), (1030, 25), (1, 1)])
+def test_batches_keep_every_post(spark, posts, size):
     start = dt.datetime(2024, 1, 1)
     rows = [(start + dt.timedelta(seconds=i // 2), i) for i in range(posts)]
     random.Random(2).shuffle(rows)
     d = spark.createDataFrame(rows, "ts timestamp_ntz, id long").repartition(5)
-    got = {}
-    for r in ordered.batch_by_count(d, ["ts", "id"], size, slots).collect():
-        got.setdefault(r.slot, []).append(r.id)
-    want, at = {}, 0
-    for slot, n in enumerate(sizes):
-        want[slot] = list(range(at, at + n))
-        at += n
-    assert {s: sorted(ids) for s, ids in got.items()} == want
+    got = {r.id: r.slot for r in ordered.batch_by_count(d, ["ts", "id"], size).collect()}
+    assert got == {i: i // size for i in range(posts)}
+
+
+def test_more_batches_than_slots_are_an_error(spark):
+    d = spark.range(13).toDF("id")
+    assert {r.slot for r in ordered.batch_by_count(d, ["id"], 3, 5).collect()} == set(range(5))
+    with pytest.raises(ValueError):
+        ordered.batch_by_count(d, ["id"], 3, 4)
+    assert ordered.batch_by_count(d.limit(0), ["id"], 3, 4).count() == 0
+
+
+def test_lists_are_contiguous_parts(spark):
+    rows = [("hot", 7)] * 50_000 + [("long", i) for i in range(2500)] + [(None, 1), (None, 2), ("one", 5)]
+    d = spark.createDataFrame(rows, "k string, v long").repartition(6)
+    lists = {(r.k, r.part): [i.v for i in r["items"]] for r in ordered.collect_lists(d, "k", ["v"]).collect()}
+    assert {p: len(v) for (k, p), v in lists.items() if k == "hot"} == {p: 1000 for p in range(50)}
+    assert [lists["long", p] for p in range(3)] == [list(range(1000)), list(range(1000, 2000)), list(range(2000, 2500))]
+    assert lists[None, 0] == [1, 2] and lists["one", 0] == [5] and len(lists) == 55
+
+
+def test_null_keys_stay(spark):
+    d = spark.createDataFrame([(None, 1, 1.0), (None, 2, 3.0), ("a", 1, 5.0), ("a", None, 4.0)], "k string, t long, v double")
+    lagged = ordered.lag_columns(ordered.with_lags(d, ["k"], "t", ["v"], 1, ordered.default_chunk(d, "t")), ["v"], 1)
+    assert as_set(lagged, "k", "t", "v_lag1") == {(None, 1, None), (None, 2, 1.0), ("a", None, None), ("a", 1, 4.0)}
+    assert as_set(ordered.min_max_scaled(d, ["v"], ["k"]), "k", "v") == {(None, 0.0), (None, 1.0), ("a", 1.0), ("a", 0.0)}
+
+
+def test_chunks_of_times_and_other_kinds(spark):
+    d = spark.range(1000).select(F.timestamp_seconds(F.col("id")).alias("t"), F.col("id").cast("double").alias("x"), F.col("id").cast("string").alias("s"))
+    for c in ("t", "x"):
+        sizes = [r["count"] for r in d.groupBy(ordered.default_chunk(d, c, 100).alias("c")).count().collect()]
+        assert len(sizes) == 10 and max(sizes) < 200
+    with pytest.raises(ValueError):
+        ordered.default_chunk(d, "s")
 
 
 def test_slots_are_closed_on_the_right(spark):

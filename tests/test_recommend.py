@@ -54,6 +54,19 @@ def test_light_and_heavy_keys_with_text_ids(spark):
     assert max(abs(got[a, b] - want[i, j]) for i, a in enumerate(users) for j, b in enumerate(users)) < 1e-12
 
 
+@pytest.mark.parametrize("stars", [(1e8, 1e8 + 1, 1e8), (3.9, 3.9000000000000004, 3.9), (float("nan"), 1.0, 2.0)])
+def test_nearly_constant_profiles_stop_nothing(spark, stars):
+    rows = [(1, b, s) for b, s in enumerate(stars)] + [(2, 0, 1.0), (2, 1, 5.0), (3, 0, 2.0), (3, 1, 4.0), (3, 2, 1.0)]
+    d = spark.createDataFrame(rows, "user_id long, business_id long, stars double")
+    for sim in (rec.similarity_to_user(d, 2), rec.user_similarity(d), rec.similarity_to_user(d, 1)):
+        found = {(r.user_id, r.neighbor_id): r["corr"] for r in sim.collect()}
+        assert all(c is None or -1.0001 < c < 1.0001 for c in found.values())
+        assert all(c is None for pair, c in found.items() if 1 in pair)
+    near = rec.nearest_neighbors(rec.similarity_to_user(d, 2), 2, 5).collect()
+    assert [r.neighbor_id for r in near] == [3]
+
+
+
 @pytest.mark.parametrize("cells", [500_000, 3])
 def test_constant_profiles_have_no_correlation(spark, cells):
     rows = [(1, 1, 3.0), (1, 2, 3.0), (2, 1, 4.0), (2, 2, 1.0), (3, 2, 5.0)]  # user 1 gave 3 everywhere

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet.plans.movement import flatten_movement, moment_positions, players_with_ball
-from rivulet.operators.relational import collect_lists
+from rivulet.operators.ordered import collect_lists
 from rivulet.plans.recommend import one_rating_each, reviews_of_active
 from rivulet.sources.readers import spread
 
@@ -220,7 +220,7 @@ def time_strings(spark: SparkSession, sf: str) -> DataFrame:
 
 def batch_size(spark: SparkSession, sf: str) -> int:
     """A size with which all posts fit the 40 slots."""
-    return max(1, table(spark, sf, "documents").count() // 40)
+    return max(1, -(-table(spark, sf, "documents").count() // 40))
 
 
 def hourly_series(spark: SparkSession, sf: str) -> DataFrame:
@@ -296,9 +296,8 @@ QUOTES = f"""{EVENTS}, {SLOTS}, quotes AS (SELECT CAST(ts AS DATE) AS day, slot,
 WORDS = r"""words AS (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS word FROM documents)"""
 CLEAN = rf"""{WORDS}, clean AS (SELECT doc_id, lower(word) AS word FROM words WHERE word <> '' AND word NOT IN {STOP_SQL})"""
 BATCHES = """batches AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos,
-  (SELECT greatest(1, count(*) // 40) FROM documents) AS size, (SELECT count(*) FROM documents) AS total FROM documents),
-  batched AS (SELECT doc_id, CAST(pos // size AS INTEGER) AS slot FROM batches
-  WHERE pos < CASE WHEN total // size >= 39 THEN 40 * size ELSE (total // size) * size END)"""
+  (SELECT greatest(1, (count(*) + 39) // 40) FROM documents) AS size FROM documents),
+  batched AS (SELECT doc_id, CAST(pos // size AS INTEGER) AS slot FROM batches)"""
 SENTIMENT = f"""{CLEAN}, {BATCHES},
   pos AS (SELECT word, sum(value) AS p FROM {values_sql(POSITIVES, 'word, value')} GROUP BY word),
   neg AS (SELECT word, sum(value) AS q FROM {values_sql(NEGATIVES, 'word, value')} GROUP BY word),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.operators.relational import collect_lists
+from rivulet.operators.ordered import collect_lists
 from rivulet.session import fresh_path
 from rivulet.sources import readers, sinks
 from workload import adapters as a

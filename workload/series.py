@@ -290,7 +290,6 @@ def event_stream(spark, sf):
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-CLOSED = "<= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
 BUCKET = "time_bucket(INTERVAL 10 MINUTE, ts)"
 
 
@@ -305,23 +304,22 @@ def stream_track_filter(spark, sf):
 
 @query(
     "stream_time_buckets",
-    f"""SELECT strftime({BUCKET}, '%Y-%m-%d %H:%M') AS bucket, count(*) AS n FROM events GROUP BY {BUCKET}
-    HAVING {BUCKET} + INTERVAL 10 MINUTE {CLOSED}""",
+    f"""SELECT strftime({BUCKET}, '%Y-%m-%d %H:%M') AS bucket, count(*) AS n FROM events GROUP BY {BUCKET}""",
 )
 def stream_time_buckets(spark, sf):
-    done = stream.run_available(stream.time_buckets(event_stream(spark, sf), "ts"), "buckets")
+    done = stream.run_available(stream.time_buckets(event_stream(spark, sf), "ts"), "buckets", ["bucket"])
     return done.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH:mm"))
 
 
 @query(
     "stream_last_quote",
-    f"WITH {a.QUOTES} SELECT {DAY}, slot, sp500, nasdaq FROM quotes WHERE quotes.day + INTERVAL 1 DAY {CLOSED}",
+    f"WITH {a.QUOTES} SELECT {DAY}, slot, sp500, nasdaq FROM quotes",
 )
 def stream_last_quote(spark, sf):
     quotes = event_stream(spark, sf).select(
         "ts", F.col("value").alias("sp500"), F.from_json("props", "k long")["k"].cast("double").alias("nasdaq")
     )
-    done = stream.run_available(stream.last_quotes(quotes, "ts", ["sp500", "nasdaq"]), "quotes")
+    done = stream.run_available(stream.last_quotes(quotes, "ts", ["sp500", "nasdaq"]), "quotes", ["day", "slot"])
     return done.withColumn("day", F.col("day").cast("string"))
 
 
@@ -330,10 +328,10 @@ def stream_last_quote(spark, sf):
     f"""WITH s AS (SELECT {BUCKET} AS b, sum(CASE event_type WHEN 'view' THEN 1 WHEN 'purchase' THEN 2 ELSE 0 END)::DOUBLE AS positive,
     sum(CASE event_type WHEN 'error' THEN -1 ELSE 0 END)::DOUBLE AS negative FROM events GROUP BY 1)
     SELECT strftime(b, '%Y-%m-%d %H:%M') AS bucket, positive, negative, round(positive / nullif(abs(negative), 0), 6) AS ratio,
-    positive - abs(negative) AS diff FROM s WHERE b + INTERVAL 10 MINUTE {CLOSED}""",
+    positive - abs(negative) AS diff FROM s""",
 )
 def stream_sentiment(spark, sf):
     posts = event_stream(spark, sf).select("ts", F.col("event_type").alias("text"))
     good, bad = a.rows(spark, a.GOOD_EVENTS, "word, value"), a.rows(spark, a.BAD_EVENTS, "word, value")
-    done = stream.run_available(stream.bucket_sentiment(posts, "ts", good, bad), "sentiment")
+    done = stream.run_available(stream.bucket_sentiment(posts, "ts", good, bad), "sentiment", ["bucket"])
     return rounded(done, "ratio").withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH:mm"))
