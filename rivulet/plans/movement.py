@@ -1,4 +1,8 @@
-"""Player tracking: flattening, distances, speed and distances within a play."""
+"""Player tracking: flattening, distances, speed and distances within a play.
+
+Positions belong to an event of a game: every table has the columns of ``EVENT``, moments are numbered per
+event, and nothing is compared or added up across events.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rivulet.functions.numbers import distance, to_mph
 from rivulet.functions.text import full_name
 from rivulet.operators.ordered import lag_columns, with_lags
+from rivulet.operators.relational import join_on_same
 
 # Fixed value: the id under which the ball is tracked.
 BALL = -1
+EVENT = ["game_id", "event_id"]
 
 
 def players_with_ball(players: DataFrame) -> DataFrame:
@@ -28,15 +34,44 @@ def players_with_ball(players: DataFrame) -> DataFrame:
     return named.unionByName(ball)
 
 
+# Fixed form of a tracking payload: clocks and entities stand at these places of a moment.
+GAME_CLOCK_AT, SHOT_CLOCK_AT, ENTITIES_AT = 2, 3, 5
+_TEAM = "struct<players: array<struct<playerid: bigint, firstname: string, lastname: string, jersey: string>>>"
+_PAYLOAD = f"home {_TEAM}, visitor {_TEAM}, moments array<array<string>>"
+
+
+def read_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """(*EVENT, home, visitor, moments) from one JSON text per event; moments are arrays of
+    struct(game_clock, shot_clock, positions)."""
+    parsed = payloads.select(*EVENT, F.from_json(payload, _PAYLOAD).alias("p")).select(*EVENT, "p.*")
+
+    def moment(m: Column) -> Column:
+        return F.struct(
+            F.get(m, F.lit(GAME_CLOCK_AT)).try_cast("double").alias("game_clock"),
+            F.get(m, F.lit(SHOT_CLOCK_AT)).try_cast("double").alias("shot_clock"),
+            F.from_json(F.get(m, F.lit(ENTITIES_AT)), "array<array<double>>").alias("positions"),
+        )
+
+    return parsed.withColumn("moments", F.transform("moments", moment))
+
+
+def payload_roster(events: DataFrame) -> DataFrame:
+    """(player_id, first_name, last_name, jersey) of both teams of all events, each player once."""
+    both = events.select(F.explode(F.concat(*[F.coalesce(f"{t}.players", F.array()) for t in ("home", "visitor")])).alias("p"))
+    first = [F.min(f"p.{c}").alias(name) for c, name in (("firstname", "first_name"), ("lastname", "last_name"), ("jersey", "jersey"))]
+    return both.groupBy(F.col("p.playerid").alias("player_id")).agg(*first)
+
+
 def moment_positions(payload: DataFrame) -> DataFrame:
     """One row per tracked entity and moment, from one row per moment.
 
-    ``payload`` has (moment, game_clock, shot_clock, positions), positions being arrays of
+    ``payload`` has (*EVENT, moment, game_clock, shot_clock, positions), positions being arrays of
     [team_id, player_id, x, y, radius].
     """
     entity = F.explode("positions").alias("p")
-    flat = payload.select("moment", "game_clock", "shot_clock", entity)
+    flat = payload.select(*EVENT, "moment", "game_clock", "shot_clock", entity)
     return flat.select(
+        *EVENT,
         F.get("p", F.lit(0)).cast("long").alias("team_id"),
         F.get("p", F.lit(1)).cast("long").alias("player_id"),
         F.get("p", F.lit(2)).alias("x_loc"),
@@ -49,11 +84,11 @@ def moment_positions(payload: DataFrame) -> DataFrame:
 
 
 def event_moments(events: DataFrame, moments: str = "moments") -> DataFrame:
-    """One row per moment of events held as an array of moments, each an
-    array(struct) with game_clock, shot_clock and positions; moments are numbered from 0."""
-    numbered = events.select(F.posexplode(moments).alias("moment", "m"))
+    """One row per moment of events held as an array of moments, each a
+    struct with game_clock, shot_clock and positions; moments are numbered from 0 in each event."""
+    numbered = events.select(*EVENT, F.posexplode(moments).alias("moment", "m"))
     return numbered.select(
-        F.col("moment").cast("long").alias("moment"), "m.game_clock", "m.shot_clock", "m.positions"
+        *EVENT, F.col("moment").cast("long").alias("moment"), "m.game_clock", "m.shot_clock", "m.positions"
     )
 
 
@@ -63,11 +98,12 @@ def flatten_movement(payload: DataFrame, players: DataFrame) -> DataFrame:
 
 
 def steps(mv: DataFrame, chunk_moments: int = 10_000) -> DataFrame:
-    """Every position with the distance from the entity's previous one, null for its first."""
+    """Every position with the distance from the entity's previous one in the event, null for its first."""
     chunk = F.floor(F.col("moment") / chunk_moments)
-    rows = mv.select("player_id", "moment", "x_loc", "y_loc")
-    lagged = lag_columns(with_lags(rows, ["player_id"], "moment", ["x_loc", "y_loc"], 1, chunk), ["x_loc", "y_loc"], 1)
-    return lagged.select(
+    rows = mv.select(*EVENT, "player_id", "moment", "x_loc", "y_loc")
+    lags = with_lags(rows, [*EVENT, "player_id"], "moment", ["x_loc", "y_loc"], 1, chunk)
+    return lag_columns(lags, ["x_loc", "y_loc"], 1).select(
+        *EVENT,
         "player_id",
         "moment",
         (F.col("x_loc") - F.col("x_loc_lag1")).alias("dx"),
@@ -77,45 +113,40 @@ def steps(mv: DataFrame, chunk_moments: int = 10_000) -> DataFrame:
 
 
 def travel_distance(mv: DataFrame, chunk_moments: int = 10_000) -> DataFrame:
-    """Length of each entity's path in feet: (player_id, distance)."""
+    """Length of each entity's path in feet: (*EVENT, player_id, distance)."""
     total = F.coalesce(F.sum("step"), F.lit(0.0))
-    return steps(mv, chunk_moments).groupBy("player_id").agg(total.alias("distance"))
+    return steps(mv, chunk_moments).groupBy(*EVENT, "player_id").agg(total.alias("distance"))
 
 
 def distance_and_speed(mv: DataFrame, chunk_moments: int = 10_000) -> DataFrame:
-    """(player_id, distance, mph): path length and average speed over the whole recording."""
-    seconds = mv.agg(F.max("game_clock") - F.min("game_clock")).scalar()
-    speed = to_mph(F.try_divide(F.col("distance"), seconds))
-    return travel_distance(mv, chunk_moments).withColumn("mph", speed)
-
-
-def _beside(a: DataFrame, b: DataFrame) -> DataFrame:
-    other = b.select("moment", F.col("x_loc").alias("bx"), F.col("y_loc").alias("by"))
-    joined = a.join(other, "moment")
-    return joined.withColumn("dist", distance(F.col("x_loc"), F.col("y_loc"), F.col("bx"), F.col("by"))).drop("bx", "by")
+    """(*EVENT, player_id, distance, mph): path length and average speed over the whole event."""
+    seconds = mv.groupBy(*EVENT).agg((F.max("game_clock") - F.min("game_clock")).alias("seconds"))
+    speed = to_mph(F.try_divide(F.col("distance"), F.col("seconds")))
+    return join_on_same(travel_distance(mv, chunk_moments), seconds, EVENT).withColumn("mph", speed).drop("seconds")
 
 
 def focus_distances(mv: DataFrame, focus: int) -> DataFrame:
     """Distance of every other entity to the focus player at each moment both are tracked."""
-    near = mv.where(F.col("player_id") == focus)
-    others = mv.where(F.col("player_id") != focus)
-    return _beside(others, near).select("player_id", "moment", "shot_clock", "dist")
+    near = mv.where(F.col("player_id") == focus).select(*EVENT, "moment", F.col("x_loc").alias("bx"), F.col("y_loc").alias("by"))
+    both = join_on_same(mv.where(F.col("player_id") != focus), near, [*EVENT, "moment"])
+    gap = distance(F.col("x_loc"), F.col("y_loc"), F.col("bx"), F.col("by"))
+    return both.select(*EVENT, "player_id", "moment", "shot_clock", gap.alias("dist"))
 
 
 def distance_to_focus(mv: DataFrame, focus: int) -> DataFrame:
-    """Average distance to the focus player: (player_id, moments, avg_dist)."""
-    return focus_distances(mv, focus).groupBy("player_id").agg(
+    """Average distance to the focus player: (*EVENT, player_id, moments, avg_dist)."""
+    return focus_distances(mv, focus).groupBy(*EVENT, "player_id").agg(
         F.count(F.lit(1)).alias("moments"), F.avg("dist").alias("avg_dist")
     )
 
 
 def distance_lists(mv: DataFrame, focus: int, chunk_moments: int = 1000) -> DataFrame:
-    """The distances to the focus player as lists in moment order: (player_id, chunk, series).
+    """The distances to the focus player as lists in moment order: (*EVENT, player_id, chunk, series).
 
-    A list covers at most ``chunk_moments`` moments, so long recordings give several.
+    A list covers at most ``chunk_moments`` moments of one event, so long recordings give several.
     """
     rows = focus_distances(mv, focus).withColumn("chunk", F.floor(F.col("moment") / chunk_moments))
-    return rows.groupBy("player_id", "chunk").agg(
+    return rows.groupBy(*EVENT, "player_id", "chunk").agg(
         F.sort_array(F.collect_list(F.struct("moment", "dist"))).alias("series")
     )
 
@@ -131,21 +162,24 @@ def distance_in_play(
     game_range: tuple[float, float] = (196.0, 209.0),
     shot_range: tuple[float, float] = (7.7, 20.4),
 ) -> DataFrame:
-    """Distance of chosen pairs at each moment of a play: (pair, moment, shot_clock, dist)."""
-    labels = [F.struct(F.lit(f"{a}:{b}").alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs]
+    """Distance of chosen pairs at each moment of a play: (*EVENT, pair, moment, shot_clock, dist).
+
+    Each side meets the small table of pairs on its player, so a row comes out once per pair it is in.
+    """
     wanted = sorted({p for pair in pairs for p in pair})
     play = mv.where(in_play(game_range, shot_range) & F.col("player_id").isin(wanted)).select(
-        "player_id", "moment", "shot_clock", "x_loc", "y_loc"
+        *EVENT, "player_id", "moment", "shot_clock", "x_loc", "y_loc"
     )
-    tagged = play.withColumn("p", F.explode(F.array(*labels)))
-    a = tagged.where(F.col("player_id") == F.col("p.a")).select("p.pair", "moment", "shot_clock", "x_loc", "y_loc")
-    b = tagged.where(F.col("player_id") == F.col("p.b")).select(
-        "p.pair", "moment", F.col("x_loc").alias("bx"), F.col("y_loc").alias("by")
+    labels = mv.sparkSession.createDataFrame([(f"{a}:{b}", a, b) for a, b in pairs], "pair string, a long, b long")
+    left = play.join(labels.select("pair", F.col("a").alias("player_id")), "player_id").drop("player_id")
+    right = play.join(labels.select("pair", F.col("b").alias("player_id")), "player_id").select(
+        *EVENT, "pair", "moment", F.col("x_loc").alias("bx"), F.col("y_loc").alias("by")
     )
     gap = distance(F.col("x_loc"), F.col("y_loc"), F.col("bx"), F.col("by"))
-    return a.join(b, ["pair", "moment"]).select("pair", "moment", "shot_clock", gap.alias("dist"))
+    both = join_on_same(left, right, [*EVENT, "pair", "moment"])
+    return both.select(*EVENT, "pair", "moment", "shot_clock", gap.alias("dist"))
 
 
 def last_distances(play: DataFrame) -> DataFrame:
-    """The last distance of each pair, where its label goes: (pair, moment, dist)."""
-    return play.groupBy("pair").agg(F.max("moment").alias("moment"), F.max_by("dist", "moment").alias("dist"))
+    """The last distance of each pair, where its label goes: (*EVENT, pair, moment, dist)."""
+    return play.groupBy(*EVENT, "pair").agg(F.max("moment").alias("moment"), F.max_by("dist", "moment").alias("dist"))

@@ -1,3 +1,4 @@
+import json
 import math
 import random
 
@@ -7,7 +8,7 @@ import pytest
 from rivulet.plans import boxscore, density, movement
 from tests.conftest import as_set
 
-TRACK = "player_id long, moment long, x_loc double, y_loc double, game_clock double, shot_clock double"
+TRACK = "game_id long, event_id long, player_id long, moment long, x_loc double, y_loc double, game_clock double, shot_clock double"
 
 
 def track(spark):
@@ -19,7 +20,7 @@ def track(spark):
                 continue  # not tracked then
             clock = None if m == 20 else 24.0 - 0.04 * m
             rows.append((p, m, rng.uniform(0, 90), rng.uniform(0, 50), 720.0 - 0.04 * m, clock))
-    return rows, spark.createDataFrame(rows, TRACK).repartition(3)
+    return rows, spark.createDataFrame([(1, 2, *r) for r in rows], TRACK).repartition(3)
 
 
 @pytest.mark.parametrize("chunk", [4, 10_000])
@@ -54,10 +55,51 @@ def test_play_mask_drops_missing_clocks_and_ends_are_inside(spark):
     assert as_set(movement.last_distances(play), "pair", "moment") == {("1:-1", 40), ("-1:2", 40)}
 
 
+def test_events_do_not_run_into_each_other(spark):
+    rows = []
+    for event, shift in ((1, 0.0), (2, 30.0)):
+        for m in (0, 1):
+            rows += [(7, event, 1, m, shift, 0.0, 10.0 - m, 5.0), (7, event, 2, m, shift, 1.0, 10.0 - m, 5.0)]
+    rows.append((None, None, 1, 0, 5.0, 5.0, 1.0, 1.0))
+    mv = spark.createDataFrame(rows, TRACK)
+    assert {r.distance for r in movement.travel_distance(mv).collect()} == {0.0}
+    near = {(r.game_id, r.event_id, r.player_id): (r.moments, r.avg_dist) for r in movement.distance_to_focus(mv, 2).collect()}
+    assert near == {(7, 1, 1): (2, 1.0), (7, 2, 1): (2, 1.0)}
+    play = movement.distance_in_play(mv, [(1, 2)], (0, 20), (0, 20))
+    assert play.count() == 4 and movement.last_distances(play).count() == 2
+    assert movement.distance_lists(mv, 2).count() == 2
+
+
+def test_payload_with_both_rosters(spark):
+    def team(*players):
+        return {"players": [{"playerid": i, "firstname": f, "lastname": n, "jersey": j} for i, f, n, j in players]}
+
+    def moment(clock, shot, *entities):
+        return [1, 1451606400000, clock, shot, None, [list(e) for e in entities]]
+
+    text = json.dumps(
+        {
+            "gameid": "x", "home": team((1, "Ann", "A", "7")), "visitor": team((2, "Bo", "B", "00"), (3, "Cy", "C", "5")),
+            "moments": [moment(720.0, 24.0, (-1, -1, 1, 2, 3), (10, 1, 4, 5, 0)), moment(719.96, None, (20, 2, 6.5, 7, 0)), [1, 2]],
+        }
+    )
+    raw = spark.createDataFrame([(1, 1, text), (1, 2, text), (2, 1, "{}"), (3, 1, None)], "game_id long, event_id long, payload string")
+    events = movement.read_payloads(raw)
+    roster = movement.players_with_ball(movement.payload_roster(events))
+    assert as_set(roster, "player_id", "player_name", "jersey") == {(1, "Ann A", "7"), (2, "Bo B", "00"), (3, "Cy C", "5"), (-1, "ball", None)}
+    flat = movement.flatten_movement(movement.event_moments(events), roster)
+    one = {(-1, 0, 720.0, 24.0, 1.0, "ball"), (1, 0, 720.0, 24.0, 4.0, "Ann A"), (2, 1, 719.96, None, 6.5, "Bo B")}
+    for event in (1, 2):
+        assert as_set(flat.where(f"event_id = {event}"), "player_id", "moment", "game_clock", "shot_clock", "x_loc", "player_name") == one
+    assert flat.count() == 6
+
+
 def test_flattening_names_the_ball(spark):
     moment = "struct<game_clock: double, shot_clock: double, positions: array<array<double>>>"
     ball, man, guest = [-1.0, -1.0, 1.0, 2.0, 3.0], [5.0, 7.0, 4.0, 5.0, 0.0], [5.0, 99.0, 0.0, 0.0, 0.0]
-    events = spark.createDataFrame([([(720.0, 24.0, [ball, man]), (719.96, None, [ball, guest])],)], f"moments array<{moment}>")
+    events = spark.createDataFrame(
+        [(1, 1, [(720.0, 24.0, [ball, man]), (719.96, None, [ball, guest])])], f"game_id long, event_id long, moments array<{moment}>"
+    )
     roster = spark.createDataFrame([(7, "Ann", "Lee", "12")], "player_id long, first_name string, last_name string, jersey string")
     flat = movement.flatten_movement(movement.event_moments(events), movement.players_with_ball(roster))
     assert as_set(flat, "moment", "player_id", "player_name", "jersey", "x_loc", "shot_clock") == {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.plans.movement import flatten_movement, moment_positions, players_with_ball
+from rivulet.plans.movement import event_moments, flatten_movement, moment_positions, players_with_ball
 from rivulet.operators.ordered import collect_lists
 from rivulet.plans.recommend import one_rating_each, reviews_of_active
 from rivulet.sources.readers import spread
@@ -120,13 +120,8 @@ def entity_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contacts(spark: SparkSession, sf: str, priority: str) -> DataFrame:
-    """(id, screen_name) of customers with a pending order of one priority."""
-    ids = (
-        table(spark, sf, "orders")
-        .where((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == priority))
-        .select(F.col("o_custkey").alias("id"))
-        .distinct()
-    )
+    """(id, screen_name) of customers with an order of one priority."""
+    ids = table(spark, sf, "orders").where(F.col("o_orderpriority") == priority).select(F.col("o_custkey").alias("id")).distinct()
     named = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("screen_name"))
     return ids.join(named, "id")
 
@@ -139,8 +134,12 @@ def followers(spark: SparkSession, sf: str) -> DataFrame:
     return contacts(spark, sf, "5-LOW")
 
 
-def payload(spark: SparkSession, sf: str) -> DataFrame:
-    """Embeddings as tracking moments with 32 entities; the last entity is the ball."""
+EVENT_MOMENTS, GAME_EVENTS = 100, 2
+
+
+def tracked_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings as tracking moments with 32 entities, the last being the ball: one row per event,
+    its moments in an array."""
     e = F.col("embedding")
 
     def entity(p):
@@ -148,12 +147,21 @@ def payload(spark: SparkSession, sf: str) -> DataFrame:
         numbers = [p % 2, player, F.get(e, p * 2), F.get(e, p * 2 + 1), F.lit(0.0)]
         return F.array(*[n.cast("double") for n in numbers])
 
-    return table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("moment"),
-        (F.lit(720.0) - F.lit(0.04) * F.col("vec_id")).alias("game_clock"),
-        (F.lit(24.0) - F.lit(0.04) * (F.col("vec_id") % 600)).alias("shot_clock"),
-        F.transform(F.sequence(F.lit(0), F.lit(31)), entity).alias("positions"),
+    moments = table(spark, sf, "embeddings").select(
+        F.floor(F.col("vec_id") / (EVENT_MOMENTS * GAME_EVENTS)).alias("game_id"),
+        (F.floor(F.col("vec_id") / EVENT_MOMENTS) % GAME_EVENTS).alias("event_id"),
+        F.struct(
+            "vec_id",
+            (F.lit(720.0) - F.lit(0.04) * F.col("vec_id")).alias("game_clock"),
+            (F.lit(24.0) - F.lit(0.04) * (F.col("vec_id") % 600)).alias("shot_clock"),
+            F.transform(F.sequence(F.lit(0), F.lit(31)), entity).alias("positions"),
+        ).alias("m"),
     )
+    return moments.groupBy("game_id", "event_id").agg(F.sort_array(F.collect_list("m")).alias("moments"))
+
+
+def payload(spark: SparkSession, sf: str) -> DataFrame:
+    return event_moments(tracked_events(spark, sf))
 
 
 def players(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,11 +290,14 @@ EVENTS = """ev AS (SELECT event_id, ts, user_id, event_type, value,
   CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)"""
 RETWEETS = f"""{EVENTS}, rt AS (SELECT event_id AS id, event_type AS text, k AS retweet_count,
   CAST(user_id AS VARCHAR) AS screen_name FROM ev WHERE event_type = 'view')"""
-MOVES = """mv AS (SELECT p % 2 AS team_id, CASE WHEN p = 31 THEN -1 ELSE p END AS player_id,
-  CAST(embedding[2 * p + 1] AS DOUBLE) AS x_loc, CAST(embedding[2 * p + 2] AS DOUBLE) AS y_loc, vec_id AS moment,
+EVENT_SQL = f"vec_id // {EVENT_MOMENTS}"
+MOVES = f"""mv AS (SELECT vec_id // {EVENT_MOMENTS * GAME_EVENTS} AS game_id, {EVENT_SQL} % {GAME_EVENTS} AS event_id,
+  p % 2 AS team_id, CASE WHEN p = 31 THEN -1 ELSE p END AS player_id,
+  CAST(embedding[2 * p + 1] AS DOUBLE) AS x_loc, CAST(embedding[2 * p + 2] AS DOUBLE) AS y_loc, place AS moment,
   CAST(720 AS DOUBLE) - CAST(0.04 AS DOUBLE) * vec_id AS game_clock,
   CAST(24 AS DOUBLE) - CAST(0.04 AS DOUBLE) * (vec_id % 600) AS shot_clock
-  FROM embeddings CROSS JOIN (SELECT unnest(generate_series(0, 31)) AS p))"""
+  FROM (SELECT *, row_number() OVER (PARTITION BY {EVENT_SQL} ORDER BY vec_id) - 1 AS place FROM embeddings)
+  CROSS JOIN (SELECT unnest(generate_series(0, 31)) AS p))"""
 PLAYERS = """players AS (SELECT n_nationkey AS player_id, n_name || ' ' || r_name AS player_name,
   CAST(n_regionkey AS VARCHAR) AS jersey FROM nation JOIN region ON n_regionkey = r_regionkey
   UNION ALL SELECT -1, 'ball', NULL)"""
@@ -312,6 +323,6 @@ BOX = f"""box AS (SELECT player_id, {', '.join(f'round({s}, 2) AS {s}' for s in
   SELECT l_suppkey AS player_id, {', '.join(f'CAST({sql} AS DOUBLE) AS {s}' for s, sql in BOX_SQL.items())},
   row_number() OVER (PARTITION BY l_suppkey ORDER BY {', '.join(BOX_ORDER)}) AS rn FROM lineitem) WHERE rn = 1)"""
 CONTACTS = """fr AS (SELECT DISTINCT o_custkey AS id, c_name AS screen_name FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'),
+    WHERE o_orderpriority = '1-URGENT'),
   fo AS (SELECT DISTINCT o_custkey AS id, c_name AS screen_name FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW')"""
+    WHERE o_orderpriority = '5-LOW')"""

@@ -13,18 +13,18 @@ from rivulet.plans import boxscore, density, movement
 from workload import adapters as a
 from workload.registry import query
 
-LAST = "OVER (PARTITION BY player_id ORDER BY moment)"
-STEPS = f"""{a.MOVES}, st AS (SELECT player_id, moment, x_loc - lag(x_loc) {LAST} AS dx, y_loc - lag(y_loc) {LAST} AS dy FROM mv)"""
-TRAVEL = f"{STEPS}, tr AS (SELECT player_id, coalesce(sum(sqrt(dx * dx + dy * dy)), 0) AS distance FROM st GROUP BY player_id)"
-FOCUS = f"""{a.MOVES}, fd AS (SELECT o.player_id, o.moment, o.shot_clock, sqrt((o.x_loc - f.x_loc) * (o.x_loc - f.x_loc)
-  + (o.y_loc - f.y_loc) * (o.y_loc - f.y_loc)) AS dist FROM mv o JOIN mv f ON o.moment = f.moment
+LAST = "OVER (PARTITION BY game_id, event_id, player_id ORDER BY moment)"
+STEPS = f"""{a.MOVES}, st AS (SELECT game_id, event_id, player_id, moment, x_loc - lag(x_loc) {LAST} AS dx, y_loc - lag(y_loc) {LAST} AS dy FROM mv)"""
+TRAVEL = f"{STEPS}, tr AS (SELECT game_id, event_id, player_id, coalesce(sum(sqrt(dx * dx + dy * dy)), 0) AS distance FROM st GROUP BY ALL)"
+FOCUS = f"""{a.MOVES}, fd AS (SELECT o.game_id, o.event_id, o.player_id, o.moment, o.shot_clock, sqrt((o.x_loc - f.x_loc) * (o.x_loc - f.x_loc)
+  + (o.y_loc - f.y_loc) * (o.y_loc - f.y_loc)) AS dist FROM mv o JOIN mv f ON o.game_id = f.game_id AND o.event_id = f.event_id AND o.moment = f.moment
   WHERE f.player_id = {a.FOCUS} AND o.player_id <> {a.FOCUS})"""
 MASK = f"""game_clock BETWEEN {a.GAME_RANGE[0]}::DOUBLE AND {a.GAME_RANGE[1]}::DOUBLE
   AND shot_clock BETWEEN {a.SHOT_RANGE[0]}::DOUBLE AND {a.SHOT_RANGE[1]}::DOUBLE"""
 PAIRS = ", ".join(f"('{x}:{y}', {x}, {y})" for x, y in a.PAIRS)
-PLAY = f"""{a.MOVES}, play AS (SELECT p.pair, l.moment, l.shot_clock, sqrt((l.x_loc - r.x_loc) * (l.x_loc - r.x_loc)
+PLAY = f"""{a.MOVES}, play AS (SELECT l.game_id, l.event_id, p.pair, l.moment, l.shot_clock, sqrt((l.x_loc - r.x_loc) * (l.x_loc - r.x_loc)
   + (l.y_loc - r.y_loc) * (l.y_loc - r.y_loc)) AS dist FROM (VALUES {PAIRS}) p(pair, a, b)
-  JOIN (SELECT * FROM mv WHERE {MASK}) l ON l.player_id = p.a JOIN mv r ON r.player_id = p.b AND r.moment = l.moment)"""
+  JOIN (SELECT * FROM mv WHERE {MASK}) l ON l.player_id = p.a JOIN mv r ON r.player_id = p.b AND r.game_id = l.game_id AND r.event_id = l.event_id AND r.moment = l.moment)"""
 
 
 def rounded(df, *columns, digits=6):
@@ -33,7 +33,7 @@ def rounded(df, *columns, digits=6):
 
 @query(
     "flatten_movement",
-    f"""WITH {a.MOVES}, {a.PLAYERS} SELECT mv.player_id, team_id, x_loc, y_loc, 0::DOUBLE AS radius, moment, game_clock,
+    f"""WITH {a.MOVES}, {a.PLAYERS} SELECT game_id, event_id, mv.player_id, team_id, x_loc, y_loc, 0::DOUBLE AS radius, moment, game_clock,
     shot_clock, player_name, jersey FROM mv LEFT JOIN players USING (player_id)""",
 )
 def flatten_movement(spark, sf):
@@ -42,11 +42,11 @@ def flatten_movement(spark, sf):
 
 @query(
     "moment_positions",
-    f"WITH {a.MOVES} SELECT moment, player_id, game_clock, shot_clock, x_loc, y_loc FROM mv",
+    f"WITH {a.MOVES} SELECT game_id, event_id, moment, player_id, game_clock, shot_clock, x_loc, y_loc FROM mv",
 )
 def moment_positions(spark, sf):
     return movement.moment_positions(a.payload(spark, sf)).select(
-        "moment", "player_id", "game_clock", "shot_clock", "x_loc", "y_loc"
+        *movement.EVENT, "moment", "player_id", "game_clock", "shot_clock", "x_loc", "y_loc"
     )
 
 
@@ -59,27 +59,27 @@ def join_dimension_map(spark, sf):
     return rel.count_per_key(a.movement(spark, sf), "player_name", "jersey")
 
 
-@query("filter_equals", f"WITH {a.MOVES} SELECT moment, x_loc, y_loc FROM mv WHERE player_id = -1 AND team_id = 1")
+@query("filter_equals", f"WITH {a.MOVES} SELECT game_id, event_id, moment, x_loc, y_loc FROM mv WHERE player_id = -1 AND team_id = 1")
 def filter_equals(spark, sf):
     mv = a.positions(spark, sf)
-    return mv.where((F.col("player_id") == movement.BALL) & (F.col("team_id") == 1)).select("moment", "x_loc", "y_loc")
+    return mv.where((F.col("player_id") == movement.BALL) & (F.col("team_id") == 1)).select(*movement.EVENT, "moment", "x_loc", "y_loc")
 
 
-@query("filter_not_equal", f"WITH {a.MOVES} SELECT player_id, moment, x_loc FROM mv WHERE player_id <> {a.FOCUS}")
+@query("filter_not_equal", f"WITH {a.MOVES} SELECT game_id, event_id, player_id, moment, x_loc FROM mv WHERE player_id <> {a.FOCUS}")
 def filter_not_equal(spark, sf):
-    return a.positions(spark, sf).where(F.col("player_id") != a.FOCUS).select("player_id", "moment", "x_loc")
+    return a.positions(spark, sf).where(F.col("player_id") != a.FOCUS).select(*movement.EVENT, "player_id", "moment", "x_loc")
 
 
-@query("filter_range_mask", f"WITH {a.MOVES} SELECT player_id, moment, game_clock, shot_clock FROM mv WHERE {MASK}")
+@query("filter_range_mask", f"WITH {a.MOVES} SELECT game_id, event_id, player_id, moment, game_clock, shot_clock FROM mv WHERE {MASK}")
 def filter_range_mask(spark, sf):
     return a.positions(spark, sf).where(movement.in_play(a.GAME_RANGE, a.SHOT_RANGE)).select(
-        "player_id", "moment", "game_clock", "shot_clock"
+        *movement.EVENT, "player_id", "moment", "game_clock", "shot_clock"
     )
 
 
-@query("filter_in_set", f"WITH {a.MOVES} SELECT player_id, moment, x_loc FROM mv WHERE player_id IN (3, 5, 7, 9, -1)")
+@query("filter_in_set", f"WITH {a.MOVES} SELECT game_id, event_id, player_id, moment, x_loc FROM mv WHERE player_id IN (3, 5, 7, 9, -1)")
 def filter_in_set(spark, sf):
-    return a.positions(spark, sf).where(F.col("player_id").isin(3, 5, 7, 9, -1)).select("player_id", "moment", "x_loc")
+    return a.positions(spark, sf).where(F.col("player_id").isin(3, 5, 7, 9, -1)).select(*movement.EVENT, "player_id", "moment", "x_loc")
 
 
 @query("agg_min_max_range", f"WITH {a.MOVES} SELECT round(max(game_clock) - min(game_clock), 6) AS seconds FROM mv")
@@ -95,20 +95,20 @@ def agg_distinct(spark, sf):
 
 @query(
     "window_lag_diff",
-    f"WITH {STEPS} SELECT player_id, moment, round(dx, 6) + 0 AS dx, round(dy, 6) + 0 AS dy FROM st",
+    f"WITH {STEPS} SELECT game_id, event_id, player_id, moment, round(dx, 6) + 0 AS dx, round(dy, 6) + 0 AS dy FROM st",
 )
 def window_lag_diff(spark, sf):
     return rounded(movement.steps(a.positions(spark, sf)), "dx", "dy").drop("step")
 
 
-@query("travel_distance", f"WITH {TRAVEL} SELECT player_id, round(distance, 6) AS distance FROM tr")
+@query("travel_distance", f"WITH {TRAVEL} SELECT game_id, event_id, player_id, round(distance, 6) AS distance FROM tr")
 def travel_distance(spark, sf):
     return rounded(movement.travel_distance(a.positions(spark, sf)), "distance")
 
 
-SPEED = f"""WITH {TRAVEL}, s AS (SELECT max(game_clock) - min(game_clock) AS seconds FROM mv)
-    SELECT player_id, round(distance, 6) AS distance, round(distance / seconds * CAST(0.681818 AS DOUBLE), 6) AS mph
-    FROM tr CROSS JOIN s"""
+SPEED = f"""WITH {TRAVEL}, s AS (SELECT game_id, event_id, max(game_clock) - min(game_clock) AS seconds FROM mv GROUP BY ALL)
+    SELECT game_id, event_id, player_id, round(distance, 6) AS distance,
+    round(distance / seconds * CAST(0.681818 AS DOUBLE), 6) AS mph FROM tr JOIN s USING (game_id, event_id)"""
 
 
 @query("distance_and_speed", SPEED)
@@ -116,40 +116,42 @@ def distance_and_speed(spark, sf):
     return rounded(movement.distance_and_speed(a.positions(spark, sf)), "distance", "mph")
 
 
-@query("average_speed", f"SELECT player_id, mph FROM ({SPEED})")
+@query("average_speed", f"SELECT player_id, round(avg(mph), 6) AS mph FROM ({SPEED}) GROUP BY player_id")
 def average_speed(spark, sf):
-    return rounded(movement.distance_and_speed(a.positions(spark, sf)), "mph").drop("distance")
+    """Each player's mean over the events."""
+    speeds = rounded(movement.distance_and_speed(a.positions(spark, sf)), "mph")
+    return rounded(speeds.groupBy("player_id").agg(F.avg("mph").alias("mph")), "mph")
 
 
 @query(
     "fn_unit_convert",
-    f"WITH {STEPS} SELECT player_id, moment, round(sqrt(dx * dx + dy * dy) * CAST(0.681818 AS DOUBLE), 6) AS mph FROM st",
+    f"WITH {STEPS} SELECT game_id, event_id, player_id, moment, round(sqrt(dx * dx + dy * dy) * CAST(0.681818 AS DOUBLE), 6) AS mph FROM st",
 )
 def fn_unit_convert(spark, sf):
     steps = movement.steps(a.positions(spark, sf))
-    return steps.select("player_id", "moment", F.round(fn.to_mph(F.col("step")), 6).alias("mph"))
+    return steps.select(*movement.EVENT, "player_id", "moment", F.round(fn.to_mph(F.col("step")), 6).alias("mph"))
 
 
-@query("fn_euclidean", f"WITH {a.MOVES} SELECT player_id, moment, round(sqrt(x_loc * x_loc + y_loc * y_loc), 6) AS r FROM mv")
+@query("fn_euclidean", f"WITH {a.MOVES} SELECT game_id, event_id, player_id, moment, round(sqrt(x_loc * x_loc + y_loc * y_loc), 6) AS r FROM mv")
 def fn_euclidean(spark, sf):
     r = fn.distance(F.col("x_loc"), F.col("y_loc"), F.lit(0.0), F.lit(0.0))
-    return a.positions(spark, sf).select("player_id", "moment", F.round(r, 6).alias("r"))
+    return a.positions(spark, sf).select(*movement.EVENT, "player_id", "moment", F.round(r, 6).alias("r"))
 
 
-@query("join_self_positional", f"WITH {FOCUS} SELECT player_id, moment, shot_clock, round(dist, 6) AS dist FROM fd")
+@query("join_self_positional", f"WITH {FOCUS} SELECT game_id, event_id, player_id, moment, shot_clock, round(dist, 6) AS dist FROM fd")
 def join_self_positional(spark, sf):
     return rounded(movement.focus_distances(a.positions(spark, sf), a.FOCUS), "dist")
 
 
 @query(
     "distance_to_focus",
-    f"WITH {FOCUS} SELECT player_id, count(*) AS moments, round(avg(dist), 6) AS avg_dist FROM fd GROUP BY player_id",
+    f"WITH {FOCUS} SELECT game_id, event_id, player_id, count(*) AS moments, round(avg(dist), 6) AS avg_dist FROM fd GROUP BY ALL",
 )
 def distance_to_focus(spark, sf):
     return rounded(movement.distance_to_focus(a.positions(spark, sf), a.FOCUS), "avg_dist")
 
 
-@query("distance_in_play", f"WITH {PLAY} SELECT pair, moment, shot_clock, round(dist, 6) AS dist FROM play")
+@query("distance_in_play", f"WITH {PLAY} SELECT game_id, event_id, pair, moment, shot_clock, round(dist, 6) AS dist FROM play")
 def distance_in_play(spark, sf):
     play = movement.distance_in_play(a.positions(spark, sf), a.PAIRS, a.GAME_RANGE, a.SHOT_RANGE)
     return rounded(play, "dist")
@@ -157,37 +159,40 @@ def distance_in_play(spark, sf):
 
 @query(
     "series_last_value",
-    f"WITH {PLAY} SELECT pair, max(moment) AS moment, round(arg_max(dist, moment), 6) AS dist FROM play GROUP BY pair",
+    f"WITH {PLAY} SELECT game_id, event_id, pair, max(moment) AS moment, round(arg_max(dist, moment), 6) AS dist FROM play GROUP BY game_id, event_id, pair",
 )
 def series_last_value(spark, sf):
     play = movement.distance_in_play(a.positions(spark, sf), a.PAIRS, a.GAME_RANGE, a.SHOT_RANGE)
     return rounded(movement.last_distances(play), "dist")
 
 
-@query("udf_group_scalar", f"WITH {TRAVEL} SELECT player_id, round(distance, 6) AS distance FROM tr")
+@query(
+    "udf_group_scalar",
+    f"""WITH {STEPS} SELECT game_id, event_id, player_id, round(quantile_disc(sqrt(dx * dx + dy * dy), 0.5), 6) AS middle_step
+    FROM st WHERE dx IS NOT NULL GROUP BY ALL""",
+)
 def udf_group_scalar(spark, sf):
-    """A Python function per group, over parts of a player's track that are then added up."""
+    """A Python function per group that has no partial form: each player's middle step of an event."""
 
     @F.pandas_udf("double")
-    def length(step: pd.Series) -> float:
-        return float(step.sum())
+    def middle(step: pd.Series) -> float:
+        return float(step.sort_values(ignore_index=True)[max(0, -(-len(step) // 2) - 1)])
 
-    steps = movement.steps(a.positions(spark, sf)).withColumn("chunk", F.floor(F.col("moment") / 10_000))
-    parts = steps.groupBy("player_id", "chunk").agg(length("step").alias("part"))
-    return parts.groupBy("player_id").agg(F.round(F.sum("part"), 6).alias("distance"))
+    steps = movement.steps(a.positions(spark, sf)).where(F.col("step").isNotNull())
+    return steps.groupBy(*movement.EVENT, "player_id").agg(F.round(middle("step"), 6).alias("middle_step"))
 
 
 @query(
     "udf_group_list",
-    f"""WITH {FOCUS} SELECT player_id, moment // 1000 AS chunk, count(*) AS n, string_agg(CAST(moment AS VARCHAR), ','
-    ORDER BY moment) AS moments, round(sum(dist), 6) AS total FROM fd GROUP BY 1, 2""",
+    f"""WITH {FOCUS} SELECT game_id, event_id, player_id, moment // 1000 AS chunk, count(*) AS n, string_agg(CAST(moment AS VARCHAR), ','
+    ORDER BY moment) AS moments, round(sum(dist), 6) AS total FROM fd GROUP BY 1, 2, 3, 4""",
 )
 def udf_group_list(spark, sf):
     lists = movement.distance_lists(a.positions(spark, sf), a.FOCUS)
     total = F.aggregate("series", F.lit(0.0), lambda acc, s: acc + s["dist"])
     names = F.concat_ws(",", F.transform("series", lambda s: s["moment"].cast("string")))
     return lists.select(
-        "player_id", "chunk", F.size("series").cast("long").alias("n"), names.alias("moments"), F.round(total, 6).alias("total")
+        *movement.EVENT, "player_id", "chunk", F.size("series").cast("long").alias("n"), names.alias("moments"), F.round(total, 6).alias("total")
     )
 
 

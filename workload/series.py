@@ -198,7 +198,7 @@ def min_max_normalize(spark, sf):
     return with_text_time(rounded(scaled, "value", "index"))
 
 
-def granger_sql(series: str, by: str, order: str, runs: str = "") -> str:
+def granger_sql(series: str, by: str, order: str, runs: str = "", digits: int = 6) -> str:
     """Residual sums by eliminating one regressor after the other from the product sums."""
     parts = []
     for lag in range(1, MAXLAG + 1):
@@ -227,9 +227,9 @@ def granger_sql(series: str, by: str, order: str, runs: str = "") -> str:
             ctes.append(f"g{s + 1} AS (SELECT {by}, t{keep}{small}, {rest} FROM g{s})")
         parts.append(
             f"""SELECT {by}, {lag} AS lag, t AS observations,
-            round((ssr_small - g_{last}_{last}) / {lag} / (g_{last}_{last} / (t - {2 * lag + 1})), 6) AS f_stat,
-            {lag} AS f_df1, t - {2 * lag + 1} AS f_df2, round(t * (ssr_small - g_{last}_{last}) / g_{last}_{last}, 6) AS chi2_stat,
-            round(t * ln(ssr_small / g_{last}_{last}), 6) AS lr_stat, {lag} AS chi2_df FROM (
+            round((ssr_small - g_{last}_{last}) / {lag} / (g_{last}_{last} / (t - {2 * lag + 1})), {digits}) AS f_stat,
+            {lag} AS f_df1, t - {2 * lag + 1} AS f_df2, round(t * (ssr_small - g_{last}_{last}) / g_{last}_{last}, {digits}) AS chi2_stat,
+            round(t * ln(ssr_small / g_{last}_{last}), {digits}) AS lr_stat, {lag} AS chi2_df FROM (
               WITH {', '.join(ctes)} SELECT * FROM g{last})"""
         )
     return f"""WITH {series}, ce AS (SELECT *, value - avg(value) OVER (PARTITION BY {by}) AS y,
@@ -249,9 +249,26 @@ def granger_causality(spark, sf):
     return rounded(hourly_granger(spark, sf), *STATS).select(SHOWN)
 
 
-@query("granger_p_values")
+# Tails by Simpson's rule. With u = 1 - s^2 in the beta integral and t = s^2 in the gamma integral both integrands are smooth.
+STEPS = 4000
+F_TERM = "2 * pow(s, lag - 1) * exp((f_df2 / 2.0 - 1) * ln(greatest(1 - s * s, 1e-300)) + lgamma((f_df2 + lag) / 2.0) - lgamma(f_df2 / 2.0) - lgamma(lag / 2.0))"
+CHI_TERM = "2 * pow(s, lag - 1) * exp(-s * s / 2 - lag / 2.0 * ln(2) - lgamma(lag / 2.0))"
+P_VALUES = f"""WITH g AS ({granger_sql(f"{a.HOURLY}, se AS (SELECT * FROM hourly)", "event_type", "time", digits=15)}),
+    spans AS (SELECT event_type, lag, f_df2, 'f' AS kind, sqrt(lag * f_stat / (f_df2 + lag * f_stat)) AS low,
+        least(1, sqrt(lag * f_stat / (f_df2 + lag * f_stat)) + 24 / sqrt(f_df2)) AS high FROM g
+      UNION ALL SELECT event_type, lag, f_df2, 'chi2', sqrt(chi2_stat), sqrt(chi2_stat) + 14 FROM g
+      UNION ALL SELECT event_type, lag, f_df2, 'lr', sqrt(lr_stat), sqrt(lr_stat) + 14 FROM g),
+    points AS (SELECT *, low + (high - low) * i / {STEPS} AS s, CASE WHEN i IN (0, {STEPS}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w
+      FROM spans CROSS JOIN (SELECT unnest(generate_series(0, {STEPS})) AS i)),
+    tails AS (SELECT event_type, lag, kind, any_value(high - low) / {3 * STEPS}.0
+      * sum(w * CASE kind WHEN 'f' THEN {F_TERM} ELSE {CHI_TERM} END) AS p FROM points GROUP BY ALL)
+    SELECT event_type, lag, {', '.join(f"round(max(p) FILTER (kind = '{k}'), 6) + 0 AS {n}" for k, n in
+      (('f', 'f_p'), ('chi2', 'chi2_p'), ('lr', 'lr_p'), ('f', 'params_f_p')))} FROM tails GROUP BY ALL"""
+
+
+@query("granger_p_values", P_VALUES)
 def granger_p_values(spark, sf):
-    """The p-values that go with ``granger_causality``; SQL has no such distribution functions."""
+    """The p-values that go with ``granger_causality``."""
     columns = ["f_p", "chi2_p", "lr_p", "params_f_p"]
     return rounded(hourly_granger(spark, sf), *columns).select("event_type", "lag", *columns)
 
