@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.registry import query, table
@@ -147,26 +147,29 @@ def shape_of(text: str, start: int, end: int) -> list[float]:
     return [min(n, 64) / 32, *[k / n for k in kinds], float(text[max(0, start - 1) : start].isspace() or start == 0)]
 
 
-_SPAN = "struct<kind: int, start: long, stop: long, base: boolean, votes: array<int>, shape: array<double>>"
+#: How a span stands in a row's bytes.
+_RECORD = np.dtype([("kind", "i1"), ("base", "?"), ("votes", "i1", 6), ("start", "<i8"), ("stop", "<i8"), ("shape", "<f8", 6)])
+
+
+def spans_of(text: str) -> np.ndarray:
+    """Every base span and candidate with the labelers' votes, by kind, base first."""
+    rows = [
+        (k, sure, votes_on(text, kind, a, b, sure), a, b, shape_of(text, a, b))
+        for k, (kind, found) in enumerate(matches(text).items())
+        for spans, sure in zip(found, (True, False))
+        for a, b in spans
+    ]
+    return np.array([(k, sure, tuple(v), a, b, tuple(s)) for k, sure, v, a, b, s in rows], _RECORD)
 
 
 def labelled_spans(docs: DataFrame) -> DataFrame:
-    """doc_id and ``found``: every base span and candidate with the labelers' votes."""
+    """doc_id and ``found``: the bytes of ``spans_of``, null where there is no span."""
 
-    @F.pandas_udf(f"array<{_SPAN}>")
+    @F.pandas_udf("binary")
     def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            out = []
-            for text in batch:
-                rows = []
-                for k, (kind, (base, more)) in enumerate(matches(text).items() if isinstance(text, str) else ()):
-                    for spans, sure in ((base, True), (more, False)):
-                        rows += [
-                            {"kind": k, "start": a, "stop": b, "base": sure, "votes": votes_on(text, kind, a, b, sure), "shape": shape_of(text, a, b)}
-                            for a, b in spans
-                        ]
-                out.append(rows)
-            yield pd.Series(out)
+            found = [spans_of(t) if isinstance(t, str) else () for t in batch]
+            yield pd.Series([f.tobytes() if len(f) else None for f in found], dtype="object")
 
     return docs.select("doc_id", find("text").alias("found"))
 
@@ -210,31 +213,50 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float =
 
 def fit_span_classifier(labelled: DataFrame, most: int = SAMPLE_SPANS) -> np.ndarray | None:
     """Weights of the final classifier; runs two jobs that bring a bounded number of rows to the driver."""
-    spans = labelled.select("doc_id", F.explode("found").alias("s")).select("doc_id", "s.*")
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            spans = np.frombuffer(b"".join(batch["found"]), _RECORD)
+            owners = np.repeat(batch["draw"].to_numpy(), [len(f) // _RECORD.itemsize for f in batch["found"]])
+            votes = [",".join(map(str, v)) for v in spans["votes"].tolist()]
+            yield pd.DataFrame(
+                {"draw": owners, "start": spans["start"], "kind": spans["kind"].astype(int), "votes": votes, "shape": list(spans["shape"])}
+            )
+
+    spans = (
+        labelled.filter(F.col("found").isNotNull())
+        .select(F.xxhash64("doc_id").alias("draw"), "found")
+        .mapInPandas(unpack, "draw long, start long, kind int, votes string, shape array<double>")
+    )
     patterns = spans.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()
     if not patterns:
         return None
-    kinds, votes = np.array([r["kind"] for r in patterns]), np.array([r["votes"] for r in patterns])
+    parsed = lambda rows: (np.array([r["kind"] for r in rows]), np.array([[int(v) for v in r["votes"].split(",")] for r in rows]))
+    kinds, votes = parsed(patterns)
     chance = reliabilities(kinds, votes, np.array([r["n"] for r in patterns], float))[0]
-    known = {(r["kind"], *r["votes"]): c for r, c in zip(patterns, chance)}
-    sample = spans.orderBy(F.xxhash64("doc_id", "start", "kind"), "doc_id", "start", "kind").limit(most).select("kind", "votes", "shape").collect()
-    x = span_features(np.array([r["kind"] for r in sample]), np.array([r["votes"] for r in sample]), np.array([r["shape"] for r in sample]))
-    return fit_logistic(x, np.array([known[(r["kind"], *r["votes"])] for r in sample]))
+    known = {(r["kind"], r["votes"]): c for r, c in zip(patterns, chance)}
+    order = [F.xxhash64("draw", "start", "kind"), "draw", "start", "kind", "votes"]
+    share = min(1.0, 2 * most / sum(r["n"] for r in patterns))
+    drawn = spans.filter(F.pmod(order[0], F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = drawn.orderBy(*order).limit(most).select("kind", "votes", "shape").collect()
+    x = span_features(*parsed(sample), np.array([r["shape"] for r in sample]))
+    return fit_logistic(x, np.array([known[(r["kind"], r["votes"])] for r in sample]))
 
 
-def chosen_spans(found: list, weights: np.ndarray | None) -> list[tuple[str, int, int]]:
+def chosen_spans(found: np.ndarray, weights: np.ndarray | None) -> list[tuple[str, int, int]]:
     """Base spans and the candidates that the classifier takes, by kind and start."""
-    taken = [(s["kind"], s["start"], s["stop"]) for s in found if s["base"]]
-    more = [s for s in found if not s["base"]]
-    if more and weights is not None:
-        x = span_features(np.array([s["kind"] for s in more]), np.array([list(s["votes"]) for s in more]), np.array([list(s["shape"]) for s in more]))
+    base, more = found[found["base"]], found[~found["base"]]
+    taken = [(int(s["kind"]), int(s["start"]), int(s["stop"])) for s in base]
+    if len(more) and weights is not None:
+        scores = span_features(more["kind"].astype(int), more["votes"], more["shape"]) @ weights
         free = _disjoint([(a, b) for _, a, b in taken])
-        for s, score in sorted(zip(more, x @ weights), key=lambda p: (-p[1], p[0]["start"])):
-            at = bisect.bisect_left(free, (s["start"], s["stop"]))
-            clear = (at == 0 or free[at - 1][1] <= s["start"]) and (at == len(free) or s["stop"] <= free[at][0])
-            if clear and score >= np.log(THRESHOLD / (1 - THRESHOLD)):
-                taken.append((s["kind"], s["start"], s["stop"]))
-                free.insert(at, (s["start"], s["stop"]))
+        for k in np.lexsort((more["start"], -scores)):
+            kind, start, stop = (int(more[k][c]) for c in ("kind", "start", "stop"))
+            at = bisect.bisect_left(free, (start, stop))
+            clear = (at == 0 or free[at - 1][1] <= start) and (at == len(free) or stop <= free[at][0])
+            if clear and scores[k] >= np.log(THRESHOLD / (1 - THRESHOLD)):
+                taken.append((kind, start, stop))
+                free.insert(at, (start, stop))
     return [(KINDS[k], a, b) for k, a, b in sorted(taken)]
 
 
@@ -249,34 +271,41 @@ def _disjoint(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _line(spans: list[tuple[str, int, int]]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
 def personal_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base and spans (arrays of kind, start, stop) per row."""
+    """doc_id, base and spans per row, both as ``kind:start:end`` by kind and start, joined by commas."""
     labelled = materialize(labelled_spans(docs), "pii")
     shared = docs.sparkSession.sparkContext.broadcast(fit_span_classifier(labelled))
-    kind = "array<struct<kind: string, start: long, stop: long>>"
 
-    @F.pandas_udf(f"base {kind}, spans {kind}")
+    @F.pandas_udf("base string, spans string")
     def choose(founds: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        of = lambda spans: [{"kind": k, "start": a, "stop": b} for k, a, b in spans]
         for batch in founds:
-            rows = [list(f) if f is not None else [] for f in batch]
+            rows = [np.frombuffer(f, _RECORD) if f is not None else None for f in batch]
             yield pd.DataFrame(
-                {
-                    "base": [of(chosen_spans([s for s in f if s["base"]], None)) for f in rows],
-                    "spans": [of(chosen_spans(f, shared.value)) for f in rows],
-                }
+                [("", "") if r is None else (_line(chosen_spans(r, None)), _line(chosen_spans(r, shared.value))) for r in rows], columns=["base", "spans"]
             )
 
     return labelled.select("doc_id", choose("found").alias("chosen")).select("doc_id", "chosen.*")
 
 
+def span_array(line: Column) -> Column:
+    """The spans of such a line as an array of structs."""
+    parts = F.filter(F.split(line, ","), lambda s: s != "")
+    field = lambda s, k: F.split(s, ":")[k]
+    return F.transform(
+        parts, lambda s: F.struct(field(s, 0).alias("kind"), field(s, 1).cast("long").alias("start"), field(s, 2).cast("long").alias("stop"))
+    )
+
+
 @query("op10_pii")
 def personal_data_of_documents(spark, sf_dir):
     found = personal_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
     return found.select(
         "doc_id",
-        *[F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(line("base"), 256).alias("base_sha256"),
-        line("spans").alias("spans"),
+        *[F.regexp_count("base", F.lit(f"{k}:")).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2("base", 256).alias("base_sha256"),
+        "spans",
     )

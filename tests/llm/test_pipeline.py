@@ -1,0 +1,130 @@
+"""The pipeline against a brute-force version of its stages, and decontamination."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from rivulet.llm import decontaminate, langid, mixing, sharding
+from rivulet.session import materialize
+from tests.llm.test_fingerprints import plain_components, plain_fingerprint
+from tests.llm.test_mix_and_shards import check_shards, plain_targets
+
+SF = "/root/testdata/sf0.001"
+
+
+def words(text):
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def plain_leak(text, item):
+    """Whether some diagonal has a stretch of enough words, most of them alike, that holds a hit of a mask."""
+    a, b = words(text or ""), words(item or "")
+    if len(b) < decontaminate.SHORTEST:
+        return False
+    least = min(decontaminate.LEAST_WORDS, len(b))
+    for shift in range(-len(b), len(a)):
+        same = {j: a[j + shift] == b[j] for j in range(len(b)) if 0 <= j + shift < len(a)}
+        hit = any(all(same.get(j + o) for o in mask) for mask in decontaminate.MASKS for j in range(len(b)))
+        if hit and same:
+            keys = sorted(same)
+            for i in keys:
+                for k in range(i + least, keys[-1] + 2):
+                    if sum(same[j] for j in range(i, k)) >= decontaminate.ALIKE * (k - i) - 1e-9:
+                        return True
+    return False
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(30)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([3, 8, 10, 14, 30])))) for k in range(12)] + [(None, "x"), (50, None), (51, "")]
+    docs = []
+    for k in range(60):
+        text = [rng.choice(vocabulary) for _ in range(rng.randrange(40))]
+        item = words(rng.choice(items)[1] or "a b")
+        for _ in range(rng.randrange(4)):
+            item[rng.randrange(len(item))] = "changed"
+        a = rng.randrange(len(item))
+        text[5:5] = item[a // 3 :]
+        docs.append((k, ", ".join(text).upper() if k % 2 else "\n".join(text)))
+    docs += [(None, docs[0][1]), (100, None), (101, ""), (0, docs[0][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, benchmark).collect()}
+    want = {(i, j) for i, t in docs for j, b in items if plain_leak(t, b)}
+    assert got == want and want
+    kept = {r["doc_id"] for r in decontaminate.without_contaminated(df, benchmark).collect()}
+    assert kept == {i for i, t in docs if not any(plain_leak(t, b) for _, b in items)}
+
+
+def test_any_two_replaced_words_of_thirteen_are_found():
+    item = [f"t{k}" for k in range(13)]
+    block = decontaminate.SeedBlock.of([1], [" ".join(item)])
+    for i in range(13):
+        for j in range(i):
+            text = list(item)
+            text[i] = text[j] = "other"
+            assert block.leaks("before " + " ".join(text) + " behind")
+    assert not block.leaks(" ".join(item[:6]) + " gap " * 9 + " ".join(item[6:]))
+
+
+def test_blocks_and_pieces_change_nothing(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    columns = ["doc_id", "item_id", "words", "alike"]
+    whole = sorted(map(tuple, decontaminate.contaminated(docs, benchmark).select(columns).collect()))
+    blocks = list(decontaminate.seed_blocks(benchmark, 400))
+    assert len(blocks) > 2
+    monkeypatch.setattr(decontaminate, "PIECE", 700)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    split = sorted((i, k, *rest[2:]) for b in blocks for i, t in texts.items() for k, *rest in b.leaks(t))
+    assert split == whole and whole
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        rows = [r.asDict() for r in docs.collect()]
+        out = materialize(stage(spark, docs, SF), name)
+        got = out.collect()
+        ids = sorted(r["doc_id"] for r in got)
+        if name == "language_id":
+            marked = {r["doc_id"]: r["language"] for r in langid.identify(docs).collect()}
+            assert ids == sorted(i for i, m in marked.items() if m["lang_pred"] != "und" and m["score"] >= langid.LEAST_SCORE)
+        elif name == "near_duplicates":
+            roots = plain_components({r["doc_id"]: plain_fingerprint(r["text"]) for r in rows}, 2)
+            assert ids == sorted(set(roots.values()))
+        elif name == "decontamination":
+            items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+            joined = {r["doc_id"]: " ".join(words(r["text"])) for r in rows}
+            assert ids == sorted(i for i, t in joined.items() if not any(" ".join(words(b)) in t for b in items))
+        elif name == "mixing":
+            assert set(ids) <= {r["doc_id"] for r in rows} and max(ids.count(i) for i in set(ids)) <= 2
+            sizes = {}
+            for r in rows:
+                sizes[r["source"]] = sizes.get(r["source"], 0) + len(re.findall(mixing.WORD, r["text"]))
+            longest = max(len(re.findall(mixing.WORD, r["text"])) for r in rows)
+            for source, target in plain_targets(sizes).items():
+                assert abs(sum(len(re.findall(mixing.WORD, r["text"])) for r in got if r["source"] == source) - target) <= longest
+        else:
+            assert ids == sorted(r["doc_id"] for r in rows)
+            sized = out.select("shard", "slot", sharding.size_of(F.col("text")).alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+            check_shards([r.asDict() for r in sized.collect()])
+        assert out.columns[: len(columns)] == columns
+        if name != "sharding":
+            assert out.columns == columns
+        docs = out
+
+
+@pytest.mark.parametrize("name", ["awkward", "empty"])
+def test_stages_on_awkward_rows(spark, request, name):
+    docs = request.getfixturevalue(name)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns
+        docs = materialize(out)
+    assert (docs.count() == 0) == (name == "empty")
