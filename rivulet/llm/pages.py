@@ -352,7 +352,11 @@ def with_main_text(pages: DataFrame, model: BoostedTrees | None, name: str = "te
 
 def extract_main_text(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
     """``pages`` with ``text``; the model is learned from at most ``sample`` of their rows."""
-    drawn = pages.filter(F.col("html").isNotNull()).select("html", F.xxhash64("page_id").alias("draw")).orderBy("draw", F.xxhash64("html")).limit(sample)
+    # about twice the sample by hash first, so that the choice of the exact number sees few rows of each task
+    share = min(1.0, 2 * sample / max(1, pages.count()))
+    draw = F.xxhash64("page_id", F.lit("pages"))
+    few = pages.filter(F.col("html").isNotNull() & (F.pmod(draw, F.lit(1 << 30)) < int(share * (1 << 30))))
+    drawn = few.select("html", draw.alias("draw"), F.xxhash64("html").alias("tie")).orderBy("draw", "tie").limit(sample)
     return with_main_text(pages, fit_nodes([r["html"] for r in drawn.collect()]))
 
 
