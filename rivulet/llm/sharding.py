@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm.registry import query, table
+from rivulet.session import materialize
 
 SHARDS = 16
 #: Contiguous runs of groups that are cut as one: a cut is exact to 1 / BINS of all groups.
@@ -69,17 +70,20 @@ def bin_of(text: Column, bits: int = BIN_BITS) -> Column:
 def minimax_cuts(docs: DataFrame, shards: int = SHARDS, bits: int = BIN_BITS) -> list[int]:
     """The first bin of every shard but the first; runs a job that reads the texts once."""
     bins = docs.groupBy(bin_of(F.col("text"), bits).alias("bin")).agg(F.sum(size_of(F.col("text"))).alias("bytes"))
-    found = (
+    # each step is written, one row, so that no later expression repeats an earlier one
+    units = materialize(
         bins.agg(
             F.array_sort(F.collect_list(F.struct("bin", "bytes"))).alias("units"),
             F.coalesce(F.sum("bytes"), F.lit(0)).alias("total"),
             F.coalesce(F.max("bytes"), F.lit(0)).alias("largest"),
-        )
-        .withColumn("low", F.greatest("largest", F.expr(f"(total + {shards - 1}) div {shards}")))
-        .withColumn("capacity", F.expr(_CAPACITY.format(needed=_SHARDS_NEEDED.format(capacity="(c.low + (c.high - c.low) div 2)"), shards=shards)))
-        .withColumn("earliest", F.expr(_EARLIEST))
-        .select(F.expr(_CUTS.format(last=shards - 1, shards=shards)).alias("cuts"))
+        ),
+        "shard-units",
     )
+    needed = _SHARDS_NEEDED.format(capacity="(c.low + (c.high - c.low) div 2)")
+    low = F.greatest("largest", F.expr(f"(total + {shards - 1}) div {shards}"))
+    sized = materialize(units.withColumn("low", low).withColumn("capacity", F.expr(_CAPACITY.format(needed=needed, shards=shards))), "shard-capacity")
+    bounded = materialize(sized.withColumn("earliest", F.expr(_EARLIEST)), "shard-bounds")
+    found = bounded.select(F.expr(_CUTS.format(last=shards - 1, shards=shards)).alias("cuts"))
     return list(found.first()["cuts"])
 
 
