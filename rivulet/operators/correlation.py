@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.session import materialize
 
@@ -205,8 +205,9 @@ def correlation_matrix(
 ) -> DataFrame:
     """Correlation of every profile with every profile, itself included: (id, neighbor_id, corr).
 
-    With ``best`` the result may leave out pairs that are not among the ``best`` highest of either profile, which
-    saves most of the rows where only nearest neighbours are wanted.
+    With ``best`` the result holds the ``best`` highest known pairs of each profile (``best_of_each``), without the pair with itself,
+    whatever the numbers of blocks and slices. Where one slice holds all keys, tasks cut their products to
+    candidates before anything is shuffled; otherwise the sums of the slices are, and are cut afterwards.
 
     Profiles are cut into blocks of about ``block`` ids. A task holds two blocks and one slice of
     the keys and returns summed products, never the pairs that meet under a key, so a key shared
@@ -223,9 +224,6 @@ def correlation_matrix(
     largest = stats.groupBy(home.alias("block")).agg(F.sum("cells").alias("cells")).agg(F.max("cells")).first()[0]
     heaviest = 2 * (largest or 0)
     slices = max(1, -(-heaviest // slice_cells))
-    if heaviest > max(100_000, (ids / blocks) ** 2):  # few profiles with many cells still keep all cores busy
-        cores = profiles.sparkSession.sparkContext.defaultParallelism
-        slices = max(slices, -(-2 * cores // (blocks * (blocks + 1))))
 
     scaled = profiles.join(stats.select("id", "scale"), "id").select(
         "id", "key", (F.col("value") * F.col("scale")).alias("z")
@@ -267,4 +265,17 @@ def correlation_matrix(
             F.struct(F.col("neighbor_id").alias("id"), F.col("id").alias("neighbor_id")),
         )
     )
-    return parts.select(F.explode(both).alias("pair"), F.col("part").alias("corr")).select("pair.*", "corr")
+    pairs = parts.select(F.explode(both).alias("pair"), F.col("part").alias("corr")).select("pair.*", "corr")
+    return pairs if best is None else best_of_each(pairs, best)
+
+
+def best_of_each(pairs: DataFrame, k: int, parts: int = 64) -> DataFrame:
+    """The ``k`` highest pairs of every id with others, equal ones in order of the neighbour's id, unknown ones left out.
+
+    Two rounds, the first over parts of an id's candidates, so that no task sorts all candidates of one id.
+    """
+    known = pairs.where((F.col("neighbor_id") != F.col("id")) & F.col("corr").isNotNull())
+    order = [F.desc("corr"), F.asc("neighbor_id")]
+    local = Window.partitionBy("id", F.pmod(F.xxhash64("neighbor_id"), F.lit(parts))).orderBy(*order)
+    few = known.withColumn("at_", F.row_number().over(local)).where(F.col("at_") <= k)
+    return few.withColumn("at_", F.row_number().over(Window.partitionBy("id").orderBy(*order))).where(F.col("at_") <= k).drop("at_")

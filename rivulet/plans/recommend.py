@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.operators.correlation import correlation_matrix, correlation_with
+from rivulet.operators.correlation import best_of_each, correlation_matrix, correlation_with
 from rivulet.operators.relational import count_per_key, error_metrics, groups_above
 from rivulet.plans.text import words
 from rivulet.session import materialize
@@ -78,13 +78,14 @@ def _profiles(ratings: DataFrame, fill: float) -> DataFrame:
     )
 
 
-def user_similarity(ratings: DataFrame, fill: float = UNRATED) -> DataFrame:
-    """Pearson correlation of all user pairs, unrated businesses counting as ``fill``:
+def user_similarity(ratings: DataFrame, fill: float = UNRATED, best: int | None = None) -> DataFrame:
+    """Pearson correlation of user pairs, unrated businesses counting as ``fill``:
     (user_id, neighbor_id, corr), null for a constant profile.
 
-    The result has users squared rows by nature; for one user take ``similarity_to_user``.
+    With ``best`` each user's highest other users only. Without it the result has users squared rows, which
+    only a small table should ask for; for one user take ``similarity_to_user``.
     """
-    return correlation_matrix(_profiles(ratings, fill)).withColumnRenamed("id", "user_id")
+    return correlation_matrix(_profiles(ratings, fill), best=best).withColumnRenamed("id", "user_id")
 
 
 def similarity_to_user(ratings: DataFrame, user, fill: float = UNRATED) -> DataFrame:
@@ -106,27 +107,13 @@ def nearest_neighbors(sim: DataFrame, user=None, k: int = 30) -> DataFrame:
             F.sort_array(F.collect_list(F.struct((-F.col("corr")).alias("down"), "neighbor_id"))).alias("best")
         )
         return _unpack(ranked)
-    return _unpack(_best_per_user(others, k))
+    best = best_of_each(others.withColumnRenamed("user_id", "id"), k).withColumnRenamed("id", "user_id")
+    return _unpack(best.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("corr")).alias("down"), "neighbor_id"))).alias("best")))
 
 
 def neighbors_of_all(ratings: DataFrame, k: int = 30, fill: float = UNRATED) -> DataFrame:
-    """``nearest_neighbors`` of every user, without the whole similarity matrix ever being shuffled."""
-    sim = correlation_matrix(_profiles(ratings, fill), best=k).withColumnRenamed("id", "user_id")
-    return nearest_neighbors(sim, None, k)
-
-
-def _best_per_user(others: DataFrame, k: int, parts: int = 64) -> DataFrame:
-    """The k best per user in two rounds, the first over parts of a user's candidates, so that
-    no task sorts all candidates of one user."""
-    order = [F.desc("corr"), F.asc("neighbor_id")]
-    salted = others.withColumn("part_", F.pmod(F.xxhash64("neighbor_id"), F.lit(parts)))
-    local = salted.withColumn("at_", F.row_number().over(Window.partitionBy("user_id", "part_").orderBy(*order)))
-    best = local.where(F.col("at_") <= k).drop("part_", "at_")
-    top = best.withColumn("at_", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
-    top = top.where(F.col("at_") <= k)
-    return top.groupBy("user_id").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("corr")).alias("down"), "neighbor_id"))).alias("best")
-    )
+    """``nearest_neighbors`` of every user."""
+    return nearest_neighbors(user_similarity(ratings, fill, best=k), None, k)
 
 
 def _unpack(ranked: DataFrame) -> DataFrame:
@@ -252,10 +239,10 @@ def _word_profiles(texts: DataFrame) -> DataFrame:
     )
 
 
-def lexical_user_similarity(texts: DataFrame) -> DataFrame:
+def lexical_user_similarity(texts: DataFrame, best: int | None = None) -> DataFrame:
     """Pearson correlation of users' word counts, over all words anyone used:
-    (user_id, neighbor_id, corr). ``texts`` has (user_id, text)."""
-    return correlation_matrix(_word_profiles(texts)).withColumnRenamed("id", "user_id")
+    (user_id, neighbor_id, corr). ``texts`` has (user_id, text); ``best`` as in ``user_similarity``."""
+    return correlation_matrix(_word_profiles(texts), best=best).withColumnRenamed("id", "user_id")
 
 
 def lexical_similarity_to_user(texts: DataFrame, user) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from rivulet.functions import text as ft
 from rivulet.operators import relational as rel
@@ -220,10 +220,26 @@ def agg_transpose(spark, sf):
 PAIR_SIM = "SELECT user_id, neighbor_id, round(corr, 9) + 0 AS corr FROM sim"
 
 
-@query("user_similarity", f"WITH {a.RATINGS}, {a.PROFILES}, {a.corr_sql('profiles')} {PAIR_SIM}")
+SPARE = 10  # more than wanted, so that ties after rounding come out in the same order as in SQL
+
+
+def best_sql(k: int) -> str:
+    """Each user's best others, equal rounded correlations in order of the id."""
+    return f"""SELECT user_id, neighbor_id, corr, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+      ORDER BY corr DESC, neighbor_id) AS rank FROM (SELECT user_id, neighbor_id, round(corr, 9) + 0 AS corr FROM sim
+      WHERE neighbor_id <> user_id AND corr IS NOT NULL)) WHERE rank <= {k}"""
+
+
+def best(sim, k: int):
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("corr"), "neighbor_id"))
+    ranked = rounded(sim, "corr", digits=9).withColumn("rank", place).where(F.col("rank") <= k)
+    return ranked.select("user_id", "neighbor_id", "corr", "rank")
+
+
+@query("user_similarity", f"WITH {a.RATINGS}, {a.PROFILES}, {a.corr_sql('profiles')} {best_sql(30)}")
 def user_similarity(spark, sf):
     _, _, ratings = prepared(spark, sf)
-    return rounded(rec.user_similarity(ratings), "corr", digits=9)
+    return best(rec.user_similarity(ratings, best=30 + SPARE), 30)
 
 
 @query(
@@ -259,13 +275,11 @@ def nearest_neighbors(spark, sf):
 
 
 @query(
-    "nearest_neighbors_all",
-    f"WITH {a.RATINGS}, {a.PROFILES}, {a.corr_sql('profiles')}, {a.nearest_sql(5)} SELECT user_id, round(corr, 9) AS corr, rank FROM nearest",
+    "nearest_neighbors_all", f"WITH {a.RATINGS}, {a.PROFILES}, {a.corr_sql('profiles')} {best_sql(5)}"
 )
 def nearest_neighbors_all(spark, sf):
-    """Five best of every user; ids are left out because equal correlations may round apart."""
     _, _, ratings = prepared(spark, sf)
-    return rounded(rec.neighbors_of_all(ratings, 5), "corr", digits=9).drop("neighbor_id")
+    return best(rec.neighbors_of_all(ratings, 5 + SPARE).drop("rank"), 5)
 
 
 @query(
@@ -380,9 +394,9 @@ TEXT_PROFILES = r"""tp AS (SELECT doc_id % 50 AS id, word AS k, CAST(count(*) AS
 WRITER = 7
 
 
-@query("lexical_user_similarity", f"WITH {TEXT_PROFILES}, {a.corr_sql('tp')} {PAIR_SIM}")
+@query("lexical_user_similarity", f"WITH {TEXT_PROFILES}, {a.corr_sql('tp')} {best_sql(20)}")
 def lexical_user_similarity(spark, sf):
-    return rounded(rec.lexical_user_similarity(a.review_texts(spark, sf)), "corr", digits=9)
+    return best(rec.lexical_user_similarity(a.review_texts(spark, sf), best=20 + SPARE), 20)
 
 
 # Both recommenders rate the same writer, over the 50 users that have texts, each with one rating per business.
