@@ -30,10 +30,11 @@ def box_scores(results: DataFrame, order: Sequence[str], player: str = "player_i
 
 
 def efficiency(box: DataFrame, player: str = "player_id") -> DataFrame:
-    """(player, eff): what a player adds minus missed shots, missed free throws and turnovers."""
+    """(player, eff): what a player adds minus missed shots, missed free throws and turnovers, to six places,
+    so that equal scores are equal whatever the order of the sum."""
     gains = sum((F.col(s) for s in ["reb", "ast", "stl", "blk", "pfd"]), F.col("pts"))
     losses = (F.col("fga") - F.col("fgm")) + (F.col("fta") - F.col("ftm")) + F.col("tov")
-    return box.select(player, (gains - losses).alias("eff"))
+    return box.select(player, (F.round(gains - losses, 6) + 0.0).alias("eff"))
 
 
 def efficiency_leaderboard(box: DataFrame, k: int = 10, player: str = "player_id") -> DataFrame:

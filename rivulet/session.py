@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,6 +26,17 @@ def build_session(app: str = "rivulet", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def check_folder(folder: str | None, master: str, hadoop) -> None:
+    """On any master but a local one the folder must be given, with a scheme or on a default file system
+    that is not each machine's own."""
+    if re.fullmatch(r"local(\[.*\])?", master):
+        return
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if "://" not in folder and not folder.startswith("file:") and (hadoop.get("fs.defaultFS") or "file:").startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir has no scheme and the default file system is local: {folder}")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -32,18 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
     would be visible to one machine only, so there it is an error.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
-        return configured
-    current = context.getCheckpointDir()
-    if current is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="rivulet-"))
-        current = context.getCheckpointDir()
-    return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    check_folder(configured, context.master, context._jsc.hadoopConfiguration())
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="rivulet-"))
+    return configured or context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -60,3 +65,14 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for these tables, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        jvm = spark.sparkContext._jvm
+        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

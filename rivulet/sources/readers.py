@@ -36,20 +36,23 @@ def marked_lines(spark: SparkSession, path: str, marker: str, schema: str) -> Da
     return lines.select(F.from_json("value", schema).alias("record")).select("record.*")
 
 
-def csv_table(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """Text with a header line and typed columns; ``sep`` is a tab for TSV."""
+def csv_table(spark: SparkSession, path: str, schema: str, sep: str = ",", multi_line: bool = True) -> DataFrame:
+    """Text with a header line and typed columns; ``sep`` is a tab for TSV.
+
+    Quoted cells may hold line breaks. Where none does, ``multi_line=False`` lets large files be split.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", sep)
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )
 
 
-def tsv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return csv_table(spark, path, schema, sep="\t")
+def tsv_table(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    return csv_table(spark, path, schema, "\t", multi_line)
 
 
 def matrix_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

@@ -38,8 +38,9 @@ def write_json_document(df: DataFrame, path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
-    """Text with a header line in every part file."""
-    df.write.option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    """Text with a header line in every part file; white space at the ends of cells is kept."""
+    writer = df.write.option("header", True).option("sep", sep).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 

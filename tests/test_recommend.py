@@ -189,3 +189,16 @@ def test_lexical_similarity(spark):
     assert got == pytest.approx({(i + 1, j + 1): want[i, j] for i in range(3) for j in range(3)})
     one = {r.neighbor_id: r["corr"] for r in rec.lexical_similarity_to_user(texts, 2).collect()}
     assert one == pytest.approx({j + 1: want[1, j] for j in range(3)})
+
+
+def test_unlisted_matrix_columns_are_an_error(spark):
+    from rivulet.operators import relational as rel
+
+    d = spark.createDataFrame([(1, 1, 4.0), (2, 3, 5.0)], RATING)
+    assert rel.rating_matrix(d, "user_id", "business_id", "stars", [1, 3], 0.1).count() == 2
+    for listed in ([1], []):
+        with pytest.raises(Exception, match="not listed"):
+            rel.rating_matrix(d, "user_id", "business_id", "stars", listed or [2], None).collect()
+    wide = rel.rating_matrix(d, "user_id", "business_id", "stars", [1, 3], None)
+    with pytest.raises(Exception, match="not listed"):
+        rel.transpose(wide, "user_id", [1]).collect()

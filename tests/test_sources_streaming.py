@@ -10,6 +10,32 @@ from rivulet.streaming import posts as stream
 from tests.conftest import as_set
 
 
+def test_a_cluster_needs_a_folder_that_all_can_reach(monkeypatch):
+    from rivulet import session
+
+    class Hadoop:
+        def __init__(self, default):
+            self.get = {"fs.defaultFS": default}.get
+
+    for folder, default, good in [("hdfs://n/x", "file:///", True), ("file:///shared", "file:///", True), ("/x", "hdfs://n", True), ("/x", "file:///", False), (None, "hdfs://n", False)]:
+        for master, local in (("local-cluster[2,1,1024]", False), ("spark://h:1", False), ("local[4]", True), ("local", True)):
+            if local or good:
+                session.check_folder(folder, master, Hadoop(default))
+            else:
+                with pytest.raises(RuntimeError):
+                    session.check_folder(folder, master, Hadoop(default))
+
+
+def test_released_tables_are_gone(spark):
+    from rivulet.session import materialize, release
+
+    d = materialize(spark.range(5))
+    assert d.count() == 5
+    release(d)
+    with pytest.raises(Exception):
+        spark.read.parquet(d.inputFiles()[0]).count()
+
+
 def test_the_shared_folder_is_kept(spark):
     assert shared_folder(spark) == shared_folder(spark)
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
@@ -62,7 +88,7 @@ def test_matrix_and_sweep_csv(spark, tmp_path):
 
 
 def test_round_trips_with_awkward_text(spark):
-    rows = [(1, 'say "hi", you', 1.5), (2, "tab\there", None), (3, None, -0.25)]
+    rows = [(1, 'say "hi", you', 1.5), (2, "tab\there", None), (3, None, -0.25), (4, "two\nlines, \"quoted\"\n", 2.0)]
     d = spark.createDataFrame(rows, "id long, t string, v double")
     schema = "id long, t string, v double"
     backs = [

@@ -63,7 +63,12 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    return table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("average_stars"),
+        F.col("c_nationkey").cast("long").alias("review_count"),
+    )
 
 
 def business(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,6 +81,8 @@ def business(spark: SparkSession, sf: str) -> DataFrame:
         F.col("s_name").alias("name"),
         F.col("n_name").alias("state"),
         F.col("r_name").alias("city"),
+        F.col("s_acctbal").alias("stars"),
+        F.col("s_nationkey").cast("long").alias("review_count"),
     )
 
 
@@ -241,6 +248,9 @@ def hourly_series(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- the same shapes in SQL -------------------------------------------------------------------
 
+USER_SQL = "c_name AS name, c_acctbal AS average_stars, CAST(c_nationkey AS BIGINT) AS review_count"
+BUSINESS_SQL = """s_suppkey AS business_id, s_name AS name, n_name AS state, r_name AS city, s_acctbal AS stars,
+  CAST(s_nationkey AS BIGINT) AS review_count"""
 STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOPWORDS) + ")"
 
 

@@ -314,9 +314,7 @@ EFF = f"""{a.BOX}, e AS (SELECT player_id, round(pts + reb + ast + stl + blk + p
 
 @query("efficiency_leaderboard", f"WITH {EFF} SELECT * FROM e ORDER BY eff DESC, player_id LIMIT 10")
 def efficiency_leaderboard(spark, sf):
-    box = agg_first_per_group(spark, sf)
-    scored = rounded(boxscore.efficiency(box), "eff")
-    return scored.orderBy(F.col("eff").desc_nulls_last(), "player_id").limit(10)
+    return boxscore.efficiency_leaderboard(agg_first_per_group(spark, sf))
 
 
 @query(
@@ -331,9 +329,8 @@ def topk_score(spark, sf):
 @query("computed_columns", f"WITH {EFF} SELECT e.player_id, eff, -pts AS mirrored FROM e JOIN box USING (player_id)")
 def computed_columns(spark, sf):
     box = agg_first_per_group(spark, sf)
-    gains = sum((F.col(s) for s in ["reb", "ast", "stl", "blk", "pfd"]), F.col("pts"))
-    losses = F.col("fga") - F.col("fgm") + F.col("fta") - F.col("ftm") + F.col("tov")
-    return box.select("player_id", F.round(gains - losses, 6).alias("eff"), (-F.col("pts")).alias("mirrored"))
+    mirrored = box.select("player_id", (-F.col("pts")).alias("mirrored"))
+    return boxscore.efficiency(box).join(mirrored, "player_id")
 
 
 @query(

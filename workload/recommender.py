@@ -47,8 +47,8 @@ def agg_count_ordered(spark, sf):
 
 @query(
     "active_users",
-    f"""WITH {a.REVIEWS} SELECT user_id, count(*) AS reviews, any_value(c_name) AS name FROM reviews
-    JOIN customer ON c_custkey = user_id GROUP BY user_id HAVING count(*) > 80""",
+    f"""WITH {a.REVIEWS} SELECT user_id, reviews, {a.USER_SQL} FROM (SELECT user_id, count(*) AS reviews FROM reviews
+    GROUP BY user_id HAVING count(*) > 80) JOIN customer ON c_custkey = user_id""",
 )
 def active_users(spark, sf):
     return rec.active_users(a.reviews(spark, sf), a.users(spark, sf), 80)
@@ -133,7 +133,7 @@ def point_lookup_default(spark, sf):
 
 @query(
     "record_lookup",
-    f"""WITH {a.RATINGS}, {a.TARGET} SELECT s_suppkey AS business_id, s_name AS name, n_name AS state, r_name AS city
+    f"""WITH {a.RATINGS}, {a.TARGET} SELECT {a.BUSINESS_SQL}
     FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     WHERE s_suppkey IN (SELECT business_id FROM ratings WHERE user_id = {ONE})""",
 )
@@ -143,7 +143,7 @@ def record_lookup(spark, sf):
     return rel.semi_by_key(a.business(spark, sf), own, "business_id")
 
 
-@query("head_n", "SELECT c_custkey AS user_id, c_name AS name FROM customer ORDER BY c_custkey LIMIT 5")
+@query("head_n", f"SELECT c_custkey AS user_id, {a.USER_SQL} FROM customer ORDER BY c_custkey LIMIT 5")
 def head_n(spark, sf):
     return a.users(spark, sf).orderBy("user_id").limit(5)
 
@@ -370,7 +370,7 @@ def agg_error_metrics(spark, sf):
     return rounded(rel.error_metrics(guessed, ["business_id"], "mean", "stars"), "rmse", "accuracy", "mae")
 
 
-RECOMMENDED = f"""{predicted_sql(45)}, done AS (SELECT s_suppkey AS business_id, s_name AS name, n_name AS state, r_name AS city,
+RECOMMENDED = f"""{predicted_sql(45)}, done AS (SELECT {a.BUSINESS_SQL},
   round({PRED}, 6) AS predicted FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   CROSS JOIN me LEFT JOIN sums ON business_id = s_suppkey)"""
 
@@ -379,7 +379,7 @@ RECOMMENDED = f"""{predicted_sql(45)}, done AS (SELECT s_suppkey AS business_id,
 def recommend_businesses(spark, sf):
     user, stats, ratings, sim = similar(spark, sf)
     done = rec.recommend_businesses(ratings, stats, sim, a.business(spark, sf), user, 45)
-    return rounded(done, "predicted").select("business_id", "name", "state", "city", "predicted")
+    return rounded(done, "predicted").drop("user_id")
 
 
 @query("sort_predictions", f"WITH {RECOMMENDED} SELECT business_id, predicted FROM done ORDER BY predicted, business_id")
