@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.session import materialize
+from rivulet.session import materialize, release
 
 
 def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -14,13 +14,15 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     A large-star step links every larger neighbour of a node to the smallest one around it, a small-star
     step does so for the smaller ones. Both only replace links, so the table never holds more rows than
     links and nodes together; rounds grow with the logarithm of the longest chain. Each round is written
-    to the shared folder, which ends its lineage. Links from a node to itself and repeated ones are harmless.
+    to the shared folder, which ends its lineage, and the round before is removed. Links from a node to itself and repeated ones are harmless.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).filter("high <> low").distinct(), "links")
     nodes = edges
     state = None
     for _ in range(most_rounds):
-        edges = materialize(_small_star(_large_star(edges)), "links")
+        before, edges = edges, materialize(_small_star(_large_star(edges)), "links")
+        if before is not nodes:
+            release(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if now == state:
             break
