@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
 
-from rivulet.operators.relational import mutual, top_counts
+from pyspark.sql import DataFrame, Window, functions as F
+
+from rivulet.operators.relational import count_per_key, mutual, top_counts
 
 
 def reposts(posts: DataFrame) -> DataFrame:
@@ -28,6 +30,17 @@ def popular_entities(posts: DataFrame, array_col: str, field: str, k: int = 10)
     return top_counts(named, "entity", k)
 
 
+def popular_by_kind(posts: DataFrame, array_col: str, fields: Sequence[str], k: int = 10) -> DataFrame:
+    """``popular_entities`` of several fields in one pass: (kind, entity, n), kind being the field's name.
+
+    The lists are opened once and counted once; the best of a kind are cut in each task before they meet.
+    """
+    named = F.array(*[F.struct(F.lit(f).alias("kind"), F.col(f"e.{f}").alias("entity")) for f in fields])
+    counted = count_per_key(posts.select(F.explode(array_col).alias("e")).select(F.explode(named).alias("v")).select("v.*"), "kind", "entity")
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "entity"))
+    return counted.withColumn("place", place).where(F.col("place") <= k).drop("place")
+
+
 def mutual_connections(friends: DataFrame, followers: DataFrame, k: int = 10, multiset: bool = True) -> DataFrame:
     """Friends that also follow: (id, screen_name), the first ``k`` in descending order."""
     both = mutual(friends.select("id", "screen_name"), followers, "id", multiset)

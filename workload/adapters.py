@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet.plans.movement import event_moments, flatten_movement, moment_positions, players_with_ball
-from rivulet.operators.ordered import collect_lists
 from rivulet.plans.recommend import one_rating_each, reviews_of_active
 from rivulet.sources.readers import spread
 
@@ -115,15 +114,22 @@ def retweets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def entity_posts(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as posts, their line items as entities."""
-    lines = table(spark, sf, "lineitem").select(
+ENTITY = ["screen_name", "text", "l_linenumber"]
+
+
+def entity_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as entities of orders, one row each."""
+    return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         F.col("l_suppkey").cast("string").alias("screen_name"),
         F.col("l_returnflag").alias("text"),
         "l_linenumber",
     )
-    return collect_lists(lines, "id", ["screen_name", "text", "l_linenumber"]).withColumnRenamed("items", "entities")
+
+
+def entity_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as posts, each with the list of its few line items."""
+    return entity_lines(spark, sf).groupBy("id").agg(F.sort_array(F.collect_list(F.struct(*ENTITY))).alias("entities"))
 
 
 def contacts(spark: SparkSession, sf: str, priority: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet.functions import text as ft
-from rivulet.operators import relational as rel
+from rivulet.operators import ordered, relational as rel
 from rivulet.plans import social, text
 from workload import adapters as a
 from workload.registry import query
@@ -199,11 +199,7 @@ def filter_exists(spark, sf):
     (SELECT 'text', l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2 ORDER BY n DESC, 2 LIMIT 10)""",
 )
 def popular_entities(spark, sf):
-    posts = a.entity_posts(spark, sf)
-    names, tags = (
-        social.popular_entities(posts, "entities", f).withColumn("kind", F.lit(f)) for f in ("screen_name", "text")
-    )
-    return names.unionByName(tags).select("kind", "entity", "n")
+    return social.popular_by_kind(a.entity_posts(spark, sf), "entities", ["screen_name", "text"])
 
 
 @query(
@@ -216,14 +212,15 @@ def topk_entities(spark, sf):
 
 @query(
     "agg_collect_by_key",
-    """SELECT l_orderkey AS id, 0 AS part, count(*) AS n, string_agg(CAST(l_suppkey AS VARCHAR), ','
-    ORDER BY CAST(l_suppkey AS VARCHAR)) AS items FROM lineitem GROUP BY 1""",
+    """SELECT id, CAST((rn - 1) // 3 AS INTEGER) AS part, count(*) AS n, string_agg(name, ',' ORDER BY rn) AS items FROM (
+      SELECT l_orderkey AS id, CAST(l_suppkey AS VARCHAR) AS name, row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY CAST(l_suppkey AS VARCHAR), l_returnflag, l_linenumber) AS rn FROM lineitem) GROUP BY 1, 2""",
 )
 def agg_collect_by_key(spark, sf):
-    names = F.transform("entities", lambda e: e["screen_name"])
-    return a.entity_posts(spark, sf).select(
-        "id", "part", F.size("entities").cast("long").alias("n"), F.concat_ws(",", names).alias("items")
-    )
+    """Lists of at most three items, numbered by place."""
+    lists = ordered.collect_lists(a.entity_lines(spark, sf), "id", a.ENTITY, most=3)
+    names = F.transform("items", lambda e: e["screen_name"])
+    return lists.select("id", "part", F.size("items").cast("long").alias("n"), F.concat_ws(",", names).alias("items"))
 
 
 @query(
