@@ -11,7 +11,7 @@ Parquet holds the bytes, so any store that Spark writes to will do and a lost ta
 
 The tokenizer sees each different word of a task once: the library drops white space and never
 joins pieces across it, so a text's ids are those of its words. ASCII letters are lower-cased before, as the
-library does, and full stops and commas at the end of a word are words of their own. Words of letters only are
+library does, and signs at the end of a word are words of their own. Words of letters only are
 encoded many at a time and cut after each end-of-word token. Texts for which this might not hold go to the library whole.
 
 Null texts count as empty: they have the end id only. Null ids come first. Repeated rows keep a place
@@ -46,16 +46,23 @@ LETTER_WORDS = 256
 #: Separators that only some libraries take for white space, combining marks, and the start of a special token:
 #: texts with one of these go to the tokenizer whole.
 _AS_A_WHOLE = r"[\x1c-\x1f\x{300}-\x{36f}]|<\|"
-_TAIL = r"([a-z])([.,]+)(\s|$)"
+#: Signs but the apostrophe, at the end of a word: to the tokenizer a piece of their own.
+_TAIL = r"(\pL)([!-&(-/:-@\[-`{-~]+)(\s|$)"
 
 
 class WordCodes:
     """The ids of words, each encoded once while it is remembered."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # lower-case ASCII letters need none of the tokenizer's normalising and one piece per word
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False, trim_offsets=False)]
+        )
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
@@ -66,9 +73,9 @@ class WordCodes:
         self.flat = np.empty(0, self.kind)
         self.ends_at = np.zeros(1, np.int32)
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, texts: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(itertools.chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -76,23 +83,28 @@ class WordCodes:
         self.ends_at = np.concatenate((self.ends_at, (self.ends_at[-1] + np.cumsum(lengths)).astype(np.int32)))
         self.flat = np.concatenate((self.flat, ids))
 
+    def _learn_letters(self, words: list[str], tokenizer) -> None:
+        """Words of letters only, many in one text, cut after each end-of-word token; one by one if that does not add up."""
+        groups = [words[i : i + LETTER_WORDS] for i in range(0, len(words), LETTER_WORDS)]
+        ids, lengths = self._encode([" ".join(g) for g in groups], tokenizer)
+        word_ends = np.flatnonzero(self.ends[ids]) + 1
+        found = np.diff(np.searchsorted(word_ends, np.concatenate(([0], np.cumsum(lengths))), side="right"))
+        if len(word_ends) == len(words) and (found == [len(g) for g in groups]).all():
+            self._remember(words, ids, np.diff(np.concatenate(([0], word_ends))))
+        else:
+            self._remember(words, *self._encode(words))
+
     def codes(self, words: list[str]) -> np.ndarray:
         """The numbers of these different words."""
         new = [w for w in words if w not in self.number]
         if len(self.number) + len(new) > REMEMBERED:
             self.forget()
             new = words
-        letters, others = [], []
+        ascii_letters, letters, others = [], [], []
         for word in new:
-            (letters if word.isalpha() else others).append(word)
-        groups = [letters[i : i + LETTER_WORDS] for i in range(0, len(letters), LETTER_WORDS)]
-        ids, lengths = self._encode([" ".join(g) for g in groups])
-        word_ends = np.flatnonzero(self.ends[ids]) + 1
-        found = np.diff(np.searchsorted(word_ends, np.concatenate(([0], np.cumsum(lengths))), side="right"))
-        if len(word_ends) == len(letters) and (found == [len(g) for g in groups]).all():
-            self._remember(letters, ids, np.diff(np.concatenate(([0], word_ends))))
-        else:
-            self._remember(letters, *self._encode(letters))
+            (others if not word.isalpha() else ascii_letters if word.isascii() and word.islower() else letters).append(word)
+        self._learn_letters(ascii_letters, self.plain)
+        self._learn_letters(letters, self.tokenizer)
         self._remember(others, *self._encode(others))
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
@@ -136,7 +148,7 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[pa.Array,
 
 def pieces(text: str, size: int) -> Iterator[str]:
     """``text`` cut at white space into pieces of about ``size`` characters; a longer word stays whole."""
-    at, space = 0, re.compile(r"\s")
+    at, space = 0, re.compile("[ \t\n\r\x0b\x0c]")
     while at < len(text):
         cut = space.search(text, at + size)
         end = cut.end() if cut else len(text)
