@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from rivulet.functions import text as ft
@@ -144,8 +145,15 @@ def fn_polarity_case(spark, sf):
     FROM clean LEFT JOIN lex USING (word) GROUP BY doc_id""",
 )
 def udf_row_value(spark, sf):
-    labelled = rel.label_words(text.clean_words(a.posts(spark, sf), a.STOPWORDS, keep=["id"]), lexicon(spark))
-    return labelled.groupBy("id").agg(F.sum(ft.polarity_value(F.col("polarity")).cast("long")).alias("sum_value"))
+    """A Python function of the caller's on each distinct word's polarity, over whole Arrow batches."""
+
+    @F.pandas_udf("long")
+    def value(polarity: pd.Series) -> pd.Series:
+        return polarity.map({"positive": 1, "negative": -1}).fillna(0).astype("int64")
+
+    words = rel.count_per_key(text.clean_words(a.posts(spark, sf), a.STOPWORDS, keep=["id"]), "id", "word")
+    labelled = rel.label_words(words, lexicon(spark)).withColumn("value", value("polarity"))
+    return labelled.groupBy("id").agg(F.sum(F.col("value") * F.col("n")).alias("sum_value"))
 
 
 @query(
@@ -186,10 +194,9 @@ def project_nested(spark, sf):
     return social.reposts(a.retweets(spark, sf))
 
 
-@query("filter_exists", f"WITH {a.RETWEETS} SELECT count(*) AS n FROM rt")
+@query("filter_exists", f"WITH {a.RETWEETS} SELECT id, retweet_count FROM rt")
 def filter_exists(spark, sf):
-    found = a.retweets(spark, sf).where(F.col("retweeted_status").isNotNull())
-    return found.agg(F.count(F.lit(1)).alias("n"))
+    return a.retweets(spark, sf).where(F.col("retweeted_status").isNotNull()).select("id", "retweet_count")
 
 
 @query(
