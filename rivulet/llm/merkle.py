@@ -38,8 +38,10 @@ FIRST_PIECE = 12
 #: One paragraph in so many ends a section by its hash.
 SECTION = 8
 #: Rows of a range of ids, and ranges at most: a list of so many ids is what the driver sees.
-RANGE_ROWS = 1024
-RANGES = 20_000
+RANGE_ROWS = 512
+RANGES = 200_000
+#: Ranges of a task, on average: tasks are bounded by rows, whatever the number of shuffle partitions.
+TASK_RANGES = 4
 
 _SENTENCE = re.compile(r"[^.!?]*(?:[.!?]+\s*|$)")
 _FIRST = -(1 << 63)
@@ -222,7 +224,8 @@ def with_next_document(docs: DataFrame, of_pair, schema: str) -> DataFrame:
                 latest = text
             yield pd.DataFrame(out, columns=["key", "no_id", *names])
 
-    falling = spread.repartition("range").sortWithinPartitions("range", F.col("copy").desc(), F.col("key").desc(), F.col("tie").desc())
+    tasks = max(1, len(firsts) // TASK_RANGES)
+    falling = spread.repartition(tasks, "range").sortWithinPartitions("range", F.col("copy").desc(), F.col("key").desc(), F.col("tie").desc())
     found = falling.select("range", "copy", "key", "no_id", "text").mapInPandas(stream, f"key long, no_id boolean, {schema}")
     return found.select(F.when(~F.col("no_id"), F.col("key")).alias("doc_id"), *names)
 
