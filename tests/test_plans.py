@@ -36,7 +36,7 @@ def test_small_sides_are_broadcast_by_their_size(spark, name):
 def test_scans_read_only_what_is_used(spark):
     text = plan(spark, "agg_multi_mean")
     assert "l_shipdate" not in text and "l_orderkey" not in text
-    assert "c_acctbal" not in plan(spark, "active_users")
+    assert "c_mktsegment" not in plan(spark, "active_users")
     assert "PushedFilters: [IsNotNull(o_orderpriority)" in plan(spark, "join_mutual")
 
 

@@ -82,10 +82,12 @@ def lexicons(spark):
 def test_batch_sentiment(spark):
     texts = ["good bad", "Bad the", "fine good", "x", "good bad bad", "nothing", "late"]
     posts = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    got = ts.batch_sentiment(posts, *lexicons(spark), 2, ["the"], slots=3)
+    got = ts.batch_sentiment(posts, *lexicons(spark), 2, ["the"])
     assert as_set(got, "slot", "positive", "negative", "ratio", "diff") == {
-        (0, 2.0, -2.0, 1.0, 0.0), (1, 3.5, 0.0, None, 3.5), (2, 2.0, -2.0, 1.0, 0.0)
+        (0, 2.0, -2.0, 1.0, 0.0), (1, 3.5, 0.0, None, 3.5), (2, 2.0, -2.0, 1.0, 0.0), (3, 0.0, 0.0, None, 0.0)
     }
+    with pytest.raises(ValueError):
+        ts.batch_sentiment(posts, *lexicons(spark), 2, ["the"], slots=3)
 
 
 def test_aligned_series(spark):
