@@ -62,11 +62,12 @@ def default_chunk(df: DataFrame, order: str, rows: int = 65_536, most: int = 256
         at = F.col(order).cast("double")
     else:
         raise ValueError(f"no default chunk for an order of type {kind.simpleString()}: pass chunk")
-    chunks = min(most, -(-df.count() // rows))
-    if chunks <= 1:
+    shares = [i / most for i in range(1, most)]
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(at, shares, 20 * most).alias("borders")).first()
+    chunks = min(most, -(-found["n"] // rows))
+    if chunks <= 1 or not found["borders"]:
         return F.lit(0)
-    shares = [i / chunks for i in range(1, chunks)]
-    borders = df.agg(F.percentile_approx(at, shares, 20 * chunks)).first()[0] or []
+    borders = [found["borders"][i * most // chunks - 1] for i in range(1, chunks)]
     return F.size(F.filter(F.array(*map(F.lit, borders)), lambda border: border <= at))
 
 
