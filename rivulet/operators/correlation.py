@@ -224,6 +224,8 @@ def correlation_matrix(
     largest = stats.groupBy(home.alias("block")).agg(F.sum("cells").alias("cells")).agg(F.max("cells")).first()[0]
     heaviest = 2 * (largest or 0)
     slices = max(1, -(-heaviest // slice_cells))
+    if heaviest > max(100_000, (ids / blocks) ** 2):  # few profiles with many cells: sums are few, so more slices cost little
+        slices = max(slices, -(-heaviest // 250_000))
 
     scaled = profiles.join(stats.select("id", "scale"), "id").select(
         "id", "key", (F.col("value") * F.col("scale")).alias("z")

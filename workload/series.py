@@ -241,7 +241,8 @@ SHOWN = ["event_type", "lag", "observations", "f_stat", "f_df1", "f_df2", "chi2_
 
 
 def hourly_granger(spark, sf):
-    return ts.granger_causality(a.hourly_series(spark, sf), MAXLAG, ["event_type"], "time")
+    weeks = F.date_trunc("week", "time")
+    return ts.granger_causality(a.hourly_series(spark, sf), MAXLAG, ["event_type"], "time", weeks)
 
 
 @query("granger_causality", granger_sql(f"{a.HOURLY}, se AS (SELECT * FROM hourly)", "event_type", "time"))
