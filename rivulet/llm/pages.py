@@ -35,7 +35,7 @@ SAMPLE_PAGES = 1200
 MOST_DEEP = 200
 #: Cost, in log chance, of opening an element.
 OPENING = 0.5
-#: Highest chance of an element that says it is something else.
+#: Highest chance of an element that says it is something else and does not wrap the page.
 AGAINST = 0.05
 
 # Fixed word lists of HTML and of common attribute names.
@@ -176,6 +176,47 @@ def _until(stack: list[tuple[int, str]], stops: set[str]) -> Iterator[tuple[int,
         yield item
 
 
+@dataclass
+class Names:
+    """What the elements of a page say they are by tag and attributes, one entry per node."""
+
+    speaks_for: list[bool]
+    against: list[bool]
+    alone: list[bool]
+
+
+def names_of(page: Page) -> Names:
+    """``speaks_for``: is the article; ``against``: is something else; ``alone``: what stands above does not count.
+
+    A listed word on an element that wraps the page says nothing about its text: that of ``html`` and ``body``, and of an element
+    with most of the page's text, unless an article stands free elsewhere. An article below a named element is taken at its own word
+    if no free one has more text, and ``main`` always.
+    """
+    nodes, count = page.nodes, range(len(page.nodes))
+    chars = [n.chars for n in nodes]
+    for k in reversed(count[1:]):
+        chars[nodes[k].parent] += chars[k]
+    strong = [n.tag in KEEP_TAGS or "articlebody" in n.words for n in nodes]
+    listed = [bool(n.tag in DROP_TAGS or n.words & DROP_WORDS) and n.tag not in ("html", "body") for n in nodes]
+    # articles with no named element above, and how many of them stand above or inside each element
+    below, above, inside = [False] * len(nodes), [0] * len(nodes), [0] * len(nodes)
+    free = [False] * len(nodes)
+    for k in count[1:]:
+        up = nodes[k].parent
+        below[k] = below[up] or listed[up]
+        free[k] = strong[k] and not below[k] and not (listed[k] and nodes[k].tag != "main") and chars[k] > 0
+        above[k] = above[up] + free[k]
+    for k in reversed(count):
+        inside[k] += free[k]
+        if k:
+            inside[nodes[k].parent] += inside[k]
+    longest = max((chars[k] for k in count if free[k]), default=0)
+    wraps = [2 * chars[k] > chars[0] and inside[0] == inside[k] + above[k] - free[k] for k in count]
+    against = [listed[k] and not wraps[k] and nodes[k].tag != "main" for k in count]
+    alone = [strong[k] and not against[k] and (nodes[k].tag == "main" or chars[k] >= longest) for k in count]
+    return Names(strong, against, alone)
+
+
 #: The last features tell of tags and attributes; these columns among them speak for the article.
 NAMED, GOOD_NAMES = 9, (-5, -3, -1)
 
@@ -198,6 +239,7 @@ def features(page: Page) -> np.ndarray:
         for sums in (chars, linked, tags, links, inputs, blocks, marks, words):
             sums[up] += sums[k]
     rows = []
+    names = names_of(page)
     state: list[tuple[int, int]] = []
     for k, n in enumerate(nodes):
         siblings = nodes[n.parent].children if n.parent >= 0 else [0]
@@ -205,7 +247,9 @@ def features(page: Page) -> np.ndarray:
         same = sum(nodes[s].tag == n.tag for s in siblings) if len(siblings) < 64 else len(siblings)
         above = state[n.parent] if n.parent >= 0 else (0, 0)
         good = int(n.tag in KEEP_TAGS or bool(n.words & KEEP_WORDS))
-        bad = int(n.tag in DROP_TAGS or bool(n.words & DROP_WORDS))
+        bad = int(names.against[k])
+        if names.alone[k]:
+            above = (above[0], 0)
         state.append((max(above[0], good), max(above[1], bad)))
         size = max(chars[k], 1.0)
         rows.append(
@@ -243,17 +287,19 @@ def features(page: Page) -> np.ndarray:
 def weak_labels(page: Page, mixed: bool = False) -> np.ndarray:
     """1 for nodes that say they are the article or stand in one, 0 for the opposite, -1 unknown; without ``mixed`` also -1 if both are inside.
 
-    The nearest element that says something decides; a header inside an article does not speak.
+    The nearest element that says something decides; a header inside an article does not speak, nor does a form for what it holds.
     """
+    names = names_of(page)
     said = np.full(len(page.nodes), -1)
     for k, n in enumerate(page.nodes[1:], 1):
         above = said[n.parent]
-        if n.tag in DROP_TAGS and not (n.tag == "header" and above == 1) or n.words & DROP_WORDS:
+        if names.against[k] and not (n.tag == "header" and above == 1):
             said[k] = 0
-        elif above != 0 and (n.tag in KEEP_TAGS or n.words & {"articlebody"}):
+        elif names.speaks_for[k] and (above != 0 or names.alone[k]):
             said[k] = 1
         else:
-            said[k] = above
+            # a form may hold anything
+            said[k] = -1 if above == 0 and page.nodes[n.parent].tag == "form" else above
     if mixed:
         return said
     out, text = said.copy(), [bool(n.blocks) for n in page.nodes]
@@ -331,7 +377,7 @@ def main_texts(model: BoostedTrees | None, sources: list[str | None]) -> list[st
         return [""] * len(pages)
     described = [features(p) for p in full]
     chances = np.split(model.probability(np.concatenate(described)), np.cumsum([len(d) for d in described])[:-1])
-    # an element that says it is no part of the article is taken at its word
+    # an element that says it is no part of the article is taken at its word, unless it wraps the page
     told = [np.where(weak_labels(p, mixed=True) == 0, np.minimum(c, AGAINST), c) for p, c in zip(full, chances)]
     texts = iter(["\n".join(p.blocks[b] for b in decode(p, c)) for p, c in zip(full, told)])
     return [next(texts) if p and p.blocks else "" for p in pages]

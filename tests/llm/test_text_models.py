@@ -153,6 +153,37 @@ def test_pages_of_other_templates(spark):
     assert not any(w in joined for w in ("Home", "See also", "Search", "Great post", "cookies", "no</p>", "color", "©", "Go"))
 
 
+WRAPPED = [
+    "<body class='no-sidebar'>{nav}<article>{a}</article>{end}</body>",
+    "<body>{nav}<div class='has-sidebar'><article>{a}</article>{aside}</div>{end}</body>",
+    "<body>{nav}<main class='content comments-open'>{a}</main>{end}</body>",
+    "<body>{nav}<div class='search results'><main>{a}</main></div>{end}</body>",
+    "<body><form id='aspnetForm'>{nav}<article>{a}</article>{end}</form></body>",
+    "<body><form>{nav}<div class='post'>{a}</div>{end}</form></body>",
+    "<body>{nav}<div class='has-sidebar'><div class='post'>{a}</div></div>{end}</body>",
+    "<body>{nav}{long}<div class='has-sidebar'><article>{a}</article></div>{end}</body>",
+    "<body>{nav}<article>{a}</article>{long}{end}</body>",
+]
+
+
+def test_named_wrappers_keep_the_article(spark):
+    sample = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").limit(400).collect()]
+    model = pages.fit_nodes(sample)
+    prose = " ".join(f"The article has a long sentence, number {k}, and says much about one thing." for k in range(8))
+    parts = {
+        "a": f"<h1>A title</h1><p>{prose}</p><p>More. {prose}</p>",
+        "nav": "<nav><a href=1>Home</a> <a href=2>About</a></nav>",
+        "aside": "<aside><a href=3>See also</a></aside>",
+        "end": "<footer>Copyright 2024</footer>",
+        "long": "<div id='comments'>" + "".join(f"<div class='comment'><p>Remark {k}. {prose}</p></div>" for k in range(4)) + "</div>",
+    }
+    for template in WRAPPED:
+        page = f"<html><head><title>T</title></head>{template.format(**parts)}</html>"
+        assert pages.main_text(model, page) == f"A title\n{prose}\nMore. {prose}", template
+        labels = pages.weak_labels(pages.parse(page))
+        assert (labels == 1).any() or "post" in template, template
+
+
 def test_decoding_is_consistent():
     rng = np.random.default_rng(4)
     page = pages.parse("<div>" + "".join(f"<section><p>a{k}</p><div><p>b{k}</p></div></section>" for k in range(20)) + "</div>")
