@@ -110,31 +110,35 @@ def linked_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (long), component_id (smallest doc_id reachable) per row of ``docs``."""
     marked = materialize(with_fingerprint(docs.select("doc_id", "text"), width).select("doc_id", "fingerprint"), "simhash")
-    classes = materialize(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")), "simhash-classes")
-    roots = connected_components(materialize(linked_fingerprints(classes.select("fingerprint"), radius), "simhash-links"))
-    rooted = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rooted = _rooted(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")), radius)
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     of_class = rooted.join(smallest, "root").select("fingerprint", "component_id")
     return marked.join(of_class, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def _rooted(classes: DataFrame, radius: int) -> DataFrame:
+    """``classes``, one row per fingerprint, with the root of its component."""
+    classes = materialize(classes, "simhash-classes")
+    roots = connected_components(materialize(linked_fingerprints(classes.select("fingerprint"), radius), "simhash-links"))
+    return classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+
+
 def without_near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each group left: that of its smallest id.
+    """``docs`` with one row of each group left: the first by id (null ids last), source, language and text hash.
 
-    Of rows that share that id one stays, the first by source, language and text hash. A group whose ids
-    are all null keeps one row. Texts move once: the join and the choice among equal ids share a partitioning.
+    The first row of each group is found on narrow rows. Rows equal to it in id, source, language and text hash are one
+    document; one of them stays. Texts move once, for the join; only rows that join are numbered.
     """
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    groups = near_duplicate_groups(docs, radius, width)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key("doc_id").alias("__kept")).distinct()
-    first = Window.partitionBy("__id").orderBy("source", "lang", F.xxhash64("text"))
-    keyed = docs.withColumn("__id", key("doc_id"))
-    return (
-        keyed.join(kept, F.col("__id") == F.col("__kept"))
-        .withColumn("__nth", F.row_number().over(first))
-        .filter("__nth = 1")
-        .select(*docs.columns)
-    )
+    names = ("doc_id", "source", "lang", "__hash")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), *names)
+    hashed = docs.select("doc_id", "source", "lang", "text", F.xxhash64("text").alias("__hash"))
+    firsts = with_fingerprint(hashed, width).groupBy("fingerprint").agg(F.min(order).alias("first"))
+    kept = _rooted(firsts, radius).groupBy("root").agg(F.min("first").alias("first"))
+    same = F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)
+    keys = kept.select(*[F.col(f"first.{n}").alias(n) for n in names]).select(same.alias("__kept"))
+    keyed = docs.withColumn("__hash", F.xxhash64("text")).withColumn("__same", same)
+    copies = Window.partitionBy("__same").orderBy("__same")
+    return keyed.join(keys, F.col("__same") == F.col("__kept")).withColumn("__nth", F.row_number().over(copies)).filter("__nth = 1").select(*docs.columns)
 
 
 @query("op4_simhash")

@@ -120,6 +120,23 @@ def test_stages_against_brute_force(spark):
         docs = out
 
 
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    texts = {k: " ".join(f"{k}word{j}" for j in range(30)) for k in "abcdefg"}
+    rows = [
+        (None, texts["a"], "en", "s"), (None, texts["a"], "en", "s"), (None, texts["a"], None, "t"), (None, texts["b"], "en", None), (None, texts["c"], "en", "s"),
+        (5, texts["d"], "en", "s"), (5, texts["e"], "en", "s"), (5, texts["d"], "en", "s"), (5, texts["d"], "fr", "a"),
+        (3, texts["f"], "en", "s"), (None, texts["f"], "en", "s"), (6, texts["g"], "en", "s"), (7, texts["g"], "en", "s"), (6, None, "en", "s"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    key = lambda r: tuple(str(x) for x in r)
+    want = [
+        (None, texts["a"], "en", "s"), (None, texts["b"], "en", None), (None, texts["c"], "en", "s"), (5, texts["d"], "fr", "a"), (5, texts["e"], "en", "s"),
+        (3, texts["f"], "en", "s"), (6, texts["g"], "en", "s"), (6, None, "en", "s"),
+    ]
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
 @pytest.mark.parametrize("name", ["awkward", "empty"])
 def test_stages_on_awkward_rows(spark, request, name):
     docs = request.getfixturevalue(name)
