@@ -1,16 +1,17 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A seed mask picks some of the words of a window and ignores the others, so a window still hashes alike
-when ignored words were replaced. The two masks together hit every 13-word stretch with at most two
-replaced words, wherever they are. The test items' hashes form a block of bounded size that every task
+when ignored words were replaced. The masks together hit every stretch that counts as a leak, wherever its words were
+replaced: LONG_MASKS for stretches of 13 words and more (one of 26 or more has a half that counts itself), SHORT_MASKS
+for items of 8 to 12 words, whole windows for items below that. The test items' hashes form a block of bounded size that every task
 holds; windows of the training texts are joined to it, and each hit is verified by comparing the item word by
 word along the hit's diagonal: a leak is a stretch of at least ``LEAST_WORDS`` words (a shorter item: all
 of it) of which at least ``ALIKE`` are the same. Texts are read once per block and never shuffled; a larger
 benchmark has more blocks, not larger ones.
 
 Words are runs of letters and digits of the lower-cased text, so case, punctuation and line breaks do not
-hide a copy. Null and empty texts have no leaks. Items of fewer than ``SHORTEST`` words (and null ones) are
-too short to tell from chance and never match. Repeated rows are judged alike, each on its own; null ids
+hide a copy. Null and empty texts have no leaks. Items of fewer than ``EXACT`` words match as a whole, word for word
+(so an item of one word matches wherever that word stands); null ones and those without a word never match. Repeated rows are judged alike, each on its own; null ids
 are kept. An empty table gives no rows, an empty benchmark no leaks. Long texts are hashed in one piece
 of flat arrays, about 60 bytes per byte of text at most for ``PIECE`` bytes at a time.
 """
@@ -28,11 +29,16 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.registry import query, table
 
-#: Offsets of the words that a mask looks at.
-MASKS = ((0, 1, 2, 4, 6, 7), (0, 2, 6, 7, 8, 9))
 LEAST_WORDS = 13
 ALIKE = 0.8
-SHORTEST = max(MASKS[0]) + 1
+#: Items of fewer words match only as they are.
+EXACT = 8
+#: Words of the shortest item that can match.
+SHORTEST = 1
+#: Offsets of the words that a mask looks at, for items of ``LEAST_WORDS`` and more and for shorter ones.
+LONG_MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 3, 7, 10, 11), (0, 1, 2, 6, 8, 9), (0, 1, 2, 3, 4, 5))
+SHORT_MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4))
+MASKS = tuple(dict.fromkeys((*LONG_MASKS, *SHORT_MASKS, *[tuple(range(n)) for n in range(1, EXACT)])))
 #: Words of test items that a task holds at a time.
 BLOCK_WORDS = 250_000
 #: Bytes of text that are hashed at a time; pieces overlap by the longest item of the block.
@@ -86,6 +92,11 @@ def masked_hashes(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     return total
 
 
+def masks_of(n: int) -> tuple[tuple[int, ...], ...]:
+    """The masks that serve items of ``n`` words."""
+    return LONG_MASKS if n >= LEAST_WORDS else SHORT_MASKS if n >= EXACT else (tuple(range(n)),) if n else ()
+
+
 def text_words(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word_hashes((text or "").lower().encode("utf-8", "surrogatepass"))
 
@@ -106,7 +117,7 @@ class SeedBlock:
         words = [text_words(t)[0] for t in texts]
         block = cls(ids, words, [], [], [], [])
         for mask in MASKS:
-            parts = [masked_hashes(w, mask) for w in words]
+            parts = [masked_hashes(w, mask) if mask in masks_of(len(w)) else np.empty(0, np.uint64) for w in words]
             hashes = np.concatenate([*parts, np.empty(0, np.uint64)])
             order = np.argsort(hashes, kind="stable")
             block.hashes.append(hashes[order])
@@ -125,18 +136,25 @@ class SeedBlock:
         at = 0
         while at < len(data):
             end = min(len(data), at + PIECE + overlap)
-            for found in self._leaks_of_piece(data[at:end]):
+            cut = [bool(0 < k < len(data) and _WORD_BYTE[data[k - 1]] and _WORD_BYTE[data[k]]) for k in (at, end)]
+            for found in self._leaks_of_piece(data[at:end], *cut):
                 if found[0] not in best or found[4] > best[found[0]][4]:
                     best[found[0]] = (found[0], found[1] + at, found[2] + at, *found[3:])
             at = len(data) if end == len(data) else at + PIECE
         return [(self.ids[k], *rest) for k, *rest in sorted(best.values())]
 
-    def _leaks_of_piece(self, data: bytes) -> Iterator[tuple]:
-        words, starts, ends = word_hashes(data)
+    def _leaks_of_piece(self, data: bytes, first_cut: bool = False, last_cut: bool = False) -> Iterator[tuple]:
+        """The leaks among whole words: a cut one stands whole in a neighbouring piece."""
+        words, starts, ends = (x[first_cut : len(x) - last_cut] for x in word_hashes(data))
         seen: set[tuple[int, int]] = set()
         for mask, hashes, items, positions, bits in zip(MASKS, self.hashes, self.item, self.position, self.filters):
+            if not len(hashes):
+                continue
             here = masked_hashes(words, mask)
             near = np.flatnonzero(bits[here >> np.uint64(64 - FILTER_BITS)])
+            if mask not in LONG_MASKS + SHORT_MASKS:
+                # a whole item: its first place is as good as any
+                near = near[np.sort(np.unique(here[near], return_index=True)[1])]
             low, high = (np.searchsorted(hashes, here[near], side) for side in ("left", "right"))
             for k in np.flatnonzero(high > low):
                 for hit in range(low[k], high[k]):
@@ -155,6 +173,8 @@ def aligned(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int,
     if high - low < least:
         return None
     same = words[low + shift : high + shift] == item[low:high]
+    if len(item) < EXACT and not same.all():
+        return None
     # a stretch has the asked share exactly if its sum of these steps is not negative
     sums = np.concatenate(([0.0], np.cumsum(np.where(same, 1 - ALIKE, -ALIKE))))
     lowest = np.minimum.accumulate(sums[: len(sums) - least])

@@ -1,5 +1,6 @@
 """The pipeline against a brute-force version of its stages, and decontamination."""
 
+import itertools
 import random
 import re
 
@@ -71,6 +72,50 @@ def test_any_two_replaced_words_of_thirteen_are_found():
     assert not block.leaks(" ".join(item[:6]) + " gap " * 9 + " ".join(item[6:]))
 
 
+def test_masks_hit_every_stretch_that_counts():
+    # of 26 words or more one half counts itself; an item of 8 to 12 words counts whole
+    for n in range(8, 26):
+        masks = decontaminate.masks_of(n)
+        windows = [sum(1 << (at + o) for o in mask) for mask in masks for at in range(n - max(mask))]
+        for replaced in itertools.combinations(range(n), n // 5):
+            holes = sum(1 << k for k in replaced)
+            assert any(not w & holes for w in windows), (n, replaced)
+
+
+def leak_without_masks(text, item):
+    a, b = words(text or ""), words(item or "")
+    least = min(decontaminate.LEAST_WORDS, len(b))
+    share = 1 if len(b) < 8 else decontaminate.ALIKE
+    for shift in range(-len(b), len(a)):
+        same = [a[j + shift] == b[j] for j in range(len(b)) if 0 <= j + shift < len(a)]
+        if any(sum(same[i:k]) >= share * (k - i) - 1e-9 for i in range(len(same)) for k in range(i + least, len(same) + 1)):
+            return bool(b)
+    return False
+
+
+def test_leaks_equal_brute_force_without_masks(spark):
+    rng = random.Random(8)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate([*range(1, 17), 20, 25, 30])] + [(90, None), (91, " .")]
+    docs = []
+    for k in range(300):
+        item = words(items[k % 19][1])
+        for at in rng.sample(range(len(item)), min(len(item), len(item) // 5 + rng.choice([0, 0, 0, 1]))):
+            item[at] = "other"
+        docs.append((k, " ".join(["before"] * rng.randrange(4) + item + ["behind"] * rng.randrange(4))))
+    docs.append((300, "i0w0x xi0w0 i1w0 i1w1x"))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, benchmark).collect()}
+    assert got == {(i, j) for i, t in docs for j, b in items if leak_without_masks(t, b)} and len(got) > 150
+
+
+def test_words_cut_by_pieces_are_no_items(monkeypatch):
+    block = decontaminate.SeedBlock.of([1], ["cat"])
+    monkeypatch.setattr(decontaminate, "PIECE", 64)
+    assert not any(block.leaks("x" * n + "cat" + "y" * m + " end" * 40) for n in range(50, 70) for m in (0, 60, 64, 70))
+    assert all(block.leaks(" x" * n + " cat" + " end" * 40) for n in range(50))
+
+
 def test_blocks_and_pieces_change_nothing(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
