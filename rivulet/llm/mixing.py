@@ -169,17 +169,30 @@ def taken_words(docs: DataFrame, *carried: Column) -> DataFrame:
     return mix(sized).groupBy("sid", "cell", "nth", *sized.columns, "source_size", "target").agg(F.sum("words").alias("taken")).drop("sid", "cell", "nth")
 
 
+def quota_words(docs: DataFrame, *carried: Column) -> DataFrame:
+    """``taken_words`` with each source cut at its target to the nearest word, as slots of one word would, at any size of the input.
+
+    No slots are made: a place in the schedule is not asked for.
+    """
+    sized = materialize(sized_documents(docs, *carried), "sized")
+    targets = materialize(source_targets(sized), "targets")
+    placed = place_documents(sized, targets.select("sid", F.col("source").alias("its"), "source_size", "target"))
+    quota = F.floor(F.col("target") + 0.5)
+    taken = [F.greatest(F.least(quota - F.col("start") - F.col("source_size") * k, F.col("size")), F.lit(0)) for k in range(PASSES)]
+    return placed.withColumn("taken", sum(taken[1:], taken[0])).select(*sized.columns, "source_size", "target", "taken")
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents as the mix takes them: each as many times as its words are taken, to the nearest whole number.
 
-    Only a source's last document is cut by the end of the schedule, so only that one is rounded; documents without a word
+    Only a source's last document is cut by the end of its quota, so only that one is rounded; documents without a word
     are not taken. Rows that agree in id, source and text come out together, as often as all of them are taken. Texts move once.
     """
     same = F.concat_ws(
         ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), F.xxhash64("text")
     ).alias("__same")
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)
-    counts = taken_words(docs, same).groupBy("__same").agg(F.sum(copies).cast("int").alias("__copies")).filter("__copies > 0")
+    counts = quota_words(docs, same).groupBy("__same").agg(F.sum(copies).cast("int").alias("__copies")).filter("__copies > 0")
     numbered = docs.withColumn("__same", same).withColumn("__nth", F.row_number().over(Window.partitionBy("__same").orderBy("lang"))).filter("__nth = 1")
     return numbered.join(counts, "__same").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
 

@@ -74,6 +74,19 @@ def test_mixed_documents_come_as_often_as_taken(awkward):
         assert abs(got.get(source, 0) - target) <= longest[source]
 
 
+@pytest.mark.parametrize("slots", [1 << 20, 64, 7])
+def test_small_source_in_a_large_total(spark, monkeypatch, slots):
+    # few slots stand for a total that is large against the small sources
+    monkeypatch.setattr(mixing, "SLOTS", slots)
+    rows = [(k, "w " * 2000, "a big") for k in range(50)] + [(100 + k, "w " * 5, "b small") for k in range(2000)] + [(9000 + k, "w " * 3, "c tiny") for k in range(9)]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+    words = mixing.mixed_documents(docs).groupBy("source").agg(F.sum(mixing.words_in(F.col("text"))).alias("n")).collect()
+    got = {r["source"]: r["n"] for r in words}
+    longest = {"a big": 2000, "b small": 5, "c tiny": 3}
+    targets = plain_targets({"a big": 100_000, "b small": 10_000, "c tiny": 27})
+    assert all(abs(got.get(s, 0) - target) <= longest[s] for s, target in targets.items())
+
+
 # ---- shards
 
 
