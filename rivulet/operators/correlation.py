@@ -8,7 +8,8 @@ of one profile's values and d = sqrt(n*q - s*s), the correlation of u and v is
 
 so only shared keys need to meet, and pairs without one still get their exact value.
 
-Both forms read the profiles several times: pass a table that is written, not a long lineage.
+All forms read the profiles several times: pass a table that is written, not a long lineage. A null id is
+a profile and a null key is a key like any other.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rivulet.operators.relational import join_on_same
 from rivulet.session import materialize
 
 
@@ -38,6 +40,11 @@ def _spread(sums: Column, size: Column) -> Column:
     return F.when(known, F.sqrt(square))
 
 
+def key_count(profiles: DataFrame) -> Column:
+    """The number of different keys, null being one, as a scalar."""
+    return profiles.agg(F.countDistinct(F.struct("key")).cast("double")).scalar()
+
+
 def profile_stats(profiles: DataFrame, size: Column, id_col: str = "id") -> DataFrame:
     """(id, cells, scale, offset) per profile: z = value * scale and a = offset in the formula above,
     both null for a constant profile."""
@@ -62,8 +69,8 @@ def correlation_with(profiles: DataFrame, target) -> DataFrame:
     Linear in the number of cells: the target's cells meet the others on the key, and one
     aggregation per profile collects the sums.
     """
-    size = profiles.agg(F.countDistinct("key").cast("double")).scalar()
-    own = profiles.where(F.col("id") == F.lit(target))
+    size = key_count(profiles)
+    own = profiles.where(F.col("id").eqNullSafe(F.lit(target)))
     facts = [
         F.sum("value").alias("s"),
         F.sum(F.col("value") * F.col("value")).alias("q"),
@@ -72,7 +79,7 @@ def correlation_with(profiles: DataFrame, target) -> DataFrame:
         F.max("value").alias("high"),
     ]
     shared = F.sum(F.coalesce(F.col("value") * F.col("own_value"), F.lit(0.0))).alias("p")
-    meeting = profiles.join(own.select("key", F.col("value").alias("own_value")), "key", "left")
+    meeting = join_on_same(profiles, own.select("key", F.col("value").alias("own_value")), ["key"], "left")
     sums = meeting.groupBy("id").agg(F.struct(*facts).alias("their"), shared)
     mine = own.agg(F.struct(*facts)).scalar()
     both = sums.select("id", "their", "p", mine.alias("mine"), size.alias("size"))
@@ -88,7 +95,7 @@ def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, start, np.diff(np.append(start, len(sorted_keys)))
 
 
-def _multiply(left, right, shape, chunk: int = 2_000_000) -> np.ndarray:
+def multiply_sparse(left, right, shape, chunk: int = 2_000_000) -> np.ndarray:
     """Dense product of two sparse blocks given as (row, key, value) arrays.
 
     Keys present in much of both blocks go through a matrix product, the others through
@@ -140,29 +147,13 @@ def _multiply(left, right, shape, chunk: int = 2_000_000) -> np.ndarray:
     return out
 
 
-def _within_best(product: np.ndarray, same: np.ndarray, best: int) -> np.ndarray:
-    """Cells that may be among the ``best`` of their row or of their column, ties included."""
-    ranked = np.where(same | np.isnan(product), -np.inf, product)
-    keep = np.zeros(product.shape, bool)
-    for view, out in ((ranked, keep), (ranked.T, keep.T)):
-        k = min(best, view.shape[1])
-        least = -np.partition(-view, k - 1, axis=1)[:, k - 1 : k]
-        out |= (view >= least) & (view > -np.inf)
-    return keep
-
-
-def _block_products(table: pa.Table, best: int | None = None) -> pa.Table:
-    """Partial correlations of the profiles on the two sides of one block pair and key slice.
-
-    With ``best``, the slice being the only one, only pairs that can be among the best of either.
-    """
+def _block_products(table: pa.Table) -> pa.Table:
+    """Partial correlations of the profiles on the two sides of one block pair and key slice."""
     side = table["side"].to_numpy()
-    ids = table["id"].combine_chunks().dictionary_encode()
-    keys = table["key"].combine_chunks().dictionary_encode()
-    id_code = ids.indices.to_numpy()
+    ids, keys = (table[c].combine_chunks().dictionary_encode(null_encoding="encode") for c in ("id", "key"))
+    id_code, key_code = ids.indices.to_numpy(), keys.indices.to_numpy()
     z = table["z"].to_numpy()
-    marker = np.asarray(keys.indices.is_null())
-    key_code = keys.indices.fill_null(0).to_numpy()
+    marker = table["marker"].to_numpy()
 
     views = []
     for other in (1, 0):  # rows of the left side are those not marked right, and the reverse
@@ -174,7 +165,7 @@ def _block_products(table: pa.Table, best: int | None = None) -> pa.Table:
         offset[row[flag]] = z[mine][flag]
         views.append((present, cells, offset))
     (lid, lcells, loff), (rid, rcells, roff) = views
-    product = _multiply(lcells, rcells, (len(lid), len(rid)))
+    product = multiply_sparse(lcells, rcells, (len(lid), len(rid)))
 
     first = bool(marker.any())
     keep = np.ones(product.shape, bool) if first else product != 0
@@ -186,9 +177,6 @@ def _block_products(table: pa.Table, best: int | None = None) -> pa.Table:
         keep &= rank[lid][:, None] <= rank[rid][None, :]
     if first:
         product = product - np.outer(loff, roff)
-    if best is not None:
-        # Rows and columns are cut to their best before the mirrored half of an own block goes.
-        keep &= _within_best(product, lid[:, None] == rid[None, :], best)
     i, j = np.nonzero(keep)
     part = product[i, j]
     return pa.table(
@@ -200,24 +188,17 @@ def _block_products(table: pa.Table, best: int | None = None) -> pa.Table:
     )
 
 
-def correlation_matrix(
-    profiles: DataFrame, block: int = 1024, slice_cells: int = 4_000_000, best: int | None = None
-) -> DataFrame:
+def correlation_matrix(profiles: DataFrame, block: int = 1024, slice_cells: int = 4_000_000) -> DataFrame:
     """Correlation of every profile with every profile, itself included: (id, neighbor_id, corr).
 
-    With ``best`` the result holds the ``best`` highest known pairs of each profile (``best_of_each``), without the pair with itself,
-    whatever the numbers of blocks and slices. Where one slice holds all keys, tasks cut their products to
-    candidates before anything is shuffled; otherwise the sums of the slices are, and are cut afterwards.
-
-    Profiles are cut into blocks of about ``block`` ids. A task holds two blocks and one slice of
-    the keys and returns summed products, never the pairs that meet under a key, so a key shared
-    by everybody costs a matrix product rather than a flood of rows. Slices bound what a task
+    The result has profiles squared rows; for the best of each profile take ``top_correlations``. Profiles are cut into
+    blocks of about ``block`` ids. A task holds two blocks and one slice of the keys and returns summed products, never the
+    pairs that meet under a key, so a key shared by everybody costs a matrix product rather than a flood of rows. Slices bound what a task
     reads when a profile or a block is large; they are added up at the end, and a single slice
     needs no addition. Block and slice numbers follow from the sizes of the profiles, whose statistics
     are written first (this runs jobs).
     """
-    size = profiles.agg(F.countDistinct("key").cast("double")).scalar()
-    stats = materialize(profile_stats(profiles, size), "profile-stats")
+    stats = materialize(profile_stats(profiles, key_count(profiles)), "profile-stats")
     ids = stats.count()
     blocks = max(1, -(-ids // block))
     home = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
@@ -227,17 +208,18 @@ def correlation_matrix(
     if heaviest > max(100_000, (ids / blocks) ** 2):  # few profiles with many cells: sums are few, so more slices cost little
         slices = max(slices, -(-heaviest // 250_000))
 
-    scaled = profiles.join(stats.select("id", "scale"), "id").select(
-        "id", "key", (F.col("value") * F.col("scale")).alias("z")
+    scaled = join_on_same(profiles, stats.select("id", "scale"), ["id"]).select(
+        "id", "key", (F.col("value") * F.col("scale")).alias("z"), F.lit(False).alias("marker")
     )
-    markers = stats.select("id", F.lit(None).cast(profiles.schema["key"].dataType).alias("key"), F.col("offset").alias("z"))
-    rows = scaled.where(F.col("z").isNotNull()).unionByName(markers)
+    offsets = stats.select("id", F.lit(None).cast(profiles.schema["key"].dataType).alias("key"), F.col("offset").alias("z"), F.lit(True).alias("marker"))
+    rows = scaled.where(F.col("z").isNotNull()).unionByName(offsets)
     rows = rows.select(
         "id",
         "key",
         "z",
+        "marker",
         home.alias("mine"),
-        F.when(F.col("key").isNull(), 0).otherwise(F.pmod(F.xxhash64("key"), F.lit(slices))).cast("int").alias("slice"),
+        F.when(F.col("marker"), 0).otherwise(F.pmod(F.xxhash64("key"), F.lit(slices))).cast("int").alias("slice"),
     )
     paired = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
         F.least("mine", "other").alias("low"),
@@ -247,37 +229,40 @@ def correlation_matrix(
         "id",
         "key",
         "z",
+        "marker",
     )
     kind = profiles.schema["id"].dataType.simpleString()
-    known = best if slices == 1 else None  # partial sums of several slices cannot be ranked yet
-
-    def multiply(table: pa.Table) -> pa.Table:
-        return _block_products(table, known)
-
     parts = paired.groupBy("low", "high", "slice").applyInArrow(
-        multiply, f"id {kind}, neighbor_id {kind}, part double"
+        _block_products, f"id {kind}, neighbor_id {kind}, part double"
     )
     if slices > 1:
         parts = parts.groupBy("id", "neighbor_id").agg(F.sum("part").alias("part"))
     both = F.when(
-        F.col("id") == F.col("neighbor_id"), F.array(F.struct("id", "neighbor_id"))
+        F.col("id").eqNullSafe(F.col("neighbor_id")), F.array(F.struct("id", "neighbor_id"))
     ).otherwise(
         F.array(
             F.struct("id", "neighbor_id"),
             F.struct(F.col("neighbor_id").alias("id"), F.col("id").alias("neighbor_id")),
         )
     )
-    pairs = parts.select(F.explode(both).alias("pair"), F.col("part").alias("corr")).select("pair.*", "corr")
-    return pairs if best is None else best_of_each(pairs, best)
+    return parts.select(F.explode(both).alias("pair"), F.col("part").alias("corr")).select("pair.*", "corr")
+
+
+#: Correlations that agree in so many digits rank as equal, so that rounding errors of sums do not decide between twins.
+RANK_DIGITS = 9
+
+
+def rank_order(corr: str = "corr", neighbor: str = "neighbor_id") -> list[Column]:
+    """Highest first, equal ones (in ``RANK_DIGITS`` digits) in order of the neighbour's id."""
+    return [F.round(corr, RANK_DIGITS).desc(), F.asc(neighbor)]
 
 
 def best_of_each(pairs: DataFrame, k: int, parts: int = 64) -> DataFrame:
-    """The ``k`` highest pairs of every id with others, equal ones in order of the neighbour's id, unknown ones left out.
+    """The ``k`` highest pairs of every id with others in ``rank_order``, unknown ones left out.
 
     Two rounds, the first over parts of an id's candidates, so that no task sorts all candidates of one id.
     """
-    known = pairs.where((F.col("neighbor_id") != F.col("id")) & F.col("corr").isNotNull())
-    order = [F.desc("corr"), F.asc("neighbor_id")]
-    local = Window.partitionBy("id", F.pmod(F.xxhash64("neighbor_id"), F.lit(parts))).orderBy(*order)
+    known = pairs.where(~F.col("neighbor_id").eqNullSafe(F.col("id")) & F.col("corr").isNotNull())
+    local = Window.partitionBy("id", F.pmod(F.xxhash64("neighbor_id"), F.lit(parts))).orderBy(*rank_order())
     few = known.withColumn("at_", F.row_number().over(local)).where(F.col("at_") <= k)
-    return few.withColumn("at_", F.row_number().over(Window.partitionBy("id").orderBy(*order))).where(F.col("at_") <= k).drop("at_")
+    return few.withColumn("at_", F.row_number().over(Window.partitionBy("id").orderBy(*rank_order()))).where(F.col("at_") <= k).drop("at_")

@@ -11,8 +11,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.operators.correlation import best_of_each, correlation_matrix, correlation_with
+from rivulet.operators.correlation import best_of_each, correlation_matrix, correlation_with, RANK_DIGITS, rank_order
 from rivulet.operators.relational import count_per_key, error_metrics, groups_above
+from rivulet.operators.similarity_join import top_correlations
 from rivulet.plans.text import words
 from rivulet.session import materialize
 
@@ -85,7 +86,12 @@ def user_similarity(ratings: DataFrame, fill: float = UNRATED, best: int | None
     With ``best`` each user's highest other users only. Without it the result has users squared rows, which
     only a small table should ask for; for one user take ``similarity_to_user``.
     """
-    return correlation_matrix(_profiles(ratings, fill), best=best).withColumnRenamed("id", "user_id")
+    return _correlations(_profiles(ratings, fill), best)
+
+
+def _correlations(profiles: DataFrame, best: int | None) -> DataFrame:
+    found = correlation_matrix(profiles) if best is None else top_correlations(profiles, best)
+    return found.withColumnRenamed("id", "user_id")
 
 
 def similarity_to_user(ratings: DataFrame, user, fill: float = UNRATED) -> DataFrame:
@@ -96,35 +102,32 @@ def similarity_to_user(ratings: DataFrame, user, fill: float = UNRATED) -> DataF
 def nearest_neighbors(sim: DataFrame, user=None, k: int = 30) -> DataFrame:
     """The ``k`` best correlated other users of one user or of every user, with their rank.
 
-    (user_id, neighbor_id, corr, rank); equal correlations are ordered by id, unknown ones
+    (user_id, neighbor_id, corr, rank); correlations that are equal in ``RANK_DIGITS`` digits are ordered by id, unknown ones
     left out.
     """
-    others = sim.where((F.col("neighbor_id") != F.col("user_id")) & F.col("corr").isNotNull())
+    others = sim.where(~F.col("neighbor_id").eqNullSafe(F.col("user_id")) & F.col("corr").isNotNull())
     if user is not None:
         # k rows are left when the rank is taken, so it needs no partitioning.
-        best = others.where(F.col("user_id") == F.lit(user)).orderBy(F.desc("corr"), F.asc("neighbor_id")).limit(k)
-        ranked = best.groupBy("user_id").agg(
-            F.sort_array(F.collect_list(F.struct((-F.col("corr")).alias("down"), "neighbor_id"))).alias("best")
-        )
-        return _unpack(ranked)
-    best = best_of_each(others.withColumnRenamed("user_id", "id"), k).withColumnRenamed("id", "user_id")
-    return _unpack(best.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("corr")).alias("down"), "neighbor_id"))).alias("best")))
+        return _ranked(others.where(F.col("user_id") == F.lit(user)).orderBy(*rank_order()).limit(k))
+    return _ranked(best_of_each(others.withColumnRenamed("user_id", "id"), k).withColumnRenamed("id", "user_id"))
 
 
 def neighbors_of_all(ratings: DataFrame, k: int = 30, fill: float = UNRATED) -> DataFrame:
     """``nearest_neighbors`` of every user."""
-    return nearest_neighbors(user_similarity(ratings, fill, best=k), None, k)
+    return _ranked(user_similarity(ratings, fill, best=k))
 
 
-def _unpack(ranked: DataFrame) -> DataFrame:
-    return ranked.select("user_id", F.posexplode("best").alias("at", "b")).select(
-        "user_id", "b.neighbor_id", (-F.col("b.down")).alias("corr"), (F.col("at") + 1).alias("rank")
+def _ranked(best: DataFrame) -> DataFrame:
+    """``best``, a few rows per user, with their rank."""
+    row = F.struct((-F.round("corr", RANK_DIGITS)).alias("down"), "neighbor_id", "corr")
+    return best.groupBy("user_id").agg(F.sort_array(F.collect_list(row)).alias("best")).select("user_id", F.posexplode("best").alias("at", "b")).select(
+        "user_id", "b.neighbor_id", "b.corr", (F.col("at") + 1).alias("rank")
     )
 
 
 def threshold_neighbors(sim: DataFrame, user=None, min_corr: float = 0.0) -> DataFrame:
     """All other users correlated above ``min_corr``."""
-    kept = sim.where((F.col("neighbor_id") != F.col("user_id")) & (F.col("corr") > min_corr))
+    kept = sim.where(~F.col("neighbor_id").eqNullSafe(F.col("user_id")) & (F.col("corr") > min_corr))
     return kept if user is None else kept.where(F.col("user_id") == F.lit(user))
 
 
@@ -242,7 +245,7 @@ def _word_profiles(texts: DataFrame) -> DataFrame:
 def lexical_user_similarity(texts: DataFrame, best: int | None = None) -> DataFrame:
     """Pearson correlation of users' word counts, over all words anyone used:
     (user_id, neighbor_id, corr). ``texts`` has (user_id, text); ``best`` as in ``user_similarity``."""
-    return correlation_matrix(_word_profiles(texts), best=best).withColumnRenamed("id", "user_id")
+    return _correlations(_word_profiles(texts), best)
 
 
 def lexical_similarity_to_user(texts: DataFrame, user) -> DataFrame:

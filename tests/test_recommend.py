@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators.correlation import correlation_matrix, correlation_with
+from rivulet.operators.similarity_join import top_correlations
 from rivulet.plans import recommend as rec
 from tests.conftest import as_set
 
@@ -98,17 +99,120 @@ def test_neighbours_break_ties_by_id_and_skip_self(spark):
     assert as_set(rec.threshold_neighbors(sim, 1, 0.4), "neighbor_id") == {(2,), (3,), (5,)}
 
 
-@pytest.mark.parametrize("block, cells", [(1024, 500_000), (6, 500_000), (6, 40)])
-def test_best_of_all_equal_the_best_of_the_matrix(spark, block, cells):
+def test_best_of_all_equal_the_best_of_the_matrix(spark):
     rows = random_ratings(seed=6)
     rows += [(u + 100, b, s) for u, b, s in rows if u in (2, 9)]  # twins, so that correlations tie
-    profiles = spark.createDataFrame(rows, RATING).selectExpr("user_id id", "business_id key", "stars - 0.1D value")
-    kept = correlation_matrix(profiles, block, cells, best=4).withColumnRenamed("id", "user_id")
-    whole = correlation_matrix(profiles, block, cells).withColumnRenamed("id", "user_id")
+    ratings = spark.createDataFrame(rows, RATING)
     columns = ("user_id", "neighbor_id", "rank")
-    assert as_set(rec.nearest_neighbors(kept, None, 4), *columns) == as_set(rec.nearest_neighbors(whole, None, 4), *columns)
-    assert kept.count() == 4 * kept.select("user_id").distinct().count()
-    assert rec.neighbors_of_all(spark.createDataFrame(rows, RATING), 3).count() == 3 * 25
+    for k in (3, 40):
+        got = rec.neighbors_of_all(ratings, k)
+        assert as_set(got, *columns) == as_set(rec.nearest_neighbors(rec.user_similarity(ratings), None, k), *columns)
+        assert got.count() == min(k, 24) * 25
+
+
+def best_by_numpy(rows, k):
+    """(id, neighbor_id, corr in 9 digits) of the k best others, ties by id; null ids first."""
+    ids, keys = ([*{r[i]: None for r in rows}] for i in (0, 1))
+    m = np.zeros((len(ids), len(keys)))
+    for i, key, v in rows:
+        m[ids.index(i), keys.index(key)] = v
+    constant = (m == m[:, :1]).all(axis=1)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        corr = np.round(np.corrcoef(m), 9) + 0.0
+    out = set()
+    for u, i in enumerate(ids):
+        others = [v for v in range(len(ids)) if v != u and not constant[v] and not constant[u]]
+        others.sort(key=lambda v: (-corr[u, v], ids[v] is not None, ids[v] if ids[v] is not None else 0))
+        out |= {(i, ids[v], corr[u, v]) for v in others[:k]}
+    return out
+
+
+def zipf_profiles(ids=90, seed=4):
+    """Words by rank: a few that nearly all use, many that few use; some profiles share nothing, some are equal, some have equal offsets."""
+    rng = np.random.default_rng(seed)
+    rows = {}
+    for i in range(ids):
+        for w in set(np.minimum(rng.zipf(1.4, 40), 400)):
+            rows[i, f"w{w}"] = float(rng.integers(1, 9))
+    rows |= {(i, f"own{i}"): 1.0 for i in range(ids, ids + 12)}
+    rows |= {(ids + 20, w): v for (i, w), v in rows.items() if i == 3} | {(ids + 21, w): v for (i, w), v in rows.items() if i == 3}
+    return [(i, w, v) for (i, w), v in rows.items()]
+
+
+@pytest.mark.parametrize(
+    "k, prune, cells", [(1, True, 300), (10, True, 300), (200, True, 300), (10, True, 10**6), (10, False, 300), (3, None, 60), (3, None, 5)]
+)
+def test_top_correlations_equal_numpy(spark, k, prune, cells):
+    rows = zipf_profiles()
+    got = top_correlations(spark.createDataFrame(rows, "id long, key string, value double"), k, cells, prune).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+    assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, k)
+
+
+def test_top_correlations_of_signed_values_and_of_nothing(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, int(b), float(rng.normal())) for i in range(40) for b in rng.choice(60, 8, replace=False)]
+    kind = "id long, key long, value double"
+    got = top_correlations(spark.createDataFrame(rows, kind), 4, 50, True).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+    assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, 4)
+    assert top_correlations(spark.createDataFrame([], kind), 4).count() == 0
+    assert top_correlations(spark.createDataFrame(rows[:8], kind), 4).count() == 0
+
+
+def test_search_keeps_profiles_apart(spark):
+    from rivulet.operators import similarity_join as sj
+
+    # many small groups with their own keys and two keys that everybody has
+    rng = np.random.default_rng(2)
+    rows = [(i, f"g{i // 6}-{k}", float(rng.integers(3, 9))) for i in range(240) for k in range(5)]
+    rows += [(i, f"all{k}", float(rng.integers(1, 3))) for i in range(240) for k in range(2)]
+    sent = []
+    plain = sj._candidates
+
+    def counted(whole, k, *rest):
+        found = plain(whole, k, *rest)
+        sent.append(found.count() / (whole.count() * found.select("block").distinct().count()))
+        return found
+
+    sj._candidates, profiles = counted, spark.createDataFrame(rows, "id long, key string, value double")
+    try:
+        got = top_correlations(profiles, 3, 60, True).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+        assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, 3)
+    finally:
+        sj._candidates = plain
+    assert sent[0] < 0.3
+
+
+def null_profiles():
+    rng = np.random.default_rng(9)
+    rows = [(u, b, float(rng.integers(1, 6)) - 0.1) for u in [None, *range(1, 9)] for b in [None, *range(1, 13)] if rng.random() < 0.5]
+    return rows + [(20, None, 4.9)]
+
+
+def test_null_ids_and_keys_are_like_any_other(spark):
+    rows = null_profiles()
+    profiles = spark.createDataFrame(rows, "id long, key long, value double")
+    want = best_by_numpy(rows, 100)
+    for block, cells in ((1024, 10**6), (3, 10**6), (3, 8)):
+        whole = correlation_matrix(profiles, block, cells).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr").collect()
+        assert len(whole) == 100
+        assert {tuple(r) for r in whole if r["id"] != r["neighbor_id"]} == want
+        assert all(r["corr"] == 1.0 for r in whole if r["id"] == r["neighbor_id"])
+    for prune in (True, False):
+        got = top_correlations(profiles, 4, 20, prune).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+        assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, 4)
+    for target in (None, 3):
+        one = correlation_with(profiles, target).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr").collect()
+        assert {tuple(r) for r in one if r["neighbor_id"] != target} == {p for p in want if p[0] == target}
+
+
+def test_reviews_without_user_or_business(spark):
+    rows = [(u, b, v + 0.1) for u, b, v in null_profiles()]
+    ratings = spark.createDataFrame(rows, RATING)
+    near = rec.neighbors_of_all(ratings, 3).collect()
+    assert {r.user_id for r in near} == {r[0] for r in rows}
+    assert all(abs(r["corr"]) <= 1 + 1e-9 for r in near)
+    texts = spark.createDataFrame([(None, "a a b"), (2, "a b b c"), (3, "c d"), (1, None)], "user_id long, text string")
+    assert {r.user_id for r in rec.lexical_user_similarity(texts, best=2).collect()} == {None, 2, 3}
 
 
 def brute_force(rows, user, business, near, mean, std):

@@ -220,7 +220,6 @@ def agg_transpose(spark, sf):
 PAIR_SIM = "SELECT user_id, neighbor_id, round(corr, 9) + 0 AS corr FROM sim"
 
 
-SPARE = 10  # more than wanted, so that ties after rounding come out in the same order as in SQL
 
 
 def best_sql(k: int) -> str:
@@ -230,16 +229,15 @@ def best_sql(k: int) -> str:
       WHERE neighbor_id <> user_id AND corr IS NOT NULL)) WHERE rank <= {k}"""
 
 
-def best(sim, k: int):
+def best(sim):
     place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("corr"), "neighbor_id"))
-    ranked = rounded(sim, "corr", digits=9).withColumn("rank", place).where(F.col("rank") <= k)
-    return ranked.select("user_id", "neighbor_id", "corr", "rank")
+    return rounded(sim, "corr", digits=9).withColumn("rank", place).select("user_id", "neighbor_id", "corr", "rank")
 
 
 @query("user_similarity", f"WITH {a.RATINGS}, {a.PROFILES}, {a.corr_sql('profiles')} {best_sql(30)}")
 def user_similarity(spark, sf):
     _, _, ratings = prepared(spark, sf)
-    return best(rec.user_similarity(ratings, best=30 + SPARE), 30)
+    return best(rec.user_similarity(ratings, best=30))
 
 
 @query(
@@ -279,7 +277,7 @@ def nearest_neighbors(spark, sf):
 )
 def nearest_neighbors_all(spark, sf):
     _, _, ratings = prepared(spark, sf)
-    return best(rec.neighbors_of_all(ratings, 5 + SPARE).drop("rank"), 5)
+    return rounded(rec.neighbors_of_all(ratings, 5), "corr", digits=9)
 
 
 @query(
@@ -396,7 +394,7 @@ WRITER = 7
 
 @query("lexical_user_similarity", f"WITH {TEXT_PROFILES}, {a.corr_sql('tp')} {best_sql(20)}")
 def lexical_user_similarity(spark, sf):
-    return best(rec.lexical_user_similarity(a.review_texts(spark, sf), best=20 + SPARE), 20)
+    return best(rec.lexical_user_similarity(a.review_texts(spark, sf), best=20))
 
 
 # Both recommenders rate the same writer, over the 50 users that have texts, each with one rating per business.
