@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.functions.numbers import scaled
 from rivulet.functions.times import slot_index
@@ -12,17 +12,26 @@ from rivulet.operators.relational import join_on_same, last_per_key
 from rivulet.session import materialize
 
 
+#: Rows of a chunk of a long sequence.
+CHUNK_ROWS = 65_536
+
+
 def with_lags(
-    df: DataFrame, by: Sequence[str], order: str, values: Sequence[str], depth: int, chunk: Column, name: str = "lags"
+    df: DataFrame, by: Sequence[str], order: str, values: Sequence[str], depth: int, chunk: Column | None = None, name: str = "lags"
 ) -> DataFrame:
     """Add ``name``: an array of the last ``depth`` rows before this one in its sequence, nearest
     first, each a struct of ``values``; fewer near the start.
 
-    A sequence is one value of ``by``, null included, in the order of ``order`` (no ties; nulls first). ``chunk`` must never
-    decrease along it. Windows run inside one chunk of one sequence; what reaches back over a chunk's
+    A sequence is one value of ``by``, null included, in the order of ``order`` (no ties; nulls first). Windows run inside
+    one chunk of one sequence; what reaches back over a chunk's
     start comes from the last ``depth`` rows of the chunks before, a table that is smaller by
     the chunk length. One very long sequence is thereby spread over many tasks.
+
+    ``chunk`` must never decrease along a sequence; without it the rows are cut evenly (see ``evenly_cut``, which runs jobs).
     """
+    if chunk is None:
+        df = evenly_cut(df, [*by, order], "cut_")
+        chunk = F.col("cut_")
     row = F.struct(*values)
     chunked = df.withColumn("chunk_", chunk)
     inner = Window.partitionBy(*by, "chunk_").orderBy(order)
@@ -46,29 +55,19 @@ def with_lags(
     )
     joined = join_on_same(inside, before, [*by, "chunk_"])
     lags = F.slice(F.concat("inside_", "before_"), 1, depth)
-    return joined.withColumn(name, lags).drop("inside_", "before_", "chunk_")
-
-
-def default_chunk(df: DataFrame, order: str, rows: int = 65_536, most: int = 256) -> Column:
-    """A chunk for ``with_lags``: ``rows`` steps of a whole number; for times and other numbers about ``rows``
-    rows, by borders that a job finds (at most ``most`` chunks, which then grow with the table).
-    Any other kind of order needs a chunk of the caller's."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(order) / rows)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        at = F.unix_micros(F.col(order).cast("timestamp"))
-    elif isinstance(kind, (T.FractionalType, T.DecimalType)):
-        at = F.col(order).cast("double")
-    else:
-        raise ValueError(f"no default chunk for an order of type {kind.simpleString()}: pass chunk")
-    shares = [i / most for i in range(1, most)]
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(at, shares, 20 * most).alias("borders")).first()
-    chunks = min(most, -(-found["n"] // rows))
-    if chunks <= 1 or not found["borders"]:
-        return F.lit(0)
-    borders = [found["borders"][i * most // chunks - 1] for i in range(1, chunks)]
-    return F.size(F.filter(F.array(*map(F.lit, borders)), lambda border: border <= at))
+    return joined.withColumn(name, lags).drop("inside_", "before_", "chunk_", "cut_")
+
+
+def evenly_cut(df: DataFrame, order: Sequence[str], name: str = "chunk", rows: int = CHUNK_ROWS) -> DataFrame:
+    """``df`` with ``name``: the number of its chunk of ``rows`` rows in the order of ``order``, whatever that holds and
+    however it is spread; as many chunks as it takes.
+
+    The rows are written to the shared folder (this runs jobs), so what follows does not compute them again. Pass narrow rows.
+    """
+    written = materialize(df)
+    if written.count() <= rows:
+        return written.withColumn(name, F.lit(0).cast("long"))
+    return with_position(written, order, name).withColumn(name, F.floor(F.col(name) / rows))
 
 
 def lag_columns(df: DataFrame, values: Sequence[str], depth: int, lags: str = "lags") -> DataFrame:
@@ -104,12 +103,19 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
     return placed.withColumn(name, F.col("offset_") + F.col("row_")).drop("id_", "part_", "row_", "offset_", "size_")
 
 
-def batch_by_count(posts: DataFrame, order: Sequence[str], size: int, slots: int | None = None, name: str = "slot") -> DataFrame:
+#: Batches whose first keys travel with every post; more are joined.
+MOST_STARTS = 4096
+
+
+def batch_by_count(
+    posts: DataFrame, order: Sequence[str], size: int, slots: int | None = None, name: str = "slot", most_starts: int = MOST_STARTS
+) -> DataFrame:
     """Number posts in arrival order into batches of ``size``; batch i takes slot i. The last batch may be partial.
 
     With ``slots`` more posts than that many batches hold are an error; without it slots go on. Only the order keys
-    (no ties) are sorted and numbered; the first key of each batch forms one array, in which each post finds its
-    batch by halving, so the posts are never shuffled. The array holds one key per batch.
+    (no ties) are sorted and numbered. Of up to ``most_starts`` batches the first keys form one array, in which each post finds its
+    batch by halving, so the posts are never shuffled. Of more, each post meets its own numbered key in a join: the keys are
+    different, so no task gets more than its share however many batches there are.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
@@ -118,6 +124,9 @@ def batch_by_count(posts: DataFrame, order: Sequence[str], size: int, slots: int
     batches = -(-keys.count() // size)
     if slots is not None and batches > slots:
         raise ValueError(f"{batches} batches of {size} do not fit {slots} slots")
+    if batches > most_starts:
+        numbered = keys.select(*order, F.floor(F.col("position_") / size).cast("int").alias(name))
+        return join_on_same(posts, numbered, order)
     starts = keys.where(F.col("position_") % size == 0).agg(F.sort_array(F.collect_list(here))).scalar()
 
     def halve(span: Column, step: Column) -> Column:

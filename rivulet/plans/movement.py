@@ -164,20 +164,25 @@ def distance_in_play(
 ) -> DataFrame:
     """Distance of chosen pairs at each moment of a play: (*EVENT, pair, moment, shot_clock, dist).
 
-    Each side meets the small table of pairs on its player, so a row comes out once per pair it is in.
+    The wanted positions of a moment are brought together once, and all pairs are taken from that row.
     """
     wanted = sorted({p for pair in pairs for p in pair})
-    play = mv.where(in_play(game_range, shot_range) & F.col("player_id").isin(wanted)).select(
-        *EVENT, "player_id", "moment", "shot_clock", "x_loc", "y_loc"
-    )
-    labels = mv.sparkSession.createDataFrame([(f"{a}:{b}", a, b) for a, b in pairs], "pair string, a long, b long")
-    left = play.join(labels.select("pair", F.col("a").alias("player_id")), "player_id").drop("player_id")
-    right = play.join(labels.select("pair", F.col("b").alias("player_id")), "player_id").select(
-        *EVENT, "pair", "moment", F.col("x_loc").alias("bx"), F.col("y_loc").alias("by")
-    )
-    gap = distance(F.col("x_loc"), F.col("y_loc"), F.col("bx"), F.col("by"))
-    both = join_on_same(left, right, [*EVENT, "pair", "moment"])
-    return both.select(*EVENT, "pair", "moment", "shot_clock", gap.alias("dist"))
+    play = mv.where(in_play(game_range, shot_range) & F.col("player_id").isin(wanted))
+    seen = play.groupBy(*EVENT, "moment").agg(F.collect_list(F.struct("player_id", "shot_clock", "x_loc", "y_loc")).alias("seen"))
+
+    def of(player: int) -> Column:
+        return F.filter("seen", lambda row: row["player_id"] == player)
+
+    meeting = [
+        F.transform(
+            F.flatten(F.transform(of(a), lambda left: F.transform(of(b), lambda right: F.struct(left.alias("left"), right.alias("right"))))),
+            lambda both: F.struct(F.lit(f"{a}:{b}").alias("pair"), both["left"].alias("left"), both["right"].alias("right")),
+        )
+        for a, b in pairs
+    ]
+    met = seen.select(*EVENT, "moment", F.explode(F.concat(*meeting)).alias("met")).select(*EVENT, "moment", "met.*")
+    gap = distance(F.col("left.x_loc"), F.col("left.y_loc"), F.col("right.x_loc"), F.col("right.y_loc"))
+    return met.select(*EVENT, "pair", "moment", F.col("left.shot_clock").alias("shot_clock"), gap.alias("dist"))
 
 
 def last_distances(play: DataFrame) -> DataFrame:

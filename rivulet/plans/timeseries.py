@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.functions.tails import chi2_tail, f_tail
 from rivulet.functions.times import GRID_SLOTS
-from rivulet.operators.ordered import batch_by_count, default_chunk, with_lags
+from rivulet.operators.ordered import batch_by_count, evenly_cut, with_lags
 from rivulet.operators.relational import count_per_key, join_on_same
 from rivulet.plans.text import clean_words
+from rivulet.session import materialize
 
 
 def ratio_and_diff(words: DataFrame, positives: DataFrame, negatives: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -81,26 +83,71 @@ GRANGER_SCHEMA = (
 )
 
 
+def _triangle(rows: np.ndarray) -> np.ndarray:
+    """The triangular factor of ``rows``, square: it has the same product with itself, and stacked factors stand for stacked rows."""
+    width = rows.shape[1]
+    if len(rows) < width:
+        rows = np.vstack([rows, np.zeros((width - len(rows), width))])
+    return np.linalg.qr(rows, mode="r")
+
+
+def _factors(group: Sequence[str], width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's rows (*group, depth, terms) as one triangular factor and row count per series and depth.
+
+    Factors that a task holds are bounded: with very many series it hands some out and starts new ones.
+    """
+    keys = [*group, "depth"]
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple[int, np.ndarray]] = {}
+        kinds: list[pa.DataType] = []
+
+        def handed_out() -> pa.RecordBatch:
+            columns = [pa.array([k[i] for k in held], kind) for i, kind in enumerate(kinds)]
+            counts = pa.array([n for n, _ in held.values()], pa.int64())
+            factors = pa.array([r.ravel() for _, r in held.values()], pa.list_(pa.float64()))
+            return pa.RecordBatch.from_arrays([*columns, counts, factors], [*keys, "n", "factor"])
+
+        for batch in batches:
+            kinds = [batch.schema.field(k).type for k in keys]
+            terms = batch["terms"].flatten().to_numpy().reshape(-1, width)
+            codes = np.stack([batch[k].dictionary_encode(null_encoding="encode").indices.to_numpy() for k in keys])
+            _, first, member = np.unique(codes, axis=1, return_index=True, return_inverse=True)
+            order = np.argsort(member.ravel(), kind="stable")
+            parts = np.split(order, np.cumsum(np.bincount(member.ravel()))[:-1])
+            for at, mine in zip(first, parts):
+                key = tuple(batch[k][int(at)].as_py() for k in keys)
+                n, known = held.get(key, (0, np.empty((0, width))))
+                held[key] = n + len(mine), _triangle(np.vstack([known, terms[mine]]))
+            if len(held) > 4096:
+                yield handed_out()
+                held.clear()
+        if held:
+            yield handed_out()
+
+    return factor
+
+
 def _solve(strata: pd.DataFrame, maxlag: int) -> list[tuple]:
-    """Test statistics for every lag from the product sums of one series.
+    """Test statistics for every lag from the triangular factors of one series.
 
-    ``strata`` has one row per number of available lags; lag L uses the rows with at
+    ``strata`` has rows per number of available lags; lag L uses those with at
     least L of them.
     """
     width = 2 * maxlag + 2
     depth = strata["depth"].to_numpy()
-    sums = np.stack([np.asarray(g, float).reshape(width, width) for g in strata["gram"]])
+    factors = [np.asarray(f, float).reshape(width, width) for f in strata["factor"]]
     counts = strata["n"].to_numpy()
     out = []
     for lag in range(1, maxlag + 1):
         use = depth >= lag
-        gram = sums[use].sum(axis=0)
+        whole = np.vstack([f for f, u in zip(factors, use) if u] or [np.zeros((width, width))])
         t = int(counts[use].sum())
         y_lags = list(range(2, 2 + lag))
         x_lags = list(range(2 + maxlag, 2 + maxlag + lag))
         df2 = t - 2 * lag - 1
-        small = _residual(gram, [0] + y_lags)
-        full = _residual(gram, [0] + y_lags + x_lags)
+        small = _residual(whole, [0] + y_lags)
+        full = _residual(whole, [0] + y_lags + x_lags)
         if df2 <= 0 or small is None or full is None:
             out.append((lag, t) + (None,) * 11)
             continue
@@ -112,18 +159,20 @@ def _solve(strata: pd.DataFrame, maxlag: int) -> list[tuple]:
     return out
 
 
-def _residual(gram: np.ndarray, regressors: list[int]) -> float | None:
+#: Below this share of its column's length a regressor is one that the others give, and a residual is none.
+UNDETERMINED = 1e-12
+
+
+def _residual(rows: np.ndarray, regressors: list[int]) -> float | None:
     """Residual sum of squares of column 1 on ``regressors``; None when it is not determined."""
-    a = gram[np.ix_(regressors, regressors)]
-    b = gram[regressors, 1]
-    size = np.sqrt(np.diag(a))
-    if not np.all(size > 0):
+    picked = rows[:, [*regressors, 1]]
+    size = np.sqrt(np.square(picked).sum(axis=0))
+    if not (np.all(size > 0) and np.all(np.isfinite(size))):
         return None
-    a, b = a / np.outer(size, size), b / size
-    if np.linalg.matrix_rank(a, tol=1e-10, hermitian=True) < len(b):
+    corner = np.abs(np.diag(_triangle(picked / size)))
+    if np.any(corner <= UNDETERMINED):
         return None
-    rest = float(gram[1, 1] - b @ np.linalg.solve(a, b))
-    return rest if rest > 1e-12 * gram[1, 1] else None
+    return float((corner[-1] * size[-1]) ** 2)
 
 
 def granger_causality(
@@ -140,16 +189,17 @@ def granger_causality(
     ``series`` has (*by, order, value, index). Four tests per lag: SSR F, SSR chi-square, likelihood
     ratio and parameter F (equal to the first), with p-values and degrees of freedom; null where
     the rows do not determine them. ``direction`` may be turned to ``value->index``.
-    ``chunk`` is a non-decreasing function of the order that cuts long series for the lags (see
-    ``default_chunk``). ``runs`` are further columns that lags do not cross.
+    ``chunk`` is a non-decreasing function of the order that cuts long series for the lags; without it they are cut
+    evenly (see ``with_lags``). ``runs`` are further columns that lags do not cross. Runs jobs: the known rows are written once.
 
-    All product sums are formed in one aggregation, and only the sums of a series reach a task.
+    Each task turns its rows into one triangular factor per series, whatever rows it has, and the factors of a series are
+    stacked and factored again. No products are formed, so regressors that nearly agree lose no more digits than they must.
     """
     effect, cause = ("value", "index") if direction == "index->value" else ("index", "value")
-    chunk = default_chunk(series, order) if chunk is None else chunk
     known = series.where(F.col("value").isNotNull() & F.col("index").isNotNull()).select(
-        *by, *runs, order, chunk.alias("chunk"), F.col(effect).cast("double").alias("y"), F.col(cause).cast("double").alias("x")
+        *by, *runs, order, *([] if chunk is None else [chunk.alias("chunk")]), F.col(effect).cast("double").alias("y"), F.col(cause).cast("double").alias("x")
     )
+    known = evenly_cut(known, [*by, *runs, order]) if chunk is None else materialize(known)
     group = list(by) or ["series_"]
     # Regression with a constant does not change when a column is shifted; centring keeps precision.
     averages = F.struct(F.avg("y").alias("y"), F.avg("x").alias("x"))
@@ -165,16 +215,10 @@ def granger_causality(
     def past(i: int, c: str) -> Column:
         return F.coalesce(F.get("lags", F.lit(i))[c], F.lit(0.0))
 
-    terms = [F.lit(1.0), F.col("y")] + [past(i, "y") for i in range(maxlag)] + [past(i, "x") for i in range(maxlag)]
-    names = [f"t{i}" for i in range(len(terms))]
-    rows = lagged.where(F.size("lags") > 0).select(
-        *group, F.size("lags").alias("depth"), *[t.alias(n) for t, n in zip(terms, names)]
-    )
-    products = {
-        (i, j): F.sum(F.col(names[i]) * F.col(names[j])) for i in range(len(names)) for j in range(i, len(names))
-    }
-    gram = F.array(*[products[min(i, j), max(i, j)] for i in range(len(names)) for j in range(len(names))])
-    strata = rows.groupBy(*group, "depth").agg(F.count(F.lit(1)).alias("n"), gram.alias("gram"))
+    terms = F.array(F.lit(1.0), F.col("y"), *[past(i, "y") for i in range(maxlag)], *[past(i, "x") for i in range(maxlag)])
+    rows = lagged.where(F.size("lags") > 0).select(*group, F.size("lags").alias("depth"), terms.alias("terms"))
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in group)
+    factors = rows.mapInArrow(_factors(group, 2 * maxlag + 2), f"{kinds}, depth int, n long, factor array<double>")
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         answers = pd.DataFrame(_solve(pdf, maxlag), columns=[c.split()[0] for c in GRANGER_SCHEMA.split(", ")])
@@ -182,8 +226,7 @@ def granger_causality(
             answers.insert(at, c, pdf[c].iloc[0])
         return answers
 
-    kinds = ", ".join(f"`{c}` {strata.schema[c].dataType.simpleString()}" for c in group)
-    return strata.groupBy(*group).applyInPandas(solve, f"{kinds}, {GRANGER_SCHEMA}").drop("series_")
+    return factors.groupBy(*group).applyInPandas(solve, f"{kinds}, {GRANGER_SCHEMA}").drop("series_")
 
 
 def granger_pooled(
@@ -198,7 +241,6 @@ def granger_pooled(
     for at, part in enumerate(parts):
         numbered = part.withColumn("day_", F.lit(at))
         pooled = numbered if pooled is None else pooled.unionByName(numbered)
-    chunk = F.struct("day_", default_chunk(pooled, order))
     pooled = pooled.withColumn("order_", F.struct("day_", order))
     runs = ["day_"] if partition_by_day else []
-    return granger_causality(pooled, maxlag, by, "order_", chunk, runs=runs, **options)
+    return granger_causality(pooled, maxlag, by, "order_", runs=runs, **options)

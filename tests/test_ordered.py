@@ -70,18 +70,55 @@ def test_lists_are_contiguous_parts(spark):
 
 def test_null_keys_stay(spark):
     d = spark.createDataFrame([(None, 1, 1.0), (None, 2, 3.0), ("a", 1, 5.0), ("a", None, 4.0)], "k string, t long, v double")
-    lagged = ordered.lag_columns(ordered.with_lags(d, ["k"], "t", ["v"], 1, ordered.default_chunk(d, "t")), ["v"], 1)
+    lagged = ordered.lag_columns(ordered.with_lags(d, ["k"], "t", ["v"], 1), ["v"], 1)
     assert as_set(lagged, "k", "t", "v_lag1") == {(None, 1, None), (None, 2, 1.0), ("a", None, None), ("a", 1, 4.0)}
     assert as_set(ordered.min_max_scaled(d, ["v"], ["k"]), "k", "v") == {(None, 0.0), (None, 1.0), ("a", 1.0), ("a", 0.0)}
 
 
-def test_chunks_of_times_and_other_kinds(spark):
-    d = spark.range(1000).select(F.timestamp_seconds(F.col("id")).alias("t"), F.col("id").cast("double").alias("x"), F.col("id").cast("string").alias("s"))
-    for c in ("t", "x"):
-        sizes = [r["count"] for r in d.groupBy(ordered.default_chunk(d, c, 100).alias("c")).count().collect()]
-        assert len(sizes) == 10 and max(sizes) < 200
-    with pytest.raises(ValueError):
-        ordered.default_chunk(d, "s")
+@pytest.mark.parametrize("kind", ["sparse", "text", "struct", "time"])
+def test_chunks_are_even_for_any_order(spark, kind):
+    order = {
+        "sparse": F.col("id") * 60_000_000 - (1 << 50),
+        "text": F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 9, "0")),
+        "struct": F.struct(F.floor(F.col("id") / 700).alias("day"), F.timestamp_seconds(F.col("id") % 700).alias("at")),
+        "time": F.timestamp_seconds(F.col("id") * F.col("id")),
+    }[kind]
+    d = spark.range(20_000).withColumn("t", order)
+    cut = ordered.evenly_cut(d, ["t"], rows=1000)
+    sizes = {r["chunk"]: (r["n"], r["low"], r["high"]) for r in cut.groupBy("chunk").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).collect()}
+    assert sizes == {k: (1000, 1000 * k, 1000 * k + 999) for k in range(20)}
+    assert ordered.evenly_cut(d, ["t"]).agg(F.max("chunk")).first()[0] == 0
+
+
+def test_lags_of_a_sparse_sequence_cross_even_chunks(spark, monkeypatch):
+    whole = ordered.evenly_cut
+    monkeypatch.setattr(ordered, "evenly_cut", lambda df, order, name: whole(df, order, name, 50))
+    rows = [(k, i * 60_000_000, float(i)) for k in ("a", None) for i in range(230)]
+    d = spark.createDataFrame(rows, "k string, t long, v double").repartition(3)
+    lagged = ordered.lag_columns(ordered.with_lags(d, ["k"], "t", ["v"], 3), ["v"], 3)
+    assert "cut_" not in lagged.columns
+    got = {(r.k, r.t // 60_000_000): (r.v_lag1, r.v_lag2, r.v_lag3) for r in lagged.collect()}
+    assert got == {(k, i): tuple(float(i - n) if i >= n else None for n in (1, 2, 3)) for k in ("a", None) for i in range(230)}
+
+
+@pytest.mark.parametrize("size", [1, 3])
+def test_very_many_batches_are_joined(spark, size):
+    rows = [(None, 0), *[(dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i // 2), i) for i in range(1, 500)]]
+    random.Random(3).shuffle(rows)
+    d = spark.createDataFrame(rows, "ts timestamp_ntz, id long").repartition(5)
+    few, many = (ordered.batch_by_count(d, ["ts", "id"], size, most_starts=n) for n in (4096, 10))
+    assert {r.id: r.slot for r in many.collect()} == {r.id: r.slot for r in few.collect()} == {i: i // size for i in range(500)}
+    assert "Join" in plan_of(many) and "Join" not in plan_of(few).split("Subquery")[0]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_million_batches(spark):
+    d = spark.range(1_000_000).select(F.col("id"), F.lit("text").alias("text"))
+    found = ordered.batch_by_count(d, ["id"], 1)
+    assert tuple(found.agg(F.count("*"), F.count_if(F.col("slot") == F.col("id"))).first()) == (1_000_000, 1_000_000)
 
 
 def test_slots_are_closed_on_the_right(spark):

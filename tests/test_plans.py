@@ -49,5 +49,6 @@ def test_fixed_width_firsts_aggregate_by_hash(spark):
     assert "SortAggregate" not in plan(spark, "slot_last_quote")
 
 
-def test_pairs_are_joined_not_multiplied(spark):
-    assert plan(spark, "distance_in_play").count("Generate explode") <= 4  # two of moments, two of entities
+def test_pairs_of_a_play_come_from_one_pass(spark):
+    text = plan(spark, "distance_in_play")
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1

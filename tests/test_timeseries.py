@@ -54,6 +54,55 @@ def test_granger_equals_least_squares(spark, direction):
         assert r.lr_p == pytest.approx(1 - chi2.cumulativeProbability(r.lr_stat), abs=1e-9)
 
 
+@pytest.mark.parametrize("kind", ["trend", "collinear", "scales"])
+def test_badly_conditioned_series_equal_least_squares(spark, kind):
+    rng = np.random.default_rng(5)
+    y, x = example(400, 3, 0.0)
+    if kind == "trend":
+        y, x = y + 50.0 * np.arange(400), x + 1e3 * np.arange(400)
+    elif kind == "collinear":
+        x = y + 1e-5 * rng.normal(size=400)
+    else:
+        y, x = y * 1e-9, x * 1e9
+    # least squares by Householder in extended precision, so that the comparison itself is exact enough
+    got = {r.lag: r for r in ts.granger_causality(frame(spark, y, x), 5, ["k"], "time", F.floor(F.col("time") / 37)).collect()}
+    for lag in range(1, 6):
+        small, full = (exact_rest(y, x, lag, own) for own in (True, False))
+        f = (small - full) / lag / (full / (400 - lag - 2 * lag - 1))
+        assert got[lag].f_stat == pytest.approx(float(f), rel=1e-8)
+
+
+def exact_rest(y, x, lag, own):
+    """Residual sum of squares in 80-bit arithmetic, by orthogonalising twice."""
+    y, x = (np.asarray(v - np.mean(v), np.longdouble) for v in (y, x))
+    use = range(lag, len(y))
+    columns = [np.ones(len(use), np.longdouble)] + [y[lag - i : len(y) - i] for i in range(1, lag + 1)]
+    columns += [] if own else [x[lag - i : len(x) - i] for i in range(1, lag + 1)]
+    basis, rest = [], y[lag:]
+    for c in [*columns, rest]:
+        for _ in range(3):
+            for b in basis:
+                c = c - b * (b @ c)
+        basis.append(c / np.sqrt(c @ c))
+    return c @ c
+
+
+def test_exactly_collinear_series_have_no_answer(spark):
+    y, _ = example(100)
+    assert all(r.f_stat is None for r in ts.granger_causality(frame(spark, y, 2 * y), 3, ["k"]).collect())
+
+
+def test_many_series_and_null_keys(spark):
+    rng = np.random.default_rng(7)
+    rows = [(k, t, float(v), float(w)) for k in [None, *range(40)] for t, (v, w) in enumerate(rng.normal(size=(30, 2)))]
+    got = ts.granger_causality(spark.createDataFrame(rows, "k long, time long, value double, index double"), 2, ["k"]).collect()
+    assert len(got) == 82
+    for r in got:
+        mine = [(v, w) for k, _, v, w in rows if k == r.k]
+        t, small, full = least_squares(*map(np.array, zip(*mine)), r.lag)
+        assert r.f_stat == pytest.approx((small - full) / r.lag / (full / (t - 2 * r.lag - 1)), rel=1e-9)
+
+
 def test_granger_without_enough_rows_or_variation(spark):
     short = ts.granger_causality(frame(spark, *example(6)), 5).collect()
     assert [(r.lag, r.f_stat is None) for r in sorted(short)] == [(1, False), (2, True), (3, True), (4, True), (5, True)]

@@ -183,7 +183,7 @@ def with_text_time(df):
 )
 def lag_matrix(spark, sf):
     series = rounded(a.hourly_series(spark, sf), "value", "index")
-    lags = ordered.with_lags(series, ["event_type"], "time", ["value", "index"], MAXLAG, F.date_trunc("week", "time"))
+    lags = ordered.with_lags(series, ["event_type"], "time", ["value", "index"], MAXLAG)
     return with_text_time(ordered.lag_columns(lags, ["value", "index"], MAXLAG))
 
 
@@ -241,8 +241,7 @@ SHOWN = ["event_type", "lag", "observations", "f_stat", "f_df1", "f_df2", "chi2_
 
 
 def hourly_granger(spark, sf):
-    weeks = F.date_trunc("week", "time")
-    return ts.granger_causality(a.hourly_series(spark, sf), MAXLAG, ["event_type"], "time", weeks)
+    return ts.granger_causality(a.hourly_series(spark, sf), MAXLAG, ["event_type"], "time")
 
 
 @query("granger_causality", granger_sql(f"{a.HOURLY}, se AS (SELECT * FROM hourly)", "event_type", "time"))
