@@ -44,7 +44,7 @@ def plain_merge(word, scores):
     """Merge the best pair, the leftmost of equals, until there is none."""
     symbols = list(word)
     while True:
-        pairs = [(-scores[a + b], k) for k, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in scores]
+        pairs = [(scores[a + b], k) for k, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in scores]
         if not pairs:
             return symbols
         k = min(pairs)[1]
@@ -54,23 +54,41 @@ def plain_merge(word, scores):
 def test_agenda_equals_a_search_for_the_best_pair():
     rng = random.Random(2)
     for _ in range(300):
-        scores = {"".join(rng.choice("ab") for _ in range(rng.randrange(2, 5))): float(rng.randrange(-4, 0)) for _ in range(8)}
+        scores = {"".join(rng.choice("ab") for _ in range(rng.randrange(2, 5))): float(rng.randrange(4)) for _ in range(8)}
         word = "".join(rng.choice("abc") for _ in range(rng.randrange(12)))
         assert pieces.merged(word, scores) == plain_merge(word, scores)
 
 
 def test_words_in_one_piece_give_the_same_ids(codes, monkeypatch):
-    monkeypatch.setattr(codes, "words_apart", False)
-    for text in ("two words", " a  b ", ""):
+    monkeypatch.setattr(codes, "words", None)
+    for text in ("two words", " a  b ", "", "x, y\nz", "▁"):
         assert codes.encode(text) == codes.library.encode(text)
+        assert all(agrees for *_, agrees in codes.encode_all([text]))
+
+
+def test_signs_stand_beside_letters_in_no_piece(codes):
+    assert set(".,;:!?()\n") <= set(codes.signs)
+    for piece in codes.ids:
+        for a, b in zip(piece, piece[1:]):
+            assert b != "▁" or a == "▁"
+            assert a == "▁" or (a in codes.signs) == (b in codes.signs)
 
 
 def test_forgetting_changes_nothing(monkeypatch):
-    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    monkeypatch.setattr(pieces, "REMEMBERED", 5)
+    monkeypatch.setattr(pieces, "SLICE_CHARS", 10)
+    codes = pieces.PieceCodes(pieces.model_path())
+    texts = PARTS * 3 + [" ".join(PARTS)]
+    assert [ids.tolist() for ids, _, _ in codes.encode_all(texts)] == [codes.library.encode(t) for t in texts]
+    assert len(codes.number) < 100
+
+
+def test_what_differs_from_the_library_is_told():
     codes = pieces.PieceCodes(pieces.model_path())
-    text = " ".join(PARTS) * 3
-    assert codes.encode(text) == codes.library.encode(text)
-    assert len(codes) <= 3
+    del codes.scores["▁word"]
+    texts = ["a b", "a word here", "", "word"]
+    assert [agrees for *_, agrees in codes.encode_all(texts)] == [True, False, True, False]
+    assert [agrees for *_, agrees in codes.encode_all(texts)] == [True, False, True, False]
 
 
 def test_long_words(codes):
