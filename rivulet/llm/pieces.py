@@ -99,7 +99,7 @@ class PieceCodes:
 
     def _library_ids(self, words: list[str]) -> Iterator[list[int]]:
         """What the library makes of each word where it stands in a text: behind the space mark that is put before every text, a letter or a line end."""
-        before = [SPACE if w.startswith(SPACE) or not self.words else "a" if w[0] in self.signs else "\n" for w in words]
+        before = ["\n" if w == SPACE else SPACE if w.startswith(SPACE) or not self.words else "a" if w[0] in self.signs else "\n" for w in words]
         texts = [(w.removeprefix(SPACE) if b == SPACE else b + w).replace(SPACE, " ") for w, b in zip(words, before)]
         fixed = {b: len(self.library.encode(b)) for b in ("a", "\n")} | {SPACE: 0}
         return (ids[fixed[b] :] for ids, b in zip(self.library.encode(texts, num_threads=1), before))
