@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from rivulet.functions.times import slot_index
 from rivulet.functions.text import stop_test, tokens
-from rivulet.operators.relational import last_per_key
 from rivulet.session import fresh_path
+from rivulet.streaming.results import KeyedResults
 
 
 def track_filter(posts: DataFrame, track: Iterable[str], text: str = "text") -> DataFrame:
@@ -98,21 +98,16 @@ def run_available(
     Rows and progress stay in ``folder`` (a fresh one below the shared folder if absent): a later call with the same folder
     goes on where this one ended. Without ``keys`` rows are appended as they come. With ``keys``, those of the groups,
     each run writes the groups that changed, and the result holds the newest row of every group, those
-    that may still change included.
+    that may still change included; what newer rows replace is cleared away from time to time (see ``results``), so the folder
+    stays in proportion to the groups. A result can be read until the second clearing after it.
     """
-    spark: SparkSession = stream.sparkSession
-    folder = folder or fresh_path(spark, label)
-    rows = f"{folder}/rows"
+    folder = folder or fresh_path(stream.sparkSession, label)
     writer = stream.writeStream.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True)
     if keys is None:
+        rows = f"{folder}/rows"
         writer.format("parquet").outputMode("append").start(rows).awaitTermination()
-        return spark.read.schema(stream.schema).parquet(rows)
-
-    def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{rows}/run={number}")
-
-    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{rows}/run=-1")
-    writer.outputMode("update").foreachBatch(store).start().awaitTermination()
-    versions = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("run", T.LongType())])).parquet(rows)
-    rest = [c for c in stream.columns if c not in keys]
-    return last_per_key(versions, keys, "run", rest).select(*stream.columns)
+        return stream.sparkSession.read.schema(stream.schema).parquet(rows)
+    versions = KeyedResults(stream.sparkSession, folder, stream.schema, keys)
+    writer.outputMode("update").foreachBatch(versions.store).start().awaitTermination()
+    versions.clear()
+    return versions.newest()

@@ -51,6 +51,36 @@ def test_marked_lines_skip_notices_and_leading_markers(spark, tmp_path):
     assert as_set(got, "created_at", "text") == {("t1", "a"), ("t2", "c")}
 
 
+def test_broken_lines_are_rejects_and_no_rows(spark, tmp_path):
+    lines = [
+        '{"created_at": "t1", "n": 1}', '{"created_at": "t2", "n": ', '{"created_at": "t3", "n": "x"}', '[{"created_at": "t4"}]',
+        '"created_at"', 'see created_at', "", "   ", '{"created_at": null}', '  {"created_at": "t5", "n": 2, "more": [1]}', '{"delete": 1',
+    ]
+    (tmp_path / "dump").write_text("\n".join(lines))
+    found = readers.checked_records(spark, str(tmp_path), "created_at string, n long", "created_at")
+    assert as_set(found.records, "created_at", "n") == {("t1", 1), (None, None), ("t5", 2)}
+    assert found.records.count() == 3
+    want = {(lines[1], "not JSON"), (lines[2], "a field does not fit its type"), (lines[3], "not an object"), (lines[4], "not an object"), (lines[5], "not JSON")}
+    assert as_set(found.rejects, "text", "reason") == want
+    assert all(r["file"].endswith("/dump") and r["split"] == 0 for r in found.rejects.collect())
+    assert tuple(found.counts().first()) == (3, 5)
+    every = readers.checked_records(spark, str(tmp_path), "created_at string, n long")
+    assert tuple(every.counts().first()) == (3, 6)
+    assert readers.json_records(spark, str(tmp_path), "created_at string, n long").count() == 3
+
+
+def test_large_csv_files_are_split(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("a,b\n" + "".join(f"{i},text {i}\n" for i in range(60_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        whole = readers.csv_table(spark, str(tmp_path), "a long, b string")
+        assert whole.rdd.getNumPartitions() > 4
+        assert whole.agg(F.count("a"), F.countDistinct("a")).first()[:] == (60_000, 60_000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_json_document(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps([{"id": 1, "user": {"name": "a"}}, {"id": 2}], indent=1))
     got = readers.json_document(spark, str(tmp_path), "id long, user struct<name: string>")
@@ -78,6 +108,20 @@ def test_rowset_finds_cells_by_header(spark):
     assert as_set(got, "id", "A", "B") == {(1, 1.0, "x"), (1, 2.0, None), (2, 3.0, "y"), (3, 4.0, None)}
 
 
+def test_bad_cells_and_payloads_are_rejects(spark):
+    def payload(headers, *rows):
+        return json.dumps({"resultSets": [{"headers": headers, "rowSet": list(rows)}]})
+
+    d = spark.createDataFrame(
+        [(1, payload(["A", "B"], ["1", "x"], ["one", None], [None, "y"])), (2, "{cut"), (3, "{}"), (4, None), (5, payload(["B"], ["z"]))], "id long, payload string"
+    )
+    fields = {"A": "long", "B": "string"}
+    assert as_set(readers.rowset_table(d, fields, keep=["id"]), "id", "A", "B") == {(1, 1, "x"), (1, None, None), (1, None, "y"), (5, None, "z")}
+    assert as_set(readers.rowset_rejects(d, fields, keep=["id"]), "id", "field", "text", "reason") == {
+        (1, "A", "one", "a field does not fit its type"), (2, None, "{cut", "not JSON"), (3, None, "{}", "no such result set")
+    }
+
+
 def test_matrix_and_sweep_csv(spark, tmp_path):
     (tmp_path / "m.csv").write_text(",u1,u2\nb1, 0.1 ,4\nb2,x,\n")
     got = {r.row_id: r.vector for r in readers.matrix_csv(spark, str(tmp_path / "m.csv"), ["id", "u1", "u2"]).collect()}
@@ -92,8 +136,8 @@ def test_round_trips_with_awkward_text(spark):
     d = spark.createDataFrame(rows, "id long, t string, v double")
     schema = "id long, t string, v double"
     backs = [
-        readers.csv_table(spark, sinks.write_csv(d, fresh_path(spark, "c")), schema),
-        readers.tsv_table(spark, sinks.write_tsv(d, fresh_path(spark, "t")), schema),
+        readers.csv_table(spark, sinks.write_csv(d, fresh_path(spark, "c")), schema, multi_line=True),
+        readers.tsv_table(spark, sinks.write_tsv(d, fresh_path(spark, "t")), schema, multi_line=True),
         readers.json_records(spark, sinks.write_json(d, fresh_path(spark, "j")), schema),
     ]
     for back in backs:
@@ -150,6 +194,52 @@ def test_a_second_run_goes_on_with_late_files(spark, feed):
     assert run().count() == want.count()  # nothing new
 
 
+def size_of(spark, folder):
+    """Rows in all files of keyed results, and the number of their folders."""
+    versions = stream.KeyedResults(spark, folder, None, [])
+    names = [(kind, n) for kind, label in (("rows", "run"), ("whole", "upto")) for n in versions._finished(kind)]
+    paths = [f"{folder}/{kind}/{'run' if kind == 'rows' else 'upto'}={n}" for kind, n in names]
+    return sum(spark.read.parquet(p).count() for p in paths), len(paths)
+
+
+def test_many_runs_leave_a_folder_in_proportion_to_the_groups(spark):
+    source, folder, start = fresh_path(spark, "many"), fresh_path(spark, "many-out"), dt.datetime(2024, 1, 2)
+    schema, rows = "ts timestamp, text string", []
+    for n in range(50):
+        # old buckets again and again, late ones, rows that repeat, and now and then nothing at all
+        new = [(start + dt.timedelta(minutes=10 * (k % 12 if n % 3 else k + n % 5)), "x") for k in range(0 if n % 7 == 6 else 20)]
+        rows += new
+        spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(source)
+        found = stream.run_available(stream.time_buckets(spark.readStream.schema(schema).parquet(source), "ts"), "many", ["bucket"], folder)
+        if n % 10 == 9:
+            want = spark.createDataFrame(rows, schema).groupBy(F.window("ts", "10 minutes")).count().collect()
+            assert as_set(found, "bucket", "n") == {(r.window.start, r["count"]) for r in want}
+    held, folders = size_of(spark, folder)
+    assert held <= 6 * len(want) and folders <= 2 * stream.KeyedResults.MOST_RUNS + 4
+
+
+def test_results_survive_a_stop_while_clearing(spark):
+    folder, schema = fresh_path(spark, "stop"), spark.createDataFrame([], "k long, v long").schema
+    results = stream.KeyedResults(spark, folder, schema, ["k"])
+    assert results.newest().count() == 0
+    for n, pairs in enumerate([[(1, 1), (None, 1)], [(1, 2), (2, 1)], [(2, 2)]]):
+        results.store(spark.createDataFrame(pairs, schema), n)
+    want = {(1, 2), (None, 1), (2, 2)}
+    assert as_set(results.newest(), "k", "v") == want
+    # a table that was not finished, and then a run that is repeated
+    spark.createDataFrame([(9, 9)], schema).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{folder}/whole/upto=2")
+    assert as_set(results.newest(), "k", "v") == want
+    results.clear()
+    assert as_set(results.newest(), "k", "v") == want
+    results.store(spark.createDataFrame([(1, 5)], schema), 3)
+    results.store(spark.createDataFrame([(1, 5)], schema), 3)
+    before = results.newest()
+    results.store(spark.createDataFrame([(1, 6), (2, 6), (3, 6), (None, 6)], schema), 4)
+    results.clear()
+    assert as_set(results.newest(), "k", "v") == {(1, 6), (2, 6), (3, 6), (None, 6)}
+    assert as_set(before, "k", "v") == {(1, 5), (None, 1), (2, 2)}  # still there
+
+
 def test_stream_and_batch_sentiment_agree(spark, feed):
     from rivulet.plans.text import clean_words
     from rivulet.plans.timeseries import ratio_and_diff

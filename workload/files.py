@@ -44,6 +44,42 @@ def scan_filtered_lines(spark, sf):
     return readers.marked_lines(spark, path, "created_at", "created_at string, text string")
 
 
+BROKEN = """event_id % 7 = 0 AND event_type <> 'error'"""
+
+
+@query(
+    "scan_rejected_lines",
+    f"""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'not an object' ELSE 'a field does not fit its type' END AS reason
+    FROM events WHERE {BROKEN}""",
+)
+def scan_rejected_lines(spark, sf):
+    """The broken ones among a dump's marked lines: cut off, wrapped in a list, or with a text for a number."""
+    events = a.table(spark, sf, "events")
+    post = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd").alias("created_at")))
+    unfit = F.to_json(F.struct(F.concat(F.lit("no "), "event_id").alias("event_id"), F.lit("x").alias("created_at")))
+    broken = F.when(F.col("event_id") % 3 == 0, F.substr(post, F.lit(1), F.length(post) - 1)).when(F.col("event_id") % 3 == 1, F.concat(F.lit("["), post, F.lit("]")))
+    line = F.when(F.col("event_type") == "error", F.lit('{"delete": 1}')).when(F.expr(BROKEN), F.coalesce(broken, unfit)).otherwise(post)
+    path = sinks.write_text(events.select(line), fresh_path(spark, "broken"))
+    rejects = readers.checked_records(spark, path, "event_id long, created_at string", "created_at").rejects
+    return rejects.select(F.regexp_extract("text", "[0-9]+", 0).cast("long").alias("event_id"), "reason")
+
+
+@query(
+    "rowset_rejects",
+    """SELECT s_suppkey AS id, CASE s_suppkey % 4 WHEN 2 THEN NULL ELSE 'BALANCE' END AS field, CASE s_suppkey % 4 WHEN 2 THEN 'not JSON'
+    ELSE 'a field does not fit its type' END AS reason FROM supplier WHERE s_suppkey % 4 IN (1, 2)""",
+)
+def rowset_rejects(spark, sf):
+    """Payloads of one row each; some cut off, some with a text for a number."""
+    supplier = a.table(spark, sf, "supplier")
+    balance = F.when(F.col("s_suppkey") % 4 == 1, F.concat(F.lit("about "), F.col("s_acctbal").cast("string"))).otherwise(F.col("s_acctbal").cast("string"))
+    result = F.struct(F.array(F.lit("NAME"), F.lit("BALANCE")).alias("headers"), F.array(F.array(F.col("s_name"), balance)).alias("rowSet"))
+    whole = F.to_json(F.struct(F.array(result).alias("resultSets")))
+    payload = F.when(F.col("s_suppkey") % 4 == 2, F.substr(whole, F.lit(1), F.length(whole) - 3)).otherwise(whole)
+    payloads = supplier.select(F.col("s_suppkey").alias("id"), payload.alias("payload"))
+    return readers.rowset_rejects(payloads, {"NAME": "string", "BALANCE": "double"}, keep=["id"]).select("id", "field", "reason")
+
+
 @query(
     "rowset_to_table",
     "SELECT l_suppkey AS player_id, l_orderkey AS game_id, l_quantity AS dribbles, l_discount AS close_def_dist FROM lineitem",
