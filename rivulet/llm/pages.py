@@ -1,15 +1,17 @@
 """Main text of web pages: gradient-boosted trees over DOM nodes and a hierarchical decoding.
 
-A page becomes a tree of its block elements with the text that stands directly in each. Every element with text
-is described by its subtree (text and link density, counts), its tag and attribute words, its depth and its place among its
-siblings. Boosted trees give the chance that its text belongs to the article.
+A page becomes a tree of its block elements with the text that stands directly in each, below one ``html`` and one ``body`` whether it
+writes them or not. Every element with text
+is described by its subtree (text and link density, counts), its tag and attribute words, its depth below the innermost element with all text
+and its place among its siblings. Boosted trees give the chance that its text belongs to the article.
 
 The trees learn on the driver from at most ``SAMPLE_PAGES`` pages, chosen by the hash of the id. Elements that say what they
 are (``article``, ``nav``, ``class="ad"`` and the like) and what stands inside them are the labels. Every example comes again with tag and
-attribute features blanked, so that elements which say nothing are judged by their text and place.
+attribute features blanked and some levels deeper, so that elements which say nothing are judged by their text and place, however they are wrapped.
 
 Decoding takes the likeliest consistent choice for a whole page: an element is kept with all it holds, dropped with all it holds, or
-opened, and only an opened one may hold both kinds. So nothing is kept inside a dropped element or dropped inside a kept one.
+opened, and only an opened one may hold both kinds. So nothing is kept inside a dropped element or dropped inside a kept one. Where that
+leaves nothing, all text is kept that no element speaks against.
 
 Null and empty pages give the empty text. Null ids and repeated rows are fine. Where no element says what it is, nothing can be learned, and all
 text outside of scripts, styles, heads and form controls is kept. An empty table gives no rows. Pages are read whole, in
@@ -18,6 +20,7 @@ time linear in their length for the nesting depth of ``MOST_DEEP`` and less; dee
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -33,6 +36,8 @@ from rivulet.llm.registry import query, table
 
 SAMPLE_PAGES = 1200
 MOST_DEEP = 200
+#: Levels at most that examples are moved down.
+DEEPER = 4
 #: Cost, in log chance, of opening an element.
 OPENING = 0.5
 #: Highest chance of an element that says it is something else and does not wrap the page.
@@ -86,8 +91,10 @@ class Page:
 
 def parse(source: str) -> Page:
     """Block elements in page order, each before its descendants, and the text blocks."""
-    root = Node("#", -1, 0)
-    nodes, stack = [root], [(0, "#")]  # of elements: the node they stand for, tag
+    nodes = [Node("#", -1, 0), Node("html", 0, 1), Node("body", 1, 2)]
+    nodes[0].children, nodes[1].children = [1], [2]
+    stack = [(k, n.tag) for k, n in enumerate(nodes)]  # of elements: the node they stand for, tag
+    closings: dict[str, list[int]] = {}
     blocks: list[str] = []
     gathered: list[str] = []
     linked = at = anchors = 0
@@ -104,6 +111,14 @@ def parse(source: str) -> Page:
         gathered.clear()
         linked = 0
 
+    def after_closing(tag: str) -> int | None:
+        """Where the first closing tag from here on ends; the page is searched once per tag."""
+        if tag not in closings:
+            closings[tag] = [m.end() for m in re.finditer(rf"</{re.escape(tag)}\s*>", source, re.I)]
+        # a closing tag is longer than its name, so the first end beyond that begins here or later
+        k = bisect.bisect_left(closings[tag], at + len(tag) + 3)
+        return closings[tag][k] if k < len(closings[tag]) else None
+
     def pop() -> None:
         nonlocal anchors
         anchors -= stack[-1][1] == "a"
@@ -123,15 +138,18 @@ def parse(source: str) -> Page:
         if match[2] is None:
             continue
         tag = match[2].lower()
+        if tag in ("html", "body"):
+            nodes[1 if tag == "html" else 2].words |= _attribute_words(match[3]) if not match[1] else set()
+            continue
         if match[1]:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] == tag), 0)
+            depth = next((k for k in range(len(stack) - 1, 2, -1) if stack[k][1] == tag), 0)
             while depth and len(stack) > depth:
                 pop()
             continue
         if tag in DROPPED and tag not in ("object", "map"):
             nodes[stack[-1][0]].inputs += tag in ("button", "select", "textarea")
-            closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at) if not match[3].endswith("/") else None
-            at = closing.end() if closing else at if tag not in RAW or match[3].endswith("/") else len(source)
+            closed = after_closing(tag) if not match[3].endswith("/") else None
+            at = closed if closed is not None else at if tag not in RAW or match[3].endswith("/") else len(source)
             continue
         if tag == "br":
             gathered.append(" ")
@@ -140,10 +158,9 @@ def parse(source: str) -> Page:
             nodes[stack[-1][0]].inputs += tag == "input"
             continue
         if tag in BLOCKS:
-            if tag not in ("html", "body"):
-                while any(t == "p" for _, t in stack[-8:]) and stack[-1][1] not in BLOCKS - {"p"}:
-                    pop()
-            while tag in CLOSES and len(stack) > 1 and any(t in CLOSES[tag] for _, t in _until(stack, STOPS[tag])):
+            while any(t == "p" for _, t in stack[-8:]) and stack[-1][1] not in BLOCKS - {"p"}:
+                pop()
+            while tag in CLOSES and len(stack) > 3 and any(t in CLOSES[tag] for _, t in _until(stack, STOPS[tag])):
                 pop()
             end_block()
             if tag == "hr":
@@ -152,8 +169,7 @@ def parse(source: str) -> Page:
                 stack.append((stack[-1][0], tag))
                 continue
             parent = stack[-1][0]
-            names = " ".join(x for m in _NAMES.findall(match[3]) for x in m if x) if match[3] else ""
-            nodes.append(Node(tag, parent, nodes[parent].depth + 1, set(_WORD.findall(names.lower())), first_block=len(blocks)))
+            nodes.append(Node(tag, parent, nodes[parent].depth + 1, _attribute_words(match[3]), first_block=len(blocks)))
             nodes[parent].children.append(len(nodes) - 1)
             stack.append((len(nodes) - 1, tag))
         else:
@@ -163,12 +179,16 @@ def parse(source: str) -> Page:
                 stack.append((stack[-1][0], tag))
             else:
                 anchors -= tag == "a"
-    while len(stack) > 1:
+    while len(stack) > 3:
         pop()
     end_block()
     return Page(nodes, blocks)
 
 
+def _attribute_words(attributes: str) -> set[str]:
+    return set(_WORD.findall(" ".join(x for m in _NAMES.findall(attributes) for x in m if x).lower())) if attributes else set()
+
+
 def _until(stack: list[tuple[int, str]], stops: set[str]) -> Iterator[tuple[int, str]]:
     for item in reversed(stack):
         if item[1] in stops:
@@ -238,6 +258,10 @@ def features(page: Page) -> np.ndarray:
         up = nodes[k].parent
         for sums in (chars, linked, tags, links, inputs, blocks, marks, words):
             sums[up] += sums[k]
+    # wrappers that hold all text do not count as depth
+    base = 0
+    while not own[base] and len(only := [c for c in nodes[base].children if chars[c]]) == 1:
+        base = only[0]
     rows = []
     names = names_of(page)
     state: list[tuple[int, int]] = []
@@ -254,7 +278,7 @@ def features(page: Page) -> np.ndarray:
         size = max(chars[k], 1.0)
         rows.append(
             (
-                n.depth,
+                max(n.depth - nodes[base].depth, 0),
                 np.log1p(chars[k]),
                 linked[k] / size,
                 chars[k] / tags[k],
@@ -361,6 +385,9 @@ def fit_nodes(sources: list[str], seed: int = 0) -> BoostedTrees | None:
     blank, unpraised = x.copy(), x.copy()
     blank[:, -NAMED:] = 0
     unpraised[:, GOOD_NAMES] = 0
+    deeper = np.random.default_rng(seed)
+    for copy in (blank, unpraised):
+        copy[:, 0] += deeper.integers(0, DEEPER + 1, len(copy))
     return fit(np.concatenate((x, blank, unpraised)), np.concatenate((y, y, y)))
 
 
@@ -377,12 +404,17 @@ def main_texts(model: BoostedTrees | None, sources: list[str | None]) -> list[st
         return [""] * len(pages)
     described = [features(p) for p in full]
     chances = np.split(model.probability(np.concatenate(described)), np.cumsum([len(d) for d in described])[:-1])
-    # an element that says it is no part of the article is taken at its word, unless it wraps the page
-    told = [np.where(weak_labels(p, mixed=True) == 0, np.minimum(c, AGAINST), c) for p, c in zip(full, chances)]
-    texts = iter(["\n".join(p.blocks[b] for b in decode(p, c)) for p, c in zip(full, told)])
+    texts = iter(["\n".join(_kept_blocks(p, c)) for p, c in zip(full, chances)])
     return [next(texts) if p and p.blocks else "" for p in pages]
 
 
+def _kept_blocks(page: Page, chance: np.ndarray) -> list[str]:
+    # an element that says it is no part of the article is taken at its word, unless it wraps the page
+    against = weak_labels(page, mixed=True) == 0
+    kept = decode(page, np.where(against, np.minimum(chance, AGAINST), chance))
+    return [page.blocks[b] for b in kept or sorted(b for n, no in zip(page.nodes, against) if not no for b in n.blocks)]
+
+
 def with_main_text(pages: DataFrame, model: BoostedTrees | None, name: str = "text", at_once: int = 64) -> DataFrame:
     """``pages`` with the main text of ``html``."""
     shared = pages.sparkSession.sparkContext.broadcast(model)

@@ -184,6 +184,102 @@ def test_named_wrappers_keep_the_article(spark):
         assert (labels == 1).any() or "post" in template, template
 
 
+SHELLS = [
+    "<!DOCTYPE html><html lang=en><head><title>T</title></head><body>{}</body></html>",
+    "<body>{}</body>",
+    "<html>{}</html>",
+    "<!DOCTYPE html><title>T</title>{}",
+    "{}",
+    "<html><body><div>{}</div></body></html>",
+    "<div>{}</div>",
+    "<html><body><div><div><div>{}</div></div></div></body></html>",
+    "<div id=x><div><div>{}</div></div></div>",
+]
+
+
+def test_the_shell_of_a_page_changes_nothing(spark):
+    given = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").limit(460).collect()]
+    model = pages.fit_nodes(given[:400])
+    prose = " ".join(f"The article has a long sentence, number {k}, and says much about one thing." for k in range(8))
+    parts = {
+        "a": f"<h1>A title</h1><p>{prose}</p><p>More. {prose}</p>",
+        "nav": "<nav><a href=1>Home</a> <a href=2>About</a></nav>",
+        "aside": "<aside><a href=3>See also</a></aside>",
+        "end": "<footer>Copyright 2024</footer>",
+        "long": "<div id='comments'>" + "".join(f"<div class='comment'><p>Remark {k}. {prose}</p></div>" for k in range(4)) + "</div>",
+    }
+    inner = [(re.sub("^<body[^>]*>|</body>$", "", t).format(**parts), f"A title\n{prose}\nMore. {prose}") for t in WRAPPED]
+    for source in given[400:]:
+        body = re.search(r"(?s)<body[^>]*>(.*?)(</body>|$)", source)[1]
+        inner.append((body, template_text(source)))
+    for shell in SHELLS:
+        got = pages.main_texts(model, [shell.format(body) for body, _ in inner])
+        assert got == [want for _, want in inner], shell
+
+
+def test_pages_that_say_nothing_are_not_empty(spark):
+    model = pages.fit_nodes([r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").limit(400).collect()])
+    prose = "Some words stand here, one after another, and say something about a thing. " * 5
+    for page, want in {
+        "plain text only": "plain text only",
+        prose: prose.strip(),
+        f"<p>{prose}": prose.strip(),
+        f"<div><div><p>{prose}</p></div></div>": prose.strip(),
+        "<p>x": "x",
+        "<script>x</script>": "",
+    }.items():
+        assert pages.main_text(model, page) == want, page
+
+
+def test_unclosed_elements_are_read_in_one_pass():
+    import time
+
+    start = time.perf_counter()
+    for tag in ("button", "select", "canvas", "svg", "object"):
+        page = pages.parse(f"<{tag}>word " * 150_000)
+        assert sum(map(len, page.blocks)) > 0
+    assert time.perf_counter() - start < 60
+
+
+def best_choices(page, chance):
+    """All consistent choices of a page with their log chance: [(score, kept blocks)]."""
+    yes, no = np.log(np.clip(chance, 0.01, 0.99)), np.log(1 - np.clip(chance, 0.01, 0.99))
+
+    def holds(k):
+        return bool(page.nodes[k].blocks) or any(holds(c) for c in page.nodes[k].children)
+
+    def below(k):
+        return [k, *[x for c in page.nodes[k].children for x in below(c)]]
+
+    def choices(k):
+        if not holds(k):
+            return [(0.0, [])]
+        mine = [x for x in below(k) if holds(x)]
+        found = [(sum(yes[x] for x in mine), [b for x in mine for b in page.nodes[x].blocks]), (sum(no[x] for x in mine), [])]
+        return found + opened(k, -pages.OPENING)
+
+    def opened(k, score):
+        own = page.nodes[k].blocks
+        found = [(score + (max(yes[k], no[k]) if own else 0), list(own) if own and chance[k] >= 0.5 else [])]
+        for c in page.nodes[k].children:
+            found = [(a + b, x + y) for a, x in found for b, y in choices(c)]
+        return found
+
+    return opened(0, 0.0)
+
+
+def test_decoding_finds_the_likeliest_consistent_choice():
+    rng = np.random.default_rng(12)
+    sources = ["<div>a<p>b</p><section><p>c</p><p>d</p></section></div><p>e</p>", "x<ul><li>a<li>b</ul>y<div><div><p>c</p>d</div></div>", "<p>a</p><div></div>"]
+    for source in sources:
+        page = pages.parse(source)
+        for _ in range(60):
+            chance = rng.random(len(page.nodes))
+            best = max(best_choices(page, chance))
+            kept = pages.decode(page, chance)
+            assert any(abs(score - best[0]) < 1e-9 and sorted(blocks) == kept for score, blocks in best_choices(page, chance))
+
+
 def test_decoding_is_consistent():
     rng = np.random.default_rng(4)
     page = pages.parse("<div>" + "".join(f"<section><p>a{k}</p><div><p>b{k}</p></div></section>" for k in range(20)) + "</div>")
