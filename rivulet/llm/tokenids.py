@@ -23,6 +23,8 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+import sys
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -43,9 +45,18 @@ SLICE_BYTES = 1 << 23
 REMEMBERED = 800_000
 LETTER_WORDS = 256
 
-#: Separators that only some libraries take for white space, combining marks, and the start of a special token:
-#: texts with one of these go to the tokenizer whole.
-_AS_A_WHOLE = r"[\x1c-\x1f\x{300}-\x{36f}]|<\|"
+
+
+@functools.cache
+def as_a_whole() -> str:
+    """The pattern of texts that go to the tokenizer whole: separators that only some libraries take for white space, combining
+    marks, the start of a special token, and letters that are no letter alone any more when composed and lower-cased, so that a sign
+    behind them may not be split off."""
+    letters = (c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalpha())
+    split = [c for c in letters if not unicodedata.normalize("NFC", unicodedata.normalize("NFC", c).lower()).isalpha()]
+    return "[\\x1c-\\x1f\\x{300}-\\x{36f}" + "".join(f"\\x{{{ord(c):x}}}" for c in split) + r"]|<\|"
+
+
 #: Signs but the apostrophe, at the end of a word: to the tokenizer a piece of their own.
 _TAIL = r"(\pL)([!-&(-/:-@\[-`{-~]+)(\s|$)"
 
@@ -111,7 +122,7 @@ class WordCodes:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has; null counts as empty."""
         texts = pc.fill_null(texts, "")
-        whole = pc.match_substring_regex(texts, _AS_A_WHOLE).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, as_a_whole()).to_numpy(zero_copy_only=False)
         if whole.any():
             own = [self._encode([t])[0] if w else self.encode(pa.array([t], texts.type))[0] for t, w in zip(texts.to_pylist(), whole)]
             return np.concatenate(own), np.array([len(i) for i in own], np.int64)
