@@ -5,15 +5,17 @@ when ignored words were replaced. The masks together hit every stretch that coun
 replaced: LONG_MASKS for stretches of 13 words and more (one of 26 or more has a half that counts itself), SHORT_MASKS
 for items of 8 to 12 words, whole windows for items below that. The test items' hashes form a block of bounded size that every task
 holds; windows of the training texts are joined to it, and each hit is verified by comparing the item word by
-word along the hit's diagonal: a leak is a stretch of at least ``LEAST_WORDS`` words (a shorter item: all
+word along the hit's diagonal, all diagonals of an item at once: a leak is a stretch of at least ``LEAST_WORDS`` words (a shorter item: all
 of it) of which at least ``ALIKE`` are the same. Texts are read once per block and never shuffled; a larger
 benchmark has more blocks, not larger ones.
 
 Words are runs of letters and digits of the lower-cased text, so case, punctuation and line breaks do not
 hide a copy. Null and empty texts have no leaks. Items of fewer than ``EXACT`` words match as a whole, word for word
-(so an item of one word matches wherever that word stands); null ones and those without a word never match. Repeated rows are judged alike, each on its own; null ids
+(so an item of one word matches wherever that word stands; ``shortest`` leaves out items below a length, and ``short_items`` lists
+them); null ones and those without a word never match. Repeated rows are judged alike, each on its own; null ids
 are kept. An empty table gives no rows, an empty benchmark no leaks. Long texts are hashed in one piece
-of flat arrays, about 60 bytes per byte of text at most for ``PIECE`` bytes at a time.
+of flat arrays, about 60 bytes per byte of text at most for ``PIECE`` bytes at a time; hits are verified ``HITS`` at a time, so a
+word repeated through a text and an item takes time in proportion to the text and the item, and no more memory.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from rivulet.llm.registry import query, table
 
 LEAST_WORDS = 13
 ALIKE = 0.8
+#: What a word adds to a stretch, alike and not: a stretch has the asked share exactly if its sum is not negative.
+SAME, OTHER = 1, -4
 #: Items of fewer words match only as they are.
 EXACT = 8
 #: Words of the shortest item that can match.
@@ -44,6 +48,8 @@ BLOCK_WORDS = 250_000
 #: Bytes of text that are hashed at a time; pieces overlap by the longest item of the block.
 PIECE = 1 << 20
 FILTER_BITS = 20
+#: Hits that are looked at together, and words compared together.
+HITS, CELLS = 1 << 20, 1 << 22
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz", np.uint8)] = True
@@ -146,52 +152,84 @@ class SeedBlock:
     def _leaks_of_piece(self, data: bytes, first_cut: bool = False, last_cut: bool = False) -> Iterator[tuple]:
         """The leaks among whole words: a cut one stands whole in a neighbouring piece."""
         words, starts, ends = (x[first_cut : len(x) - last_cut] for x in word_hashes(data))
-        seen: set[tuple[int, int]] = set()
+        # per item, the text places and item places of each hash that both have
+        meeting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for mask, hashes, items, positions, bits in zip(MASKS, self.hashes, self.item, self.position, self.filters):
             if not len(hashes):
                 continue
             here = masked_hashes(words, mask)
             near = np.flatnonzero(bits[here >> np.uint64(64 - FILTER_BITS)])
-            if mask not in LONG_MASKS + SHORT_MASKS:
-                # a whole item: its first place is as good as any
-                near = near[np.sort(np.unique(here[near], return_index=True)[1])]
-            low, high = (np.searchsorted(hashes, here[near], side) for side in ("left", "right"))
+            near = near[np.argsort(here[near], kind="stable")]
+            found, first = np.unique(here[near], return_index=True)
+            low, high = (np.searchsorted(hashes, found, side) for side in ("left", "right"))
+            ends_at = np.append(first, len(near))[1:]
             for k in np.flatnonzero(high > low):
-                for hit in range(low[k], high[k]):
-                    item, shift = int(items[hit]), int(near[k]) - int(positions[hit])
-                    if (item, shift) not in seen:
-                        seen.add((item, shift))
-                        if found := aligned(words, self.words[item], shift):
-                            first, last, alike = found
-                            yield item, int(starts[first]), int(ends[last - 1]), last - first, alike
-
-
-def aligned(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """The best stretch of ``words`` that repeats ``item`` laid at ``shift``: first word, end, words alike."""
-    least = min(LEAST_WORDS, len(item))
-    low, high = max(0, -shift), min(len(item), len(words) - shift)
-    if high - low < least:
-        return None
-    same = words[low + shift : high + shift] == item[low:high]
-    if len(item) < EXACT and not same.all():
-        return None
-    # a stretch has the asked share exactly if its sum of these steps is not negative
-    sums = np.concatenate(([0.0], np.cumsum(np.where(same, 1 - ALIKE, -ALIKE))))
-    lowest = np.minimum.accumulate(sums[: len(sums) - least])
-    gain = sums[least:] - lowest
-    k = int(np.argmax(gain))
-    if gain[k] < -1e-9:
-        return None
-    first, last = int(np.argmin(sums[: k + 1])), k + least
-    return low + shift + first, low + shift + last, int(same[first:last].sum())
-
-
-def seed_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[SeedBlock]:
-    """The items of ``benchmark`` (item_id, text), streamed through in blocks of at most ``block_words`` words and one item."""
+                # a whole item: its first place is as good as any
+                places = near[first[k] : ends_at[k] if mask in LONG_MASKS + SHORT_MASKS else first[k] + 1]
+                entries = slice(low[k], high[k])
+                borders = np.flatnonzero(np.diff(items[entries])) + 1
+                for item, its in zip(items[entries][np.append(0, borders)], np.split(positions[entries], borders)):
+                    meeting.setdefault(int(item), []).append((places, its))
+        for item, met in meeting.items():
+            if found := aligned(words, self.words[item], _shifts(met, len(words), len(self.words[item]))):
+                first, last, alike = found
+                yield item, int(starts[first]), int(ends[last - 1]), last - first, alike
+
+
+def _shifts(met: list[tuple[np.ndarray, np.ndarray]], n_text: int, n_item: int) -> np.ndarray:
+    """The different ways to lay an item so that a text place meets an item place, ascending."""
+    if sum(len(t) * len(i) for t, i in met) < 64:
+        return np.unique(np.concatenate([(t[:, None] - i).ravel() for t, i in met]))
+    marked = np.zeros(n_text + n_item, bool)
+    for text_at, item_at in met:
+        for some in np.array_split(text_at, -(-len(text_at) * len(item_at) // HITS)):
+            marked[(some[:, None] - item_at + n_item).ravel()] = True
+    return np.flatnonzero(marked) - n_item
+
+
+def aligned(words: np.ndarray, item: np.ndarray, shifts: np.ndarray) -> tuple[int, int, int] | None:
+    """The best stretch of ``words`` that repeats ``item`` laid at one of ``shifts``, the first of equals: first word, end, words alike."""
+    least, n = min(LEAST_WORDS, len(item)), len(item)
+    best = None
+    for some in np.array_split(shifts, -(-len(shifts) * n // CELLS)):
+        place = some[:, None] + np.arange(n)
+        inside = (place >= 0) & (place < len(words))
+        same = inside & (words[np.where(inside, place, 0)] == item)
+        if n < EXACT:
+            some, place, inside, same = (x[same.all(axis=1)] for x in (some, place, inside, same))
+        if not len(some):
+            continue
+        # no stretch that counts goes beyond the text
+        step = np.where(same, SAME, np.where(inside, OTHER, OTHER * (n + 1)))
+        sums = np.concatenate((np.zeros((len(some), 1), np.int64), np.cumsum(step, axis=1)), axis=1)
+        gain = sums[:, least:] - np.minimum.accumulate(sums[:, : n + 1 - least], axis=1)
+        for row in np.flatnonzero(gain.max(axis=1) >= 0):
+            k = int(np.argmax(gain[row]))
+            first, last = int(np.argmin(sums[row, : k + 1])), k + least
+            alike = int(same[row, first:last].sum())
+            if best is None or alike > best[2]:
+                best = (int(some[row]) + first, int(some[row]) + last, alike)
+            if alike == n:
+                return best
+    return best
+
+
+def short_items(benchmark: DataFrame, below: int = EXACT) -> DataFrame:
+    """item_id and n_words of the items of fewer than ``below`` words, which match only as they are, wherever they stand."""
+
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(text_words(t)[0]) for t in texts], dtype="int64")
+
+    return benchmark.select("item_id", count("text").alias("n_words")).where(F.col("n_words") < below)
+
+
+def seed_blocks(benchmark: DataFrame, shortest: int = SHORTEST, block_words: int = BLOCK_WORDS) -> Iterator[SeedBlock]:
+    """The items of ``benchmark`` (item_id, text) with ``shortest`` words and more, streamed through in blocks of at most ``block_words`` words and one item."""
     ids, texts, total = [], [], 0
     for row in benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).toLocalIterator():
         n = len(text_words(row["text"])[0])
-        if n < SHORTEST:
+        if n < shortest:
             continue
         if texts and total + n > block_words:
             yield SeedBlock.of(ids, texts)
@@ -217,10 +255,10 @@ def leaks_of(block: SeedBlock, docs: DataFrame, benchmark: DataFrame) -> Column:
     return leaks("text")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """One row per document row and item that it holds: doc_id, item_id, from_byte, to_byte, words, alike."""
     parts = [
-        docs.select("doc_id", F.explode(leaks_of(block, docs, benchmark)).alias("leak")).select("doc_id", "leak.*") for block in seed_blocks(benchmark)
+        docs.select("doc_id", F.explode(leaks_of(block, docs, benchmark)).alias("leak")).select("doc_id", "leak.*") for block in seed_blocks(benchmark, shortest)
     ]
     if not parts:
         kind = dict(benchmark.dtypes)["item_id"]
@@ -228,9 +266,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """The rows of ``docs`` that hold no item of ``benchmark``."""
-    for block in seed_blocks(benchmark):
+    for block in seed_blocks(benchmark, shortest):
         docs = docs.filter(F.size(leaks_of(block, docs, benchmark)) == 0)
     return docs
 

@@ -75,6 +75,12 @@ def _digits(span: str) -> str:
     return "".join(c for c in span if c in "0123456789")
 
 
+def _octet(part: str) -> int:
+    """The value of an address part of any length, 256 standing for all that is too large."""
+    rest = part.lstrip("0")
+    return min(int(rest or "0"), 256) if len(rest) <= 3 else 256
+
+
 def _emails(text: str) -> list[tuple[int, int]]:
     found, free, at = [], 0, text.find("@")
     while at >= 0:
@@ -99,7 +105,7 @@ def matches(text: str) -> dict[str, tuple[list[tuple[int, int]], list[tuple[int,
     if not _DIGIT.search(text):
         return found
     for m in _IP.finditer(text):
-        good = all(len(p) < 20 and int(p) <= 255 for p in m.group().split("."))
+        good = all(_octet(p) <= 255 for p in m.group().split("."))
         found["ip"][not good].append(m.span())
     for m in _CARD.finditer(text):
         if 13 <= m.end() - m.start() and 13 <= len(d := _digits(m.group())) <= 19:
@@ -125,7 +131,7 @@ def votes_on(text: str, kind: str, start: int, end: int, base: bool) -> list[int
         check = 1 if span.count("@") == 1 or re.search(r"[(\[{]", span) else -1
         known = 1 if ending in _ENDINGS else -1 if base else 0
     elif kind == "ip":
-        parts = [int(p) for p in span.split(".") if len(p) < 20]
+        parts = [_octet(p) for p in span.split(".")]
         check = int(len(parts) == 4 and max(parts) <= 255)
         known = 0 if len(parts) == 4 and parts[0] == 0 else -1
     elif kind == "card":

@@ -40,7 +40,7 @@ def test_mixing_of_awkward_rows(awkward, empty):
     for source, target in want.items():
         mine = [r for r in rows if r["source"] == source]
         assert all(abs(r["target"] - target) < 1e-6 * max(1, target) and r["source_size"] == sizes[source] for r in mine)
-        assert abs(sum(r["taken"] for r in mine) - target) <= 4
+        assert sum(r["taken"] for r in mine) == int(target + 0.5)
     assert all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
     assert mixing.taken_words(empty).count() == 0
 
@@ -52,9 +52,27 @@ def test_slots_and_pieces_fit_together(awkward):
     for r in pieces:
         assert 0 <= r["from_word"] and r["from_word"] + r["words"] <= r["size"]
         per_slot.setdefault(r["slot"], []).append(r)
-    assert all(len({r["sid"] for r in rows}) == 1 for rows in per_slot.values())
-    # one word a slot here, and no slot twice
-    assert all(sum(r["words"] for r in rows) == 1 for rows in per_slot.values())
+    assert all(len({(r["sid"], r["rank"]) for r in rows}) == 1 for rows in per_slot.values())
+    filled = {(rows[0]["sid"], rows[0]["rank"]): sum(r["words"] for r in rows) for rows in per_slot.values()}
+    for sid in {s for s, _ in filled}:
+        mine = [filled[k] for k in sorted(filled) if k[0] == sid]
+        # no rank is missing, and only the last block is a part
+        assert sorted(r for s, r in filled if s == sid) == list(range(len(mine)))
+        assert all(n == mixing.BLOCK for n in mine[:-1]) and 0 < mine[-1] <= mixing.BLOCK
+
+
+def test_points_spread_every_source_evenly(spark):
+    sizes = [("a", 40_000), ("b", 9_000), ("c", 2_500), ("d", 700), ("e", 30), (None, 1)]
+    sized = spark.createDataFrame([(k, s, n, f"{k:03x}", 1) for k, (s, n) in enumerate(sizes)], "doc_id long, source string, size long, key string, rows long")
+    targets = mixing.source_targets(sized)
+    rows = mixing.schedule(targets).collect()
+    needs = {r["sid"]: r["need"] for r in targets.collect()}
+    assert len({r["slot"] for r in rows}) == len(rows) == sum(needs.values())
+    for sid, need in needs.items():
+        mine = sorted((r["slot"], r["rank"]) for r in rows if r["sid"] == sid)
+        assert [r for _, r in mine] == list(range(need))
+        # the r-th slot stands near r / need of the way
+        assert all(abs(slot / len(rows) * need - rank) < 4 for slot, rank in mine)
 
 
 def test_mix_without_words_or_rows(spark, empty):
@@ -74,17 +92,43 @@ def test_mixed_documents_come_as_often_as_taken(awkward):
         assert abs(got.get(source, 0) - target) <= longest[source]
 
 
-@pytest.mark.parametrize("slots", [1 << 20, 64, 7])
-def test_small_source_in_a_large_total(spark, monkeypatch, slots):
-    # few slots stand for a total that is large against the small sources
-    monkeypatch.setattr(mixing, "SLOTS", slots)
-    rows = [(k, "w " * 2000, "a big") for k in range(50)] + [(100 + k, "w " * 5, "b small") for k in range(2000)] + [(9000 + k, "w " * 3, "c tiny") for k in range(9)]
-    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+def test_small_sources_in_a_large_total(spark):
+    big = spark.range(1000).selectExpr("id doc_id", "repeat('w ', 100000) text", "'en' lang", "'a big' source")
+    small = [(2000 + k, "w " * 12, "en", "b small") for k in range(10)] + [(9000 + k, "w " * 3, "en", "c tiny") for k in range(9)] + [(9999, "w", "en", None)]
+    docs = big.unionByName(spark.createDataFrame(small, "doc_id long, text string, lang string, source string"))
+    rows = mixing.taken_words(docs).groupBy("source", "source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    targets = plain_targets({"a big": 100_000_000, "b small": 120, "c tiny": 27, None: 1})
+    assert {r["source"]: r["taken"] for r in rows} == {s: int(t + 0.5) for s, t in targets.items()}
     words = mixing.mixed_documents(docs).groupBy("source").agg(F.sum(mixing.words_in(F.col("text"))).alias("n")).collect()
-    got = {r["source"]: r["n"] for r in words}
-    longest = {"a big": 2000, "b small": 5, "c tiny": 3}
-    targets = plain_targets({"a big": 100_000, "b small": 10_000, "c tiny": 27})
-    assert all(abs(got.get(s, 0) - target) <= longest[s] for s, target in targets.items())
+    assert {r["source"]: r["n"] for r in words if r["source"] != "a big"} == {"b small": 240, "c tiny": 54, None: 2}
+
+
+def test_rows_keep_their_own_columns(spark):
+    rows = [(1, "same text", "en", "a"), (1, "same text", "de", "a"), (1, "same text", None, "a"), (2, "other", "en", "a"), (2, "other", "en", "a")]
+    rows += [(None, f"null {k}", "en", None) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    mixed = [tuple(r) for r in mixing.mixed_documents(docs).collect()]
+    assert set(mixed) <= set(rows)
+    assert {r[2] for r in mixed if r[0] == 1} == {"en", "de", None}
+    assert all(1 <= mixed.count(r) <= 2 * rows.count(r) for r in rows)
+
+
+def test_the_mix_has_an_order(spark):
+    sources = ["a", "b", "c"]
+    docs = spark.createDataFrame([(k, f"{k} " * 20, "en", sources[k % 3]) for k in range(1500)], "doc_id long, text string, lang string, source string")
+    mixed = [r["source"] for r in mixing.mixed_documents(docs).collect()]
+    shares = {s: mixed.count(s) / len(mixed) for s in sources}
+    for at in range(0, len(mixed) - 300, 300):
+        assert all(abs(mixed[at : at + 300].count(s) / 300 - shares[s]) < 0.05 for s in sources)
+
+
+def test_repeated_rows_count_each(spark):
+    docs = spark.createDataFrame([(1, "a b c", "en", "x")] * 500 + [(2, "d e", "en", "y")], "doc_id long, text string, lang string, source string")
+    rows = mixing.taken_words(docs).collect()
+    assert len(rows) == 501
+    for source, target in plain_targets({"x": 1500, "y": 2}).items():
+        assert sum(r["taken"] for r in rows if r["source"] == source) == int(target + 0.5)
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
 
 
 # ---- shards

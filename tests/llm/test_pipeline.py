@@ -61,6 +61,50 @@ def test_leaks_equal_brute_force(spark):
     assert kept == {i for i, t in docs if not any(plain_leak(t, b) for _, b in items)}
 
 
+def plain_best(text, item):
+    """Most words alike over all stretches that count, without masks."""
+    a, b = words(text), words(item)
+    least, best = min(decontaminate.LEAST_WORDS, len(b)), None
+    for shift in range(-len(b), len(a)):
+        same = [a[j + shift] == b[j] for j in range(len(b)) if 0 <= j + shift < len(a)]
+        for i in range(len(same)):
+            for k in range(i + least, len(same) + 1):
+                if 5 * sum(same[i:k]) >= 4 * (k - i):
+                    best = max(best or 0, sum(same[i:k]))
+    return best
+
+
+def test_repeated_words_take_time_in_proportion_to_the_text():
+    import time
+
+    block = decontaminate.SeedBlock.of([1, 2], ["word " * 100, "a b " * 50])
+    for unit, item in (("word ", 1), ("a b ", 2)):
+        start = time.perf_counter()
+        found = block.leaks(unit * 80_000)
+        assert [(f[0], f[4]) for f in found] == [(item, 100)]
+        assert time.perf_counter() - start < 10
+
+
+def test_leaks_of_periodic_texts_equal_brute_force():
+    rng = random.Random(21)
+    for _ in range(150):
+        item = "".join(rng.choice(["w ", "w ", "w ", "v ", "u "]) for _ in range(rng.choice([8, 9, 13, 14, 20])))
+        text = "".join(rng.choice(["w ", "w ", "w ", "w ", "v ", "x "]) for _ in range(rng.randrange(40)))
+        found = decontaminate.SeedBlock.of([1], [item]).leaks(text)
+        best = plain_best(text, item)
+        assert bool(found) == (best is not None)
+        assert not found or len(words(text)[0:]) >= found[0][3] >= min(13, len(words(item))) and found[0][4] <= best
+
+
+def test_short_items_can_be_left_out(spark):
+    docs = spark.createDataFrame([(1, "the cat"), (2, "one two three four five six seven eight nine")], "doc_id long, text string")
+    items = [(1, "the"), (2, "one two three four five six seven eight nine"), (3, None), (4, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert {tuple(r) for r in decontaminate.short_items(benchmark).collect()} == {(1, 1), (3, 0), (4, 0)}
+    assert {r["doc_id"] for r in decontaminate.without_contaminated(docs, benchmark).collect()} == set()
+    assert {r["doc_id"] for r in decontaminate.without_contaminated(docs, benchmark, shortest=8).collect()} == {1}
+
+
 def test_any_two_replaced_words_of_thirteen_are_found():
     item = [f"t{k}" for k in range(13)]
     block = decontaminate.SeedBlock.of([1], [" ".join(item)])
@@ -121,7 +165,7 @@ def test_blocks_and_pieces_change_nothing(spark, monkeypatch):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     columns = ["doc_id", "item_id", "words", "alike"]
     whole = sorted(map(tuple, decontaminate.contaminated(docs, benchmark).select(columns).collect()))
-    blocks = list(decontaminate.seed_blocks(benchmark, 400))
+    blocks = list(decontaminate.seed_blocks(benchmark, block_words=400))
     assert len(blocks) > 2
     monkeypatch.setattr(decontaminate, "PIECE", 700)
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
