@@ -126,10 +126,39 @@ def test_kde(spark):
         assert (r.x, r.y, r.density) == pytest.approx((gx, gy, want))
 
 
+@pytest.mark.parametrize("kind", ["spread", "clusters", "line", "far"])
+def test_binned_kde_is_within_its_tolerance(spark, kind):
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(2, 3000))
+    if kind == "clusters":
+        x, y = np.r_[x * 0.01, 5.0, x[:50] * 0.01 + 9], np.r_[y * 0.01, -3.0, y[:50] * 0.01]
+    elif kind == "line":
+        y = x + 1e-3 * y
+    elif kind == "far":
+        x, y = x + 1e6, y * 1e-5 - 1e3
+    pts = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x double, y double").repartition(3)
+    exact = {(r.gx, r.gy): r.density for r in density.density_kde(pts, 31, 17).collect()}
+    for tolerance in (1e-3, 1e-6, 1e-9):
+        got = density.density_kde(pts, 31, 17, tolerance=tolerance).collect()
+        assert len(got) == 31 * 17
+        assert max(abs(r.density - exact[r.gx, r.gy]) for r in got) <= tolerance * max(exact.values())
+
+
+def test_binning_weights_reproduce_polynomials():
+    at = np.random.default_rng(1).random(200) * 9
+    node, weights = density._shares(at, 0.25)
+    assert np.allclose(weights.sum(axis=0), 1)
+    places = (node + density.NODES[:, None]) * 0.25
+    for power in range(6):
+        assert np.allclose((weights * places**power).sum(axis=0), at**power)
+    assert np.abs(weights).sum(axis=0).max() < 1.5
+
+
 def test_kde_of_a_line_and_of_nothing(spark):
     flat = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "x double, y double")
     assert density.density_kde(flat, 3, 3).count() == 0
     assert density.density_kde(flat.where("x > 9"), 3, 3).count() == 0
+    assert density.density_kde(flat, 3, 3, tolerance=1e-6).count() == 0
 
 
 def test_hexagons_hold_their_nearest_points(spark):

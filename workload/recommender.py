@@ -7,6 +7,7 @@ from pyspark.sql import Window, functions as F
 from rivulet.functions import text as ft
 from rivulet.operators import relational as rel
 from rivulet.operators.correlation import correlation_matrix
+from rivulet.operators.matrix import blocked_matrix
 from rivulet.plans import recommend as rec
 from rivulet.session import materialize
 from workload import adapters as a
@@ -215,6 +216,46 @@ def agg_transpose(spark, sf):
     return rel.transpose(wide, "day", DAYS)
 
 
+# ---- wide matrices: all columns that occur, none of them listed
+
+
+def rating_blocks(spark, sf):
+    _, _, ratings = prepared(spark, sf)
+    return blocked_matrix(ratings, "user_id", "business_id", "stars", 64)
+
+
+PLACED = f"""{a.RATINGS}, us AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS u FROM (SELECT DISTINCT user_id FROM ratings)),
+    bs AS (SELECT business_id, row_number() OVER (ORDER BY business_id) - 1 AS b FROM (SELECT DISTINCT business_id FROM ratings))"""
+
+
+@query("wide_matrix", f"WITH {PLACED} SELECT u // 64 AS row_block, b // 64 AS column_block, u AS row_place, b AS column_place, stars FROM ratings JOIN us USING (user_id) JOIN bs USING (business_id)")
+def wide_matrix(spark, sf):
+    """Ratings as a matrix of blocks."""
+    blocks = rating_blocks(spark, sf).blocks
+    return blocks.select("row_block", "column_block", F.explode("cells").alias("c")).select(
+        "row_block", "column_block", F.col("c.row").alias("row_place"), F.col("c.column").alias("column_place"), F.col("c.value").alias("stars")
+    )
+
+
+@query("wide_matrix_transposed", f"WITH {a.RATINGS} SELECT business_id AS business, user_id AS user, stars FROM ratings")
+def wide_matrix_transposed(spark, sf):
+    return rating_blocks(spark, sf).transposed().cells().toDF("business", "user", "stars")
+
+
+@query(
+    "wide_matrix_filled",
+    f"""WITH {PLACED}, w AS (SELECT count(*) AS width FROM bs) SELECT user_id, any_value(width) AS width, round(sum(stars) + 0.1::DOUBLE * (any_value(width) - count(*)), 6) AS total,
+    round(sum(stars * (b + 1)) + 0.1::DOUBLE * (any_value(width) * (any_value(width) + 1) / 2 - sum(b + 1)), 4) AS weighted FROM ratings JOIN bs USING (business_id) CROSS JOIN w GROUP BY user_id""",
+)
+def wide_matrix_filled(spark, sf):
+    """Every user's whole row with absent cells filled: its width, sum, and sum weighted by the place."""
+    rows = rating_blocks(spark, sf).vectors(rec.UNRATED)
+    zero = F.lit(0.0)
+    total = F.aggregate("vector", zero, lambda s, v: s + v)
+    weighted = F.aggregate(F.transform("vector", lambda v, i: v * (i + 1)), zero, lambda s, v: s + v)
+    return rows.select(F.col("row").alias("user_id"), F.size("vector").cast("long").alias("width"), F.round(total, 6).alias("total"), F.round(weighted, 4).alias("weighted"))
+
+
 # ---- similarity -----------------------------------------------------------------------------------
 
 PAIR_SIM = "SELECT user_id, neighbor_id, round(corr, 9) + 0 AS corr FROM sim"
