@@ -31,7 +31,7 @@ WEIGHTS = (5, 2, 1)
 SHARE_NUM, SHARE_DEN = 3, 2
 PASSES = 2
 #: Words of a slot.
-BLOCK = 32
+BLOCK = 256
 #: 2^32 divided by the golden ratio, and 2^32.
 GOLDEN, CIRCLE = 2654435769, 1 << 32
 #: Points, slots and documents of a source are dealt out in so many cells.

@@ -115,7 +115,7 @@ def test_rows_keep_their_own_columns(spark):
 
 def test_the_mix_has_an_order(spark):
     sources = ["a", "b", "c"]
-    docs = spark.createDataFrame([(k, f"{k} " * 20, "en", sources[k % 3]) for k in range(1500)], "doc_id long, text string, lang string, source string")
+    docs = spark.createDataFrame([(k, f"{k} " * 300, "en", sources[k % 3]) for k in range(1500)], "doc_id long, text string, lang string, source string")
     mixed = [r["source"] for r in mixing.mixed_documents(docs).collect()]
     shares = {s: mixed.count(s) / len(mixed) for s in sources}
     for at in range(0, len(mixed) - 300, 300):
