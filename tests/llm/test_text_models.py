@@ -50,6 +50,56 @@ def test_windows_cover_every_byte():
     assert bytecnn.windows_of(b"", 8, 8).shape == (1, 8)
 
 
+def plain_responses(model, window):
+    """Largest response of each filter over one window, byte by byte."""
+    out = []
+    for kernel in model.filters:
+        width = len(kernel) // model.embedding.shape[1]
+        for column in kernel.T.astype(float):
+            places = range(len(window) - width + 1)
+            out.append(max(sum(float(model.embedding[window[at + k], d]) * column[k * model.embedding.shape[1] + d] for k in range(width) for d in range(model.embedding.shape[1])) for at in places))
+    return [max(0.0, r + float(b)) for r, b in zip(out, model.bias)]
+
+
+def plain_softmax(model, features):
+    logits = [sum(f * float(w) for f, w in zip(features, column)) + float(o) for column, o in zip(model.weights.T, model.offset)]
+    top = max(logits)
+    parts = [np.exp(x - top) for x in logits]
+    return [p / sum(parts) for p in parts]
+
+
+def plain_windows(data, length, stride):
+    out, at = [], 0
+    while True:
+        out.append((list(data[at : at + length]) + [0] * length)[:length])
+        if at + length >= len(data):
+            return out
+        at += stride
+
+
+def test_language_scores_equal_plain_loops():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdé xyz") for _ in range(n)) for n in (1, 3, 200, 256, 300, 700)]
+    model = langid.fit([t.encode()[:256] for t in texts] * 3, ["x", "y", "z", "x", "y", "z"] * 3, rounds=1)
+    for text, (lang, score) in zip(texts, langid.predict(model, texts)):
+        data = text.lower().encode()
+        total = np.zeros(3)
+        for k, window in enumerate(plain_windows(data, langid.WINDOW, langid.WINDOW)):
+            total += np.array(plain_softmax(model, plain_responses(model, window))) * min(langid.WINDOW, len(data) - k * langid.WINDOW)
+        assert abs(total.max() / len(data) - score) < 1e-4
+        assert model.classes[int(total.argmax())] == lang or np.ptp(np.sort(total)[-2:]) < 1e-3 * len(data)
+
+
+def test_quality_scores_equal_plain_loops():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdé xyz") for _ in range(n)) for n in (0, 1, 255, 256, 257, 600)] + [None]
+    bags = [[(t or "").encode()[:256]] for t in texts]
+    model = quality.fit(bags, [0, 1, 0, 1, 0, 1, 0], {0: 40, 1: 10}, rounds=1)
+    for text, score in zip(texts, quality.scores(model, texts)):
+        responses = np.array([plain_responses(model, w) for w in plain_windows((text or "").encode(), quality.CHUNK, quality.CHUNK - quality.OVERLAP)])
+        assert abs(plain_softmax(model, [*responses.max(axis=0), *responses.mean(axis=0)])[1] - score) < 1e-4
+
+
 def test_language_of_held_out_documents(spark):
     got = langid.language_of_documents(spark, SF).toPandas().set_index("doc_id")
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas().set_index("doc_id")
@@ -338,6 +388,62 @@ def test_base_spans_equal_the_patterns():
         assert sorted(pii.base_spans(text)) == sorted(plain_spans(text)), text
 
 
+def plain_reliabilities(patterns, rounds=100):
+    """Expectation-maximisation over (kind, votes, count), loop by loop; chance of each pattern."""
+    chance = [(sum(v == 1 for v in votes) + 0.5) / (sum(v >= 0 for v in votes) + 1) for _, votes, _ in patterns]
+    for _ in range(rounds):
+        prior = {}
+        for kind in range(len(pii.KINDS)):
+            mine = [(c, n) for c, (k, _, n) in zip(chance, patterns) if k == kind]
+            prior[kind] = (sum(c * n for c, n in mine) + 1) / (sum(n for _, n in mine) + 2)
+        tables = {}
+        for truth in (0, 1):
+            for labeler in range(len(pii.LABELERS)):
+                sums = [1 + sum((c if truth else 1 - c) * n for c, (_, v, n) in zip(chance, patterns) if v[labeler] == vote) for vote in (-1, 0, 1)]
+                tables[truth, labeler] = [s / sum(sums) for s in sums]
+        for labeler in range(len(pii.LABELERS)):
+            tables[1, labeler][2] = max(tables[1, labeler][2], tables[0, labeler][2])
+            tables[0, labeler][1] = max(tables[0, labeler][1], tables[1, labeler][1])
+        new = []
+        for kind, votes, _ in patterns:
+            odds = np.log(prior[kind] / (1 - prior[kind]))
+            for labeler, vote in enumerate(votes):
+                odds += np.log(tables[1, labeler][vote + 1] / sum(tables[1, labeler])) - np.log(tables[0, labeler][vote + 1] / sum(tables[0, labeler]))
+            new.append(1 / (1 + np.exp(-odds)))
+        if max(abs(a - b) for a, b in zip(new, chance)) < 1e-9:
+            break
+        chance = new
+    return chance
+
+
+def test_reliabilities_equal_plain_loops():
+    rng = random.Random(3)
+    for _ in range(5):
+        patterns = list({(rng.randrange(4), tuple(rng.choice([-1, 0, 1]) for _ in pii.LABELERS)): rng.randrange(1, 50) for _ in range(30)}.items())
+        patterns = [(k, v, n) for (k, v), n in patterns]
+        got = pii.reliabilities(np.array([k for k, _, _ in patterns]), np.array([v for _, v, _ in patterns]), np.array([n for *_, n in patterns], float))[0]
+        assert np.allclose(got, plain_reliabilities(patterns), atol=1e-7)
+
+
+def test_added_spans_equal_a_plain_choice():
+    rng = random.Random(11)
+    pieces = ["call 555-123-4567", "a at b dot com", "mail x@y.org", "10.0.0.300", "4111 1111 1111 1112", "version 1.2.3.4", "+1 555 123 4567", "text", "tel 0301234567", "."]
+    weights = np.random.default_rng(2).normal(size=len(pii.KINDS) + 2 * len(pii.LABELERS) + 6 + 1)
+    for _ in range(200):
+        found = pii.spans_of(" ".join(rng.choice(pieces) for _ in range(8)))
+        taken = [(int(s["kind"]), int(s["start"]), int(s["stop"])) for s in found if s["base"]]
+        more = [s for s in found if not s["base"]]
+        scored = []
+        for s in more:
+            row = pii.span_features(np.array([int(s["kind"])]), s["votes"][None], s["shape"][None])[0]
+            scored.append((-float(sum(a * b for a, b in zip(row, weights))), int(s["start"]), s))
+        for minus, _, s in sorted(scored, key=lambda x: x[:2]):
+            clear = all(int(s["stop"]) <= a or b <= int(s["start"]) for _, a, b in taken)
+            if clear and -minus >= np.log(pii.THRESHOLD / (1 - pii.THRESHOLD)):
+                taken.append((int(s["kind"]), int(s["start"]), int(s["stop"])))
+        assert pii.chosen_spans(found, weights) == [(pii.KINDS[k], a, b) for k, a, b in sorted(taken)]
+
+
 def test_query_of_personal_data(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = pii.personal_data_of_documents(spark, SF).collect()
