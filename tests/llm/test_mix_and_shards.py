@@ -144,15 +144,21 @@ def least_capacity(sizes, shards):
     return low
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_no_contiguous_partition_is_better(spark, seed):
+@pytest.mark.parametrize("seed, bits, most", [(0, 14, 1 << 14), (1, 3, 40), (2, 2, 8), (3, 5, 1000), (4, 1, 4), (5, 4, 64)])
+def test_no_contiguous_partition_of_groups_is_better(spark, seed, bits, most):
     rng = random.Random(seed)
-    texts = ["x" * rng.randrange(1, 200) + str(k) for k in range(120)] + ["hot" * 50] * rng.choice([0, 5, 60])
+    texts = ["x" * rng.randrange(1, 200) + str(k) for k in range(400)] + ["hot" * 50] * rng.choice([0, 5, 60, 300])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    bins = docs.groupBy(sharding.bin_of(F.col("text")).alias("bin")).agg(F.sum(sharding.size_of(F.col("text"))).alias("n")).orderBy("bin").collect()
+    groups = docs.groupBy(sharding.hash_of(F.col("text")).alias("h")).agg(F.sum(sharding.size_of(F.col("text"))).alias("n")).orderBy("h").collect()
+    cuts = sharding.minimax_cuts(docs, sharding.SHARDS, bits, most)
+    # few bits leave few places for cuts where the capacity asks for none
+    assert cuts == sorted(set(cuts)) and (len(cuts) == 15 if bits == sharding.BIN_BITS else len(cuts) <= 15)
+    sums = [0] * 16
+    for g in groups:
+        sums[sum(c <= g["h"] for c in cuts)] += g["n"]
+    assert max(sums) == least_capacity([g["n"] for g in groups], sharding.SHARDS)
     out = sharding.assign_shards(docs).withColumn("n", sharding.size_of(F.col("text"))).groupBy("shard").agg(F.sum("n").alias("n")).collect()
-    assert max(r["n"] for r in out) == least_capacity([r["n"] for r in bins], sharding.SHARDS)
-    assert len(out) == 16
+    assert max(r["n"] for r in out) == max(sums) and (len(out) == 16 or bits < sharding.BIN_BITS)
 
 
 def check_shards(rows):
