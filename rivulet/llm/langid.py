@@ -8,6 +8,9 @@ The network learns on the driver from a bounded sample: at most ``SAMPLE_DOCS``
 the languages, chosen by the hash of the id, and at most ``SAMPLE_WINDOWS`` windows from each. Ids with
 crc32 mod 4 = 2 are never learned from. Scoring reads texts only.
 
+For the pipeline the network also learns a class of what is no known language: windows of the sample with their bytes shuffled, of random
+signs, and of random letters of other alphabets. A text goes if that class has ``SURELY_OTHER`` of its probability.
+
 ``und`` with score 0 stands for null texts, texts without a letter, and all texts where no labelled row is
 there to learn from. Null languages are not learned. Null ids count as the empty text in the crc32. Repeated
 rows are judged alike. An empty table gives no rows. Other columns stay as they are.
@@ -32,8 +35,8 @@ SAMPLE_DOCS, SAMPLE_WINDOWS = 4000, 3
 ROUNDS, BATCH, RATE = 6, 64, 0.01
 FOLDS, HELD_OUT_FOLD = 4, 2
 UNKNOWN = "und"
-#: Below this mean probability the pipeline takes a text for no known language.
-LEAST_SCORE = 0.3
+#: The class of what is no known language, and its mean probability from which on the pipeline rejects a text.
+OTHER, SURELY_OTHER = "other", 0.8
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -79,7 +82,31 @@ def labelled_sample(docs: DataFrame, most: int = SAMPLE_DOCS) -> tuple[list[byte
     return [w for w, _ in pairs], [lang for _, lang in pairs]
 
 
-def fit(windows: list[bytes], langs: list[str], rounds: int = ROUNDS, seed: int = 0) -> ByteConv | None:
+def other_windows(windows: list[bytes], seed: int = 0) -> list[bytes]:
+    """As many windows that are no language: shuffled bytes, random signs, random letters of one block of code points."""
+    rng = np.random.default_rng(seed)
+    signs = np.frombuffer(bytes(range(33, 127)), np.uint8)
+    out = []
+    for k, window in enumerate(windows):
+        if k % 3 == 0:
+            out.append(rng.permutation(np.frombuffer(window, np.uint8)).tobytes())
+            continue
+        if k % 3 == 1:
+            letters = rng.choice(signs, len(window)).astype(int)
+        else:
+            # half of them of two bytes a letter, like most alphabets
+            start = int(rng.choice(range(0x370, 0x7C0, 64) if rng.random() < 0.5 else [*range(0x800, 0xD700, 64), *range(0xF900, 0xFF00, 64)]))
+            letters = start + rng.integers(0, 64, len(window))
+        text = "".join(" " if gap < 0.15 else chr(c) for c, gap in zip(letters, rng.random(len(window))))
+        out.append(text_bytes(text)[: len(window)])
+    return out
+
+
+def fit(windows: list[bytes], langs: list[str], rounds: int = ROUNDS, seed: int = 0, other: bool = False) -> ByteConv | None:
+    """A network over the languages, with ``other`` also over ``OTHER``."""
+    if other:
+        few = windows[:: max(1, len(set(langs)))]
+        windows, langs = [*windows, *other_windows(few, seed)], [*langs, *[OTHER] * len(few)]
     classes = sorted(set(langs))
     if not classes:
         return None
@@ -144,10 +171,11 @@ def identify(docs: DataFrame) -> DataFrame:
     return with_language(docs, fit(*labelled_sample(docs)))
 
 
-def of_known_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text has a known language with at least that score."""
-    marked = with_language(docs, fit(*labelled_sample(docs)), "__language")
-    return marked.filter((F.col("__language.lang_pred") != UNKNOWN) & (F.col("__language.score") >= least)).drop("__language")
+def of_known_language(docs: DataFrame, surely: float = SURELY_OTHER) -> DataFrame:
+    """The rows of ``docs`` with a letter whose text is not surely something else than the languages learned."""
+    marked = with_language(docs, fit(*labelled_sample(docs), other=True), "__language")
+    lang, score = F.col("__language.lang_pred"), F.col("__language.score")
+    return marked.filter((lang != UNKNOWN) & ((lang != OTHER) | (score < surely))).drop("__language")
 
 
 @query("op3_language_id")

@@ -123,6 +123,22 @@ def test_language_of_awkward_rows(spark, awkward, empty):
     assert langid.identify(unlabelled).first()["language"]["lang_pred"] == "und"
 
 
+def test_the_stage_rejects_junk_and_keeps_documents(spark):
+    rng = random.Random(1)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    junk = [
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789#$%&*;:<>") for _ in range(800)),
+        "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(900)),
+        "语言是人们用来交流的系统。" * 20,
+        " ".join("".join(chr(0x370 + rng.randrange(60)) for _ in range(rng.randrange(2, 9))) for _ in range(90)),
+        "123 --- 456",
+        None,
+    ]
+    rows = spark.createDataFrame([(10_000_000 + k, t, None) for k, t in enumerate(junk)], docs.schema)
+    kept = {r["doc_id"] for r in langid.of_known_language(docs.unionByName(rows)).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in docs.filter(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+
+
 def test_order_and_batches_do_not_change_a_prediction():
     rng = random.Random(2)
     texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (1, 5, 256, 257, 3000, 70_000)]
