@@ -17,7 +17,7 @@ from rivulet.session import materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language; texts without a letter and those that look like none of the languages go."""
+    """Documents with a letter that are not surely something else than the languages learned: random signs, other alphabets."""
     return of_known_language(docs)
 
 
