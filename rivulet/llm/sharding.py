@@ -92,7 +92,7 @@ aggregate(units, named_struct('cuts', slice(array(0), 1, 0), 'fill', 0L, 'i', 0)
 
 # units in question: any larger than the lower bound first, else those between the soonest and the latest cut
 _IN_QUESTION = """
-transform(units, (u, i) -> low < capacity and if(exists(units, x -> x.bytes > low and x.groups > 1), u.bytes > low and u.groups > 1,
+transform(units, (u, i) -> low < capacity and if(any_larger, u.bytes > low and u.groups > 1,
   exists(sequence(0, {shards} - 2), k -> i >= coalesce(get(soonest, k), size(units)) and i < coalesce(get(latest, k), size(units)))))
 """
 
@@ -115,7 +115,8 @@ def _bounded(groups: DataFrame, units: DataFrame, shards: int) -> DataFrame:
     sized = materialize(search.withColumn("capacity", F.expr(_CAPACITY.format(needed=needed, shards=shards))), "shard-capacity")
     # groups that fit a capacity fit as whole units if each shard may take one unit more
     low = sized.withColumn("low", F.greatest("least", F.col("capacity") - F.col("divisible")))
-    walked = materialize(low.withColumn("soonest", F.expr(_SOONEST)).withColumn("latest", F.expr(_LATEST)), "shard-walks")
+    larger = F.exists("units", lambda u: (u["bytes"] > F.col("low")) & (u["groups"] > 1))
+    walked = materialize(low.withColumns({"soonest": F.expr(_SOONEST), "latest": F.expr(_LATEST), "any_larger": larger}), "shard-walks")
     return materialize(walked.withColumn("in_question", F.expr(_IN_QUESTION.format(shards=shards))), "shard-bounds")
 
 
@@ -154,20 +155,19 @@ def minimax_cuts(docs: DataFrame, shards: int = SHARDS, bits: int = BIN_BITS, mo
     return list(cut.select(F.expr(_CUTS.format(last=shards - 1, shards=shards)).alias("cuts")).first()["cuts"])
 
 
-def shard_of(text: Column, cuts: list[int]) -> Column:
-    """The shard that the cuts give a text; one pass over the at most 15 cuts, no join."""
-    return F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= hash_of(text))) if cuts else F.lit(0)
+def shard_of(hashed: Column, cuts: list[int]) -> Column:
+    """The shard that the cuts give a hash; one pass over the at most 15 cuts, no join."""
+    return sum(((hashed >= F.lit(c).cast("long")).cast("int") for c in cuts), F.lit(0))
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BIN_BITS, salts: int = SALTS) -> DataFrame:
     """``docs`` with ``shard`` and ``slot`` (numbered without gaps from 0 in each shard); columns of these names are replaced."""
     cuts = minimax_cuts(docs, shards, bits)
-    placed = docs.withColumns(
+    placed = docs.withColumn("__text", hash_of(F.col("text"))).withColumns(
         {
-            "shard": shard_of(F.col("text"), cuts).cast("int"),
-            "__bin": prefix(hash_of(F.col("text")), bits),
+            "shard": shard_of(F.col("__text"), cuts),
+            "__bin": prefix(F.col("__text"), bits),
             "__salt": F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(salts)),
-            "__text": hash_of(F.col("text")),
         }
     )
     cell = ["shard", "__bin", "__salt"]

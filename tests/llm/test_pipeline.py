@@ -235,3 +235,10 @@ def test_stages_on_awkward_rows(spark, request, name):
         assert out.columns[: len(docs.columns)] == docs.columns
         docs = materialize(out)
     assert (docs.count() == 0) == (name == "empty")
+
+
+def test_the_whole_run(spark):
+    out = corpus_pipeline.run(spark, SF)
+    rows = out.collect()
+    assert {"shard", "slot"} <= set(out.columns) and rows
+    check_shards([{"shard": r["shard"], "slot": r["slot"], "size": len(r["text"].encode()) + 1, "text_crc32": hash(r["text"])} for r in rows])
