@@ -13,7 +13,7 @@ from rivulet.llm.mixing import mixed_documents
 from rivulet.llm.registry import table
 from rivulet.llm.sharding import assign_shards
 from rivulet.llm.simhash import without_near_duplicates
-from rivulet.session import materialize
+from rivulet.session import materialize, release
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each stage's rows are written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on ``documents``; each stage's rows are written to the shared folder and read again, and the rows of the stage before
+    it are removed then."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            release(before)
+        before = docs
     return docs
