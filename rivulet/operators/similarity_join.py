@@ -166,6 +166,9 @@ def best_of_block(table: pa.Table, k: int) -> pa.Table:
     """The ``k`` best among the others of a block's candidates for every member, tile by tile."""
     member = table["member"].to_numpy()
     left, right = (_profiles(table.filter(pa.array(side))) for side in (member, ~member))
+    # the product wants small key numbers
+    codes = np.unique(np.concatenate((left[4], right[4])), return_inverse=True)[1]
+    left, right = ((*side[:4], keys, side[5]) for side, keys in ((left, codes[: len(left[4])]), (right, codes[len(left[4]) :])))
     ids, others, scores = [], [], []
     for rows, row_ids, row_offsets in _tiles(left):
         best_id, best_corr = np.empty((len(row_ids), 0), np.int64), np.empty((len(row_ids), 0))
