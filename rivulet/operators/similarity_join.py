@@ -37,20 +37,20 @@ SEEDS = 4
 SLACK = 2 * 10.0**-RANK_DIGITS
 
 
-def top_correlations(profiles: DataFrame, k: int, block_cells: int = 2_000_000, prune: bool | None = None) -> DataFrame:
+def top_correlations(profiles: DataFrame, k: int, block_cells: int = 2_000_000, prune: bool | None = None, few: int = TILE) -> DataFrame:
     """The ``k`` highest correlations of every profile with others: (id, neighbor_id, corr), unknown ones left out, ties by id.
 
     ``profiles`` is (id, key, value). ``prune`` says whether candidates are searched; by default where there are more than
-    8 blocks, since below that copies cost less than the search. The result is the same. A profile of more than ``block_cells`` cells makes
-    all go through ``correlation_matrix``, which cuts profiles by key. Runs jobs.
+    8 blocks, since below that copies cost less than the search. The result is the same. Up to ``few`` profiles, and all where one has more
+    than ``block_cells`` cells, go through ``correlation_matrix``, which cuts profiles by key. Runs jobs.
     """
     known = profile_stats(profiles, key_count(profiles)).where(F.col("scale").isNotNull()).select("id", "scale", "offset", "cells")
-    ids = with_position(known, ["id"], "code")
-    facts = ids.agg(
+    facts = known.agg(
         F.count(F.lit(1)).alias("n"), F.sum("cells").alias("cells"), F.max("cells").alias("most"), F.min("offset").alias("low"), F.max("offset").alias("high")
     ).first()
-    if (facts["most"] or 0) > block_cells:
+    if facts["n"] <= few or (facts["most"] or 0) > block_cells:
         return best_of_each(correlation_matrix(profiles), k)
+    ids = with_position(known, ["id"], "code")
     slices = max(1, -(-(facts["cells"] or 0) // block_cells))
     # more blocks than slices where that keeps the machine busy; a block is never smaller than some tiles' width
     blocks = max(slices, min(profiles.sparkSession.sparkContext.defaultParallelism, -(-facts["n"] // 128)))

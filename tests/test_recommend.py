@@ -145,7 +145,7 @@ def zipf_profiles(ids=90, seed=4):
 def test_top_correlations_equal_numpy(spark, k, prune, cells):
     rows = zipf_profiles()
     # many partitions, so that key numbers are far apart
-    got = top_correlations(spark.createDataFrame(rows, "id long, key string, value double").repartition(7), k, cells, prune).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+    got = top_correlations(spark.createDataFrame(rows, "id long, key string, value double").repartition(7), k, cells, prune, 0).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
     assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, k)
 
 
@@ -153,9 +153,11 @@ def test_top_correlations_of_signed_values_and_of_nothing(spark):
     rng = np.random.default_rng(8)
     rows = [(i, int(b), float(rng.normal())) for i in range(40) for b in rng.choice(60, 8, replace=False)]
     kind = "id long, key long, value double"
-    got = top_correlations(spark.createDataFrame(rows, kind), 4, 50, True).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+    got = top_correlations(spark.createDataFrame(rows, kind), 4, 50, True, 0).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
     assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, 4)
-    assert top_correlations(spark.createDataFrame([], kind), 4).count() == 0
+    assert top_correlations(spark.createDataFrame([], kind), 4).count() == top_correlations(spark.createDataFrame([], kind), 4, few=-1).count() == 0
+    few = top_correlations(spark.createDataFrame(rows, kind), 4).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+    assert as_set(few, "id", "neighbor_id", "corr") == as_set(got, "id", "neighbor_id", "corr")
     assert top_correlations(spark.createDataFrame(rows[:8], kind), 4).count() == 0
 
 
@@ -176,7 +178,7 @@ def test_search_keeps_profiles_apart(spark):
 
     sj._candidates, profiles = counted, spark.createDataFrame(rows, "id long, key string, value double")
     try:
-        got = top_correlations(profiles, 3, 60, True).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+        got = top_correlations(profiles, 3, 60, True, 0).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
         assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, 3)
     finally:
         sj._candidates = plain
@@ -199,7 +201,7 @@ def test_null_ids_and_keys_are_like_any_other(spark):
         assert {tuple(r) for r in whole if r["id"] != r["neighbor_id"]} == want
         assert all(r["corr"] == 1.0 for r in whole if r["id"] == r["neighbor_id"])
     for prune in (True, False):
-        got = top_correlations(profiles, 4, 20, prune).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
+        got = top_correlations(profiles, 4, 20, prune, 0).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr")
         assert as_set(got, "id", "neighbor_id", "corr") == best_by_numpy(rows, 4)
     for target in (None, 3):
         one = correlation_with(profiles, target).selectExpr("id", "neighbor_id", "round(corr, 9) + 0 corr").collect()
