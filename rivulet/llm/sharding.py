@@ -178,7 +178,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BIN_BITS, s
         placed.withColumn("__nth", F.row_number().over(inside))
         .join(cells, cell)
         .withColumn("slot", F.col("__first") + F.col("__nth") - 1)
-        .select(*[c for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+        .select(*dict.fromkeys([*docs.columns, "shard", "slot"]))
     )
 
 
