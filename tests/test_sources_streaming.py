@@ -26,6 +26,22 @@ def test_a_cluster_needs_a_folder_that_all_can_reach(monkeypatch):
                     session.check_folder(folder, master, Hadoop(default))
 
 
+def test_a_plain_path_that_executors_reach_is_shared(spark, tmp_path, monkeypatch):
+    from rivulet import session
+
+    get = type(spark.conf).get
+    plain = str(tmp_path / "mount")
+    monkeypatch.setattr(type(spark.conf), "get", lambda conf, key, *rest: plain if key == "spark.checkpoint.dir" else get(conf, key, *rest))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:1")
+    assert shared_folder(spark) == plain
+    d = session.materialize(spark.range(5))
+    assert d.count() == 5 and all(plain in f for f in d.inputFiles())
+
+    monkeypatch.setattr(session, "reached_by_all", lambda *of: False)
+    with pytest.raises(RuntimeError, match="not all executors"):
+        shared_folder(spark)
+
+
 def test_released_tables_are_gone(spark):
     from rivulet.session import materialize, release
 
