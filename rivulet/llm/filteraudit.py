@@ -13,8 +13,8 @@ in 100 code points; D one of ``#$%&*|``; E the same text as a smaller doc_id, wh
 
 Null texts are empty ones. A null doc_id is neither smaller nor larger than others, so E never removes such a row; rows of
 equal id are no copies of each other. Labels that repeat count if any row says 1. Null sources are the part ''. An empty
-table gives no rows. Texts are read once, whole, and never shuffled; copies meet as (id, hash) pairs, so a text with a
-third of all rows is spread like any other.
+table gives no rows. Texts are read whole, for the filters and for the first of each text, and never shuffled; nothing is written
+on the way. Copies meet as (id, hash) pairs, so a text with a third of all rows is spread like any other.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.registry import query, table
-from rivulet.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 FILTERS = "ABCDE"
@@ -47,10 +46,7 @@ def failed_filters(text: Column) -> Column:
 def audited_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document row: doc_id, part, failed (bits of A to E), good, toxic (0 or 1)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    narrow = materialize(
-        docs.select("doc_id", F.coalesce("source", F.lit("")).alias("part"), failed_filters(F.col("text")).alias("failed"), F.sha2(text, 256).alias("hash")),
-        "audit",
-    )
+    narrow = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("part"), failed_filters(F.col("text")).alias("failed"), F.sha2(text, 256).alias("hash"))
     first = narrow.groupBy("hash").agg(F.min("doc_id").alias("doc_id")).filter("doc_id IS NOT NULL").withColumn("is_first", F.lit(True))
     marks = labels.groupBy("doc_id").agg(*[F.max((F.coalesce(F.col(c) == 1, F.lit(False))).cast("int")).alias(n) for c, n in (("quality", "good"), ("toxic", "toxic"))])
     known = narrow.filter("doc_id IS NOT NULL").join(first, ["doc_id", "hash"], "left").join(marks, "doc_id", "left")

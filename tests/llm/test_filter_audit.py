@@ -110,3 +110,19 @@ def test_potentials_give_the_mean_over_all_orders(spark):
         for mask in range(1, 32):
             members = [k for k in range(5) if mask >> k & 1]
             assert row["p"][mask] * len(members) == 120 * row["worths"][mask] + sum(row["p"][mask & ~(1 << k)] for k in members)
+
+
+def test_an_audit_writes_nothing_on_the_way(spark):
+    """Each file that a task writes to a local folder starts processes beside the executor."""
+    import os
+
+    from rivulet.session import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "a b", "x"), (3, None, None), (None, "a b", "x")], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality long, toxic long")
+    audited = filteraudit.audited_documents(docs, labels)
+    e = {(r["doc_id"], r["part"]): r["failed"] >> 4 for r in audited.collect()}
+    assert e == {(1, "x"): 0, (2, "x"): 1, (3, ""): 0, (None, "x"): 0}
+    assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == before
