@@ -7,17 +7,28 @@ moves no row of the table to another task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rivulet.operators.ordered import with_position
 from rivulet.operators.relational import join_on_same
 from rivulet.session import materialize
 
+#: Values that a task has filled at a time, if that is a row at least.
+FILLED = 1 << 21
+#: Values to fill that are worth a task of their own.
+TASK_VALUES = 1 << 30
+#: Values that are summed one after the other.
+STRETCH = 128
+
+#: Columns of some rows of full width.
+Measure = Callable[[np.ndarray], list[pa.Array]]
+
 
 @dataclass(frozen=True)
 class BlockedMatrix:
@@ -45,30 +56,82 @@ class BlockedMatrix:
         )
         return named.select(F.col("row_key").alias("row"), F.col("column_key").alias("column"), "value")
 
-    def vectors(self, fill: float) -> DataFrame:
-        """(row, vector): every row with all ``width`` values in order of the columns, ``fill`` where no cell is."""
-        width = self.width
+    def vectors(self, fill: float, measure: Measure | None = None, measured: str = "vector array<double>") -> DataFrame:
+        """(row, vector): every row with all ``width`` values in order of the columns, ``fill`` where no cell is.
+
+        With ``measure`` what it finds in the rows, the columns ``measured``, takes the place of ``vector``: it gets a few whole rows at
+        a time in the task that fills them (rows by ``width``; the array is used again), so rows of full width go nowhere.
+        """
+        width, measure = self.width, measure or _lists
+        schema = StructType([StructField("row", self.rows.schema["key"].dataType), *StructType.fromDDL(measured)])
+        names = schema.names
+        # a few rows at a time, as each has the full width
+        step = max(1, FILLED // max(width, 1))
 
         def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                cells = batch["cells"]
-                lengths = cells.value_lengths().to_numpy()
-                flat = cells.flatten()
-                row = np.repeat(np.arange(len(lengths)), lengths)
-                # a few rows at a time, as each has the full width
-                step = max(1, (1 << 22) // max(width, 1))
-                for at in range(0, len(lengths), step):
-                    n = min(step, len(lengths) - at)
-                    mine = (row >= at) & (row < at + n)
-                    values = np.full((n, width), fill)
-                    values[row[mine] - at, flat.field("column").to_numpy()[mine]] = flat.field("value").to_numpy()[mine]
-                    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
-                    yield pa.RecordBatch.from_arrays([batch["row"].slice(at, n), pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))], ["row", "vector"])
+            values = np.full((step, width), fill)
+            for cells in _whole_rows(batches, step):
+                row, column, value = (cells[c].to_numpy() for c in ("row", "column", "value"))
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                places = np.repeat(np.arange(len(first)), np.diff(first, append=len(row))), column
+                values[places] = value
+                yield pa.RecordBatch.from_arrays([cells["key"].take(pa.array(first)), *measure(values[: len(first)])], names)
+                values[places] = fill
 
         flat = self.blocks.select(F.explode("cells").alias("c")).select("c.*")
-        gathered = flat.groupBy("row").agg(F.collect_list(F.struct("column", "value")).alias("cells"))
-        every = gathered.mapInArrow(dense, "row long, vector array<double>")
-        return every.join(self.rows.select(F.col("place").alias("row"), "key"), "row").select(F.col("key").alias("row"), "vector")
+        named = flat.join(self.rows.select(F.col("place").alias("row"), "key"), "row")
+        # the work is in the values to fill, of which the size of the cells says nothing
+        tasks = self.height * width // TASK_VALUES
+        count = [max(tasks, named.sparkSession.sparkContext.defaultParallelism)] if tasks else []
+        # not by the join's own key: then the join's parts would do, and adaptive execution may cut those inside a row
+        dealt = named.repartition(*count, F.xxhash64("row"))
+        return dealt.sortWithinPartitions("row").mapInArrow(dense, schema)
+
+
+def _whole_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Cells in order of their row as batches of ``n`` whole rows, the last one of what is left."""
+    held, seen, last = [], 0, -1
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row = batch["row"].to_numpy()
+        first = np.flatnonzero(np.diff(row, prepend=last))
+        at = 0
+        for cut in first[-seen % n :: n].tolist():
+            held.append(batch.slice(at, cut - at))
+            if sum(h.num_rows for h in held):
+                yield pa.concat_batches(held)
+            held, at = [], cut
+        held.append(batch.slice(at))
+        seen, last = seen + len(first), row[-1]
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _lists(values: np.ndarray) -> list[pa.Array]:
+    n, width = values.shape
+    return [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(values.flatten()))]
+
+
+#: What ``place_sums`` finds.
+PLACE_SUMS = "width long, total double, weighted double"
+
+
+def place_sums(values: np.ndarray) -> list[pa.Array]:
+    """The width of every row, its sum, and its sum weighted by the place from 1, of all its values.
+
+    Stretches are summed first and then their sums, by halves, so that long rows round little.
+    """
+    n, width = values.shape
+    whole = width // STRETCH * STRETCH
+    weights = np.stack([np.ones(STRETCH), np.arange(1.0, STRETCH + 1)], axis=1)
+    sums = values[:, :whole].reshape(n, whole // STRETCH, STRETCH) @ weights
+    rest = values[:, whole:]
+    total = sums[:, :, 0].sum(axis=1) + rest.sum(axis=1)
+    # a value in a later stretch has its place in that stretch and the places before it
+    before = sums[:, 1:, 0] * np.arange(STRETCH, whole, STRETCH, dtype=float)
+    weighted = sums[:, :, 1].sum(axis=1) + before.sum(axis=1) + (rest * np.arange(whole + 1.0, width + 1)).sum(axis=1)
+    return [pa.array(np.full(n, width)), pa.array(total), pa.array(weighted)]
 
 
 def blocked_matrix(cells: DataFrame, row: str, column: str, value: str, size: int = 1024) -> BlockedMatrix:

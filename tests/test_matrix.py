@@ -1,10 +1,15 @@
+import datetime
 import random
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.operators.matrix import blocked_matrix
+from rivulet.operators import matrix
+from rivulet.operators.matrix import PLACE_SUMS, blocked_matrix, place_sums
 from tests.conftest import as_set
+from workload.recommender import wide_matrix_filled
 
 CELL = "u string, b long, v double"
 
@@ -55,3 +60,102 @@ def test_a_hundred_thousand_columns(spark):
     assert {r["n"] for r in rows.collect()} == {100_000}
     assert rows.agg(F.sum("total")).first()[0] == 100_000 * 2.0 + 600_000 * 0.5
     assert m.transposed().blocks.agg(F.max("row_block"), F.max("column_block")).first()[:] == (97, 0)
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def sums(row):
+    """Width, sum and sum weighted by the place from 1, without rounding on the way."""
+    exact = [Fraction(v) for v in row]
+    return len(row), float(sum(exact)), float(sum(v * i for i, v in enumerate(exact, 1)))
+
+
+@pytest.mark.parametrize("filled, task_values, batch", [(1 << 21, 1 << 30, 10_000), (1000, 300, 7), (1, 900, 1)])
+def test_rows_are_measured_where_they_are_filled(spark, monkeypatch, filled, task_values, batch):
+    monkeypatch.setattr(matrix, "FILLED", filled)
+    monkeypatch.setattr(matrix, "TASK_VALUES", task_values)
+    rng = random.Random(5)
+    cells = {(rng.choice([None, *"abcdefghijklmnopqrstuvwxyz"]), b): float(rng.randrange(-5, 6)) for b in [None, *range(299)] for _ in range(3)}
+    m = blocked_matrix(spark.createDataFrame([(u, b, v) for (u, b), v in cells.items()], CELL).repartition(5), "u", "b", "v", 16)
+    want = {u: [cells.get((u, b), 0.1) for b in [None, *range(299)]] for u, _ in cells}
+    assert (m.height, m.width) == (27, 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        assert {r["row"]: r["vector"] for r in m.vectors(0.1).collect()} == want
+        found = m.vectors(0.1, place_sums, PLACE_SUMS)
+        got = {r["row"]: (r["width"], r["total"], r["weighted"]) for r in found.collect()}
+        assert found.columns == ["row", "width", "total", "weighted"] and found.count() == 27
+        assert {u: pytest.approx(sums(row), abs=1e-9) for u, row in want.items()} == got
+        if task_values < 1 << 30:
+            assert found.rdd.getNumPartitions() == max(27 * 300 // task_values, spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_rows_of_full_width_are_not_joined(spark):
+    m = blocked_matrix(spark.createDataFrame(some_cells(), CELL), "u", "b", "v", 4)
+    done = plan(m.vectors(0.1))
+    assert done.index("MapInArrow") < done.index("Join")
+
+
+SETTINGS = {
+    "merged": {},
+    "broadcast late": {"spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB"},
+    "skewed": {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    },
+}
+
+
+@pytest.mark.parametrize("task_values", [1 << 30, 1000])
+@pytest.mark.parametrize("settings", SETTINGS.values(), ids=SETTINGS)
+def test_a_row_stays_whole_however_the_join_is_run(spark, monkeypatch, settings, task_values):
+    monkeypatch.setattr(matrix, "TASK_VALUES", task_values)
+    u = F.when(F.col("id") % 10 < 7, F.lit(3)).otherwise(F.col("id") % 20)
+    cells = spark.range(40_000).select(u.cast("string").alias("u"), F.floor(F.col("id") / 20).alias("b"), F.lit(2.0).alias("v")).repartition(8)
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"} | settings
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        m = blocked_matrix(cells, "u", "b", "v", 64)
+        got = m.vectors(0.1).collect()
+    finally:
+        for key in changed:
+            spark.conf.unset(key)
+    assert len(got) == m.height and {r["row"]: r["vector"] for r in got} == {str(u): [2.0] * 2000 for u in (3, 7, 8, 9, 17, 18, 19)}
+
+
+@pytest.mark.parametrize("width", [0, 1, 127, 128, 129, 1000, 360_000])
+def test_long_rows_round_little(width):
+    values = np.full((2, width), 0.1)
+    values[1, ::97] = 4.0
+    values[1, -1:] = 5.0
+    for row, *got in zip(values.tolist(), *(c.to_pylist() for c in place_sums(values))):
+        assert got[0] == width
+        assert got[1:] == pytest.approx(sums(row)[1:], rel=4e-15, abs=0)
+
+
+def test_infinite_values_are_summed():
+    width, total, weighted = place_sums(np.array([[float("inf")] + [0.1] * 299, [0.1] * 299 + [float("inf")], [0.1] * 300]))
+    assert total.to_pylist()[:2] == weighted.to_pylist()[:2] == [float("inf")] * 2
+    assert total.to_pylist()[2] == pytest.approx(30.0)
+
+
+def test_filled_rows_of_users_are_whole(spark, tmp_path):
+    """The query over orders and line items of its own: users with more than 60 reviews, 300 businesses."""
+    rng, day = random.Random(6), datetime.datetime(2024, 1, 1)
+    users = {1: 61, 2: 300, 3: 60, 4: 90, 5: 1, 6: 2, 7: 3}
+    orders = [(10 * u + k, u) for u in users for k in range(3)]
+    lines = [(10 * u + rng.randrange(3), i, s, float(rng.randrange(50)), day + datetime.timedelta(days=i)) for u, n in users.items() for i, s in enumerate(rng.sample(range(300), n))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    stars = {(key // 10, s): 1.0 + int(q) % 5 for key, _, s, q, _ in lines}
+    got = wide_matrix_filled(spark, str(tmp_path))
+    want = {(u, *(round(x, d) for x, d in zip(sums([stars.get((u, s), 0.1) for s in range(300)]), (0, 6, 4)))) for u in (1, 2, 4)}
+    assert as_set(got, "user_id", "width", "total", "weighted") == want
+    assert "vector" not in plan(got)
